@@ -1,0 +1 @@
+"""Deliberately empty: none of the programs this library covers works on streams."""
