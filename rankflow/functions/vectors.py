@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +21,12 @@ def array_sum(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda total, value: total + value)
 
 
-def number_list(values) -> Column:
-    """A literal ``array<double>``; folded into one constant by the optimizer."""
-    text = ",".join(repr(float(value)) for value in values)
-    return F.split(F.lit(text), ",").cast("array<double>")
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    Inside a lambda a plain expression is computed anew for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def one_hot(label: Column, classes: int) -> Column:
@@ -58,10 +61,14 @@ def list_matrix(rows: pa.Array, width: int) -> np.ndarray:
 
 def softmax(scores: Column) -> Column:
     """Probabilities from scores, shifted by the maximum so that exp cannot overflow."""
-    top = F.array_max(scores)
-    weights = F.transform(scores, lambda z: F.exp(z - top))
-    total = array_sum(weights)
-    return F.transform(weights, lambda e: e / total)
+
+    def shares(weights: Column) -> Column:
+        return bind(array_sum(weights), lambda total: F.transform(weights, lambda e: e / total))
+
+    return bind(
+        F.array_max(scores),
+        lambda top: bind(F.transform(scores, lambda z: F.exp(z - top)), shares),
+    )
 
 
 def argmax(vector: Column) -> Column:
@@ -91,9 +98,12 @@ def cross_entropy(probabilities: Column, label: Column) -> Column:
 
 def score_cross_entropy(scores: Column, label: Column) -> Column:
     """Cross-entropy straight from scores, in its numerically stable form."""
-    top = F.array_max(scores)
-    log_total = F.log(array_sum(F.transform(scores, lambda z: F.exp(z - top))))
-    return log_total + top - value_at(scores, label)
+
+    def loss(top: Column) -> Column:
+        total = array_sum(F.transform(scores, lambda z: F.exp(z - top)))
+        return F.log(total) + top - value_at(scores, label)
+
+    return bind(F.array_max(scores), loss)
 
 
 def in_top_k(scores: Column, label: Column, k: int) -> Column:
@@ -101,23 +111,27 @@ def in_top_k(scores: Column, label: Column, k: int) -> Column:
 
     Ties count in the label's favour; a row with a score that is not finite never hits.
     """
-    own = value_at(scores, label)
     finite = F.forall(scores, lambda z: (F.abs(z) < INF) & ~F.isnan(z))
-    return finite & (F.size(F.filter(scores, lambda z: z > own)) < k)
-
-
-def half_square_sum(vector: Column) -> Column:
-    return F.aggregate(vector, F.lit(0.0), lambda total, w: total + w * w) / 2
+    greater = bind(
+        value_at(scores, label), lambda own: F.size(F.filter(scores, lambda z: z > own))
+    )
+    return finite & (greater < k)
 
 
 def standardize(vector: Column) -> Column:
     """``(x - mean) / max(std, 1/sqrt(n))`` within one record."""
-    values = doubles(vector)
-    count = F.size(values)
-    mean = array_sum(values) / count
-    spread = F.aggregate(values, F.lit(0.0), lambda total, x: total + (x - mean) * (x - mean))
-    scale = F.greatest(F.sqrt(spread / count), 1.0 / F.sqrt(count.cast("double")))
-    return F.transform(values, lambda x: (x - mean) / scale)
+
+    def centred(values: Column) -> Column:
+        mean = array_sum(values) / F.size(values)
+        return bind(mean, lambda m: F.transform(values, lambda x: x - m))
+
+    def scaled(centre: Column) -> Column:
+        count = F.size(centre).cast("double")
+        spread = F.aggregate(centre, F.lit(0.0), lambda total, x: total + x * x)
+        scale = F.greatest(F.sqrt(spread / count), 1.0 / F.sqrt(count))
+        return bind(scale, lambda s: F.transform(centre, lambda x: x / s))
+
+    return bind(bind(doubles(vector), centred), scaled)
 
 
 def crop_or_pad(

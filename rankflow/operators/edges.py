@@ -48,19 +48,22 @@ def initial_ranks(edges: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Graph:
-    """Edges with the placement of their sources.
+    """Edges ``(src, salt, dst, w, out_degree)`` and the placement of their sources.
 
-    ``edges`` is ``(src, salt, dst, w)`` and ``sources`` is ``(src, out_degree, salts)``. Only
-    sources with more distinct targets than an average partition holds are split
-    (``salts > 1``), so there are at most as many of them as partitions; ``split`` tells whether
-    there is any.
+    Only sources with more distinct targets than an average partition holds are split over
+    several salts, so there are at most as many of them as partitions: ``hubs`` is
+    ``(src, salts)``, or ``None`` where no source is that large.
     """
 
     edges: DataFrame
     sources: DataFrame
-    split: bool
+    hubs: DataFrame | None
     partitions: int
 
+    @property
+    def keys(self) -> list[str]:
+        return ["src"] if self.hubs is None else ["src", "salt"]
+
 
 def build_graph(
     edges: DataFrame,
@@ -68,7 +71,7 @@ def build_graph(
     split_rows: int = MIN_SPLIT_ROWS,
     keep_sources: bool = False,
 ) -> Graph:
-    """Aggregate the edge multiset and decide which sources must be split.
+    """Aggregate the edge multiset, split the largest sources and attach out-degrees.
 
     ``keep_sources`` adds a self-edge of weight zero to each source. It carries no rank, yet
     keeps the source among the destinations.
@@ -84,31 +87,43 @@ def build_graph(
     )
     total, largest = degrees.agg(F.sum("targets"), F.max("targets")).first()
     limit = max(split_rows, -(-(total or 0) // partitions))
-    split = (largest or 0) > limit
-
-    sources = degrees.select("src", "out_degree", F.ceil(F.col("targets") / limit).alias("salts"))
+    sources = degrees.select("src", "out_degree")
     if keep_sources:
         loops = sources.select("src", F.col("src").alias("dst"), F.lit(0).cast("bigint").alias("w"))
         weighted = weighted.unionByName(loops)
-    if split:
-        # At most ``partitions`` sources exceed the limit, whatever the size of the graph.
-        hubs = sources.filter(F.col("salts") > 1).select("src", "salts")
-        salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
-            text_bucket(F.col("dst"), F.col("salts"))
-        )
-        salted = weighted.join(F.broadcast(hubs), "src", "left").withColumn("salt", salt)
+    if (largest or 0) <= limit:
+        hubs, keys = None, ["src"]
+        salted, placed = weighted.withColumn("salt", F.lit(0)), sources
     else:
-        salted = weighted.withColumn("salt", F.lit(0))
+        hubs, keys = _hubs(degrees, limit), ["src", "salt"]
+        spread = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
+            text_bucket(F.col("dst"), F.col("salts")).cast("int")
+        )
+        salted = (
+            weighted.join(F.broadcast(hubs), "src", "left").withColumn("salt", spread).drop("salts")
+        )
+        placed = copy_to_salts(sources, hubs)
+    placed_edges = salted.repartition(partitions, *keys).join(placed, keys)
     return Graph(
-        salted.select("src", F.col("salt").cast("int").alias("salt"), "dst", "w"),
-        sources,
-        split,
-        partitions,
+        placed_edges.select("src", "salt", "dst", "w", "out_degree"), sources, hubs, partitions
     )
 
 
+def _hubs(degrees: DataFrame, limit: int) -> DataFrame:
+    """At most ``total / limit`` rows, and ``limit`` is no less than an average partition."""
+    salts = F.ceil(F.col("targets") / limit).cast("int")
+    return degrees.filter(F.col("targets") > limit).select("src", salts.alias("salts"))
+
+
+def copy_to_salts(nodes: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``nodes`` with one row per ``(src, salt)``; only hubs have more than one."""
+    last = F.coalesce(F.col("salts"), F.lit(1)) - 1
+    joined = nodes.join(F.broadcast(hubs), "src", "left")
+    return joined.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("salts")
+
+
 def adjacency(graph: Graph, entries: int = ADJACENCY_ROW_ENTRIES) -> DataFrame:
-    """Target lists ``(src, salt, chunk, entries, size)`` with at most ``entries`` targets a row.
+    """Target lists ``(src, salt, chunk, entries, size, out_degree)`` with at most ``entries`` targets a row.
 
     ``entries`` lists ``(dst, w)`` in target order; ``size`` counts edge copies. A window spans
     one ``(src, salt)`` group, which :func:`build_graph` holds near the size of an average
@@ -121,4 +136,5 @@ def adjacency(graph: Graph, entries: int = ADJACENCY_ROW_ENTRIES) -> DataFrame:
     return numbered.groupBy("src", "salt", "chunk").agg(
         F.array_sort(F.collect_list(F.struct("dst", "w"))).alias("entries"),
         F.sum("w").alias("size"),
+        F.first("out_degree").alias("out_degree"),
     )

@@ -12,7 +12,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.operators.edges import ADJACENCY_ROW_ENTRIES, MIN_SPLIT_ROWS, Graph, adjacency, build_graph
+from rankflow.operators.edges import (
+    ADJACENCY_ROW_ENTRIES,
+    MIN_SPLIT_ROWS,
+    Graph,
+    adjacency,
+    build_graph,
+    copy_to_salts,
+)
 from rankflow.session import checkpointed, cut, cut_bucketed
 
 # Defaults of the ranking programs.
@@ -48,63 +55,63 @@ def pagerank(
     if layout not in LAYOUTS or partitioning not in PARTITIONINGS:
         raise ValueError(f"layout must be in {LAYOUTS} and partitioning in {PARTITIONINGS}")
     graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
-    links = graph.edges if layout == "edges" else adjacency(graph, row_entries)
-    links, sources = _place(links, graph, partitioning, cache)
+    links = _links(graph, layout, row_entries)
+    links = _place(links, graph, partitioning, cache)
 
     ranks = None
     for step in range(1, n_iter + 1):
-        ranks = _iterate(ranks, links, sources, graph.split, layout, damping)
+        ranks = _iterate(ranks, links, graph, layout, damping)
         if step % checkpoint_every == 0 or step == n_iter:
             ranks = checkpointed(ranks)
     if cache:
         links.unpersist()
+    sources = graph.sources.select(F.col("src").alias("node"))
     if ranks is None:
-        ranks = sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
+        ranks = sources.withColumn("rank", F.lit(1.0))
     if only_left:
-        ranks = ranks.join(sources.select(F.col("src").alias("node")), "node", "left_semi")
+        ranks = ranks.join(sources, "node", "left_semi")
     return ranks
 
 
-def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool):
-    """Fix the physical layout of the links once, before the loop."""
-    count = graph.partitions
-    keys = ["src", "salt"] if graph.split else ["src"]
-    if cache:
-        held = links.repartition(count, *keys).persist(StorageLevel.MEMORY_AND_DISK)
-        return held, cut_bucketed(graph.sources, "sources", count, ["src"])
-    if partitioning == "hash":
-        return (
-            cut_bucketed(links, "links", count, keys),
-            cut_bucketed(graph.sources, "sources", count, ["src"]),
-        )
+def _links(graph: Graph, layout: str, row_entries: int) -> DataFrame:
+    """What a source sends, per unit of its rank: one row per edge, or lists of targets."""
+    if layout == "adjacency":
+        part = 1.0 / F.col("out_degree")
+        return adjacency(graph, row_entries).select("src", "salt", "chunk", "entries", part.alias("part"))
+    return graph.edges.select("src", "salt", "dst", (F.col("w") / F.col("out_degree")).alias("part"))
+
+
+def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool) -> DataFrame:
+    """Write or hold the links once, before the loop, in the layout asked for."""
     if partitioning == "range":
         within = [c for c in ("src", "salt", "chunk", "dst") if c in links.columns]
-        links = links.repartitionByRange(count, *within).sortWithinPartitions(*within)
-        return cut(links, "links"), graph.sources
-    if graph.split or "entries" in links.columns:
-        links = cut(links, "links")
-    return links, graph.sources
+        links = links.repartitionByRange(graph.partitions, *within).sortWithinPartitions(*within)
+    if cache:
+        return links.persist(StorageLevel.MEMORY_AND_DISK)
+    if partitioning == "hash":
+        return cut_bucketed(links, "links", graph.partitions, graph.keys)
+    return cut(links, "links")
+
 
+def _iterate(ranks: DataFrame | None, links: DataFrame, graph: Graph, layout: str, damping: float):
+    """One step: every source sends its rank along its links, and each node sums what arrives.
 
-def _iterate(ranks, links, sources, split, layout, damping) -> DataFrame:
-    """One step: share out each source's rank, then sum what arrives at each node."""
+    In the first step every source holds rank 1.0, so nothing has to be looked up.
+    """
     if ranks is None:
-        holders = sources.withColumn("rank", F.lit(1.0))
-    else:
-        holders = ranks.withColumnRenamed("node", "src").join(sources, "src")
-    shares = holders.withColumn("share", F.col("rank") / F.col("out_degree"))
-    if split:
-        keys = ["src", "salt"]
-        salts = F.sequence(F.lit(0), (F.col("salts") - 1).cast("int"))
-        shares = shares.select("src", F.explode(salts).alias("salt"), "share")
+        held = links.withColumn("rank", F.lit(1.0))
     else:
-        keys = ["src"]
-        shares = shares.select("src", "share")
+        holders = ranks.withColumnRenamed("node", "src")
+        if graph.hubs is not None:
+            holders = copy_to_salts(holders, graph.hubs)
+        held = links.join(holders, graph.keys)
+    sent = F.col("rank") * F.col("part")
     if layout == "adjacency":
-        sent = shares.join(links, keys).select("share", F.inline("entries"))
+        sends = held.select(sent.alias("sent"), F.inline("entries"))
+        received = F.sum(F.col("sent") * F.col("w"))
     else:
-        sent = shares.join(links, keys).select("share", "dst", "w")
-    received = F.sum(F.col("share") * F.col("w"))
-    return sent.groupBy(F.col("dst").alias("node")).agg(
+        sends = held.select(sent.alias("sent"), "dst")
+        received = F.sum("sent")
+    return sends.groupBy(F.col("dst").alias("node")).agg(
         (F.lit(1.0 - damping) + F.lit(damping) * received).alias("rank")
     )
