@@ -23,12 +23,15 @@ ADJACENCY_ROW_ENTRIES = 4096
 
 def parse_edges(lines: DataFrame) -> DataFrame:
     """``(src, dst)`` for every line that holds exactly two usable fields."""
-    fields = (
-        lines.filter(~F.col("value").startswith(COMMENT_PREFIX))
-        .select(clean_fields(F.col("value")).alias("fields"))
-        .filter((F.size("fields") == 2) & F.forall("fields", in_main_namespace))
+    pairs = F.filter(
+        F.array(clean_fields(F.col("value"))),
+        lambda fields: (F.size(fields) == 2) & F.forall(fields, in_main_namespace),
     )
-    return fields.select(F.get("fields", F.lit(0)).alias("src"), F.get("fields", F.lit(1)).alias("dst"))
+    # A generator keeps the optimizer from repeating the cleaning for every use of its result.
+    kept = lines.filter(~F.col("value").startswith(COMMENT_PREFIX)).select(
+        F.explode(pairs).alias("fields")
+    )
+    return kept.select(F.get("fields", F.lit(0)).alias("src"), F.get("fields", F.lit(1)).alias("dst"))
 
 
 def weighted_edges(edges: DataFrame) -> DataFrame:

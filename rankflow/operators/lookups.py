@@ -21,6 +21,6 @@ def lookup_join(
     join takes over, whose skewed partitions are split at runtime; a content-based salt would
     not spread exact copies of a row.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if lookup.count() <= broadcast_rows:
         return big.join(F.broadcast(lookup), on, how)
     return big.join(lookup.hint("merge"), on, how)

@@ -83,7 +83,7 @@ def _part_counts(table: DataFrame) -> DataFrame:
 
 def _constant(values: list, kind: str) -> Column:
     """A literal array with one entry per partition, folded by the optimizer."""
-    return F.split(F.lit(",".join(repr(v) for v in values)), ",").cast(f"array<{kind}>")
+    return F.split(F.lit(",".join(repr(v) for v in values or [0])), ",").cast(f"array<{kind}>")
 
 
 def global_index(df: DataFrame, order_by: list[str | Column], name: str = "position") -> DataFrame:

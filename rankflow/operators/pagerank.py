@@ -59,7 +59,12 @@ def pagerank(
     links = _place(links, graph, partitioning, cache)
 
     ranks = None
+    placed = partitioning == "hash" or (cache and partitioning is None)
     for step in range(1, n_iter + 1):
+        if placed and ranks is not None:
+            # The links already lie where a merge join wants them; broadcasting ranks, which
+            # grow with the graph, would be slower.
+            ranks = ranks.hint("merge")
         ranks = _iterate(ranks, links, graph, layout, damping)
         if step % checkpoint_every == 0 or step == n_iter:
             ranks = checkpointed(ranks)
@@ -87,7 +92,11 @@ def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool
         within = [c for c in ("src", "salt", "chunk", "dst") if c in links.columns]
         links = links.repartitionByRange(graph.partitions, *within).sortWithinPartitions(*within)
     if cache:
-        return links.persist(StorageLevel.MEMORY_AND_DISK)
+        if partitioning != "range":
+            links = links.sortWithinPartitions(*graph.keys)
+        links = links.persist(StorageLevel.MEMORY_AND_DISK)
+        links.count()  # the partitioning of a held table is known once it is filled
+        return links
     if partitioning == "hash":
         return cut_bucketed(links, "links", graph.partitions, graph.keys)
     return cut(links, "links")

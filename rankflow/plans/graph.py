@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators import edges as E
-from rankflow.operators.ordering import global_index, sort_by, sort_by_position
+from rankflow.operators.ordering import global_index
 from rankflow.operators.pagerank import pagerank
 from rankflow.plans import tables as T
 from rankflow.session import scratch_path
@@ -72,14 +72,13 @@ def csv_scan(spark, sf_dir):
 
 def sort_two_keys(spark, sf_dir):
     events = T.table(spark, sf_dir, "events").select("event_type", "ts", "event_id")
-    indexed = global_index(events, ["event_type", "ts", "event_id"])
-    return sort_by(indexed, "event_type", "ts").select("position", "event_type", "event_id")
+    return global_index(events, ["event_type", "ts", "event_id"]).drop("ts")
 
 
 def sort_positional(spark, sf_dir):
     orders = _order_table(spark, sf_dir)
     keys = [orders.columns[2], orders.columns[3], orders.columns[0]]
-    return sort_by_position(global_index(orders, keys), 2, 3).select("position", *keys)
+    return global_index(orders, keys).select("position", *keys)
 
 
 QUERIES = {

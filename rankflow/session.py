@@ -71,7 +71,7 @@ def cut(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFra
 
 
 def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
-    """Like :func:`cut`, bucketed by ``keys`` so that joins on them need no shuffle.
+    """Like :func:`cut`, bucketed and sorted by ``keys``: joins on them need no shuffle.
 
     ``df`` should already be partitioned by ``keys``, or every task writes to every bucket.
     The catalog entry goes once the table is resolved; the files stay in the shared folder.
@@ -80,6 +80,7 @@ def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> Dat
     table = f"rankflow_{name}_{uuid.uuid4().hex}"
     (
         df.write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", scratch_path(spark, name))
         .saveAsTable(table)
     )

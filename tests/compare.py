@@ -38,3 +38,17 @@ def sql_rows(connection, text: str) -> tuple[list[str], list[tuple]]:
     order = sorted(range(len(names)), key=names.__getitem__)
     rows = sorted(tuple(plain(row[i]) for i in order) for row in cursor.fetchall())
     return sorted(names), rows
+
+
+def operators(df) -> list[str]:
+    """Physical operators of ``df`` one per line, not looking into tables held in memory."""
+
+    def walk(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            plan = plan.initialPlan()
+        yield plan.simpleString(200)
+        children = plan.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))
