@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankflow.session import spread
+
 WIDTH = 64
 CLASSES = 10
 SIDE = 8
@@ -24,7 +26,9 @@ def trade_edges(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
 
     ``broken`` drops some links, so that some orders have no in-link and some parts no out-link.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    )
     order, part, supplier = (
         _tagged("o", "l_orderkey"),
         _tagged("p", "l_partkey"),
@@ -42,7 +46,7 @@ def trade_edges(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
 
 def raw_link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order rows as link lines with every irregularity the cleaning chain knows."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     return orders.select(F.expr(RAW_LINK_SQL).alias("value"))
 
 
@@ -76,7 +80,7 @@ def nation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
         F.col("o_custkey").cast("string").alias("o_custkey"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
