@@ -44,12 +44,12 @@ class OrderedRows:
         """The rows at positions ``low`` up to ``high``; other partitions are not read."""
         ends = [*self.starts[1:], self.total]
         touched = [p for p, (a, b) in enumerate(zip(self.starts, ends)) if a < high and b > low]
-        place = F.lit(False)
+        ranges = []
         for part in touched:
-            start = self.starts[part]
-            rows = (F.col("_row") >= max(low - start, 0)) & (F.col("_row") < high - start)
-            place = place | ((F.col("_part") == part) & rows)
-        return self.table.filter(F.col("_part").isin(touched) & place)
+            low_row, high_row = max(low - self.starts[part], 0), high - self.starts[part]
+            ranges.append(f"(_part = {part} AND _row >= {low_row} AND _row < {high_row})")
+        # One text instead of many column objects: a training loop builds this every step.
+        return self.table.filter(" OR ".join(ranges) or "false")
 
 
 def ordered_rows(df: DataFrame, order_by: list[str | Column]) -> OrderedRows:

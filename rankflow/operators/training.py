@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from rankflow.functions.hashing import shuffle_key
 from rankflow.functions.vectors import linear_scores, list_matrix
@@ -30,6 +31,10 @@ EPOCHS = 6
 MOMENTUM_DEFAULT = {"learning_rate": 0.02, "momentum": 0.9}
 SAVE_EVERY = 100
 
+# Numbers the driver may receive in one step.
+DIRECT_NUMBERS = 4_000_000
+
+SUMS_SCHEMA = StructType([StructField("sums", ArrayType(DoubleType()))])
 MODEL_SCHEMA = "step bigint, name string, row int, col int, value double"
 
 Params = dict[str, np.ndarray]
@@ -63,11 +68,8 @@ def _batch_gradient(x: np.ndarray, labels: np.ndarray, w: np.ndarray, b: np.ndar
     return loss, x.T @ delta, delta.sum(axis=0)
 
 
-def gradient_cells(df: DataFrame, params: Params, features: str = "features", label: str = "label"):
-    """``(cell, total)``: the summed gradient of all rows, flattened; then loss and row count.
-
-    Every task folds its rows into one vector before anything is shuffled.
-    """
+def partial_gradients(df: DataFrame, params: Params, features: str, label: str) -> DataFrame:
+    """``sums`` per task: its rows' summed gradient, flattened; then their loss and count."""
     w, b = params["weights"], params["biases"]
     width, size = w.shape[0], w.size + b.size + 2
 
@@ -82,23 +84,39 @@ def gradient_cells(df: DataFrame, params: Params, features: str = "features", la
         if sums[-1]:
             yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()])], names=["sums"])
 
-    parts = df.select(features, label).mapInArrow(fold, "sums array<double>")
-    cells = parts.select(F.posexplode("sums").alias("cell", "part"))
-    return cells.groupBy("cell").agg(F.sum("part").alias("total"))
+    return df.select(features, label).mapInArrow(fold, SUMS_SCHEMA)
 
 
-def mean_gradient(df: DataFrame, params: Params, **columns) -> tuple[Params, float, int]:
-    """Mean gradient, mean loss and row count. Only the model's size reaches the driver."""
-    sums = np.zeros(params["weights"].size + params["biases"].size + 2)
-    for cell, total in gradient_cells(df, params, **columns).collect():
-        sums[cell] = total
+def mean_gradient(
+    df: DataFrame,
+    params: Params,
+    features: str = "features",
+    label: str = "label",
+    max_rows: int | None = None,
+) -> tuple[Params, float, int]:
+    """Mean gradient, mean loss and row count.
+
+    Tasks' vectors are summed by Spark, cell by cell, so only the model's size reaches the
+    driver. ``max_rows`` bounds the rows of ``df`` and with them the vectors; when even one
+    vector per row is little, they come to the driver directly and a shuffle is saved.
+    """
+    parts = partial_gradients(df, params, features, label)
+    size = params["weights"].size + params["biases"].size + 2
+    sums = np.zeros(size)
+    if max_rows is not None and max_rows * size <= DIRECT_NUMBERS:
+        for row in parts.collect():
+            sums += np.asarray(row[0])
+    else:
+        cells = parts.selectExpr("posexplode(sums) AS (cell, part)").groupBy("cell")
+        for cell, total in cells.agg(F.sum("part")).collect():
+            sums[cell] = total
     rows = int(sums[-1])
     if rows == 0:
         raise ValueError("a training step has no rows")
-    cut = params["weights"].size
+    weights = params["weights"]
     grads = {
-        "weights": (sums[:cut] / rows).reshape(params["weights"].shape),
-        "biases": sums[cut:-2] / rows,
+        "weights": (sums[: weights.size] / rows).reshape(weights.shape),
+        "biases": sums[weights.size : -2] / rows,
     }
     return grads, sums[-2] / rows, rows
 
@@ -231,7 +249,8 @@ def train(
         if feed is None or reshuffle:
             feed = epoch_feed(data, "id", batch_size, epoch, workers, shard_batches)
         for local in range(feed.steps):
-            grads, loss, _ = mean_gradient(feed.step(local), params)
+            step_rows = feed.step_rows * len(feed.rows)
+            grads, loss, _ = mean_gradient(feed.step(local), params, max_rows=step_rows)
             if weight_decay:
                 loss += weight_decay * float((params["weights"] ** 2).sum()) / 2
                 grads["weights"] = grads["weights"] + weight_decay * params["weights"]

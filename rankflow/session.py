@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", app: str = "rankflow", **conf) -> Spar
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

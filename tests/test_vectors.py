@@ -203,6 +203,16 @@ def test_first_gradient_by_hand(spark):
     assert grads["biases"].tolist() == [0.0, 0.0]
 
 
+def test_shuffled_and_direct_sums_agree(spark):
+    df, x, labels = rows_of(spark)
+    start = R.random_params(5, 3, stddev=0.5)
+    dw, db, loss = plain_gradient(x, labels, start["weights"], start["biases"])
+    for bound in (None, 240):
+        grads, got, count = R.mean_gradient(df.repartition(5), start, max_rows=bound)
+        assert count == 240 and got == pytest.approx(loss)
+        assert grads["weights"] == pytest.approx(dw) and grads["biases"] == pytest.approx(db)
+
+
 def test_gradient_of_an_empty_step(spark):
     df = spark.createDataFrame([], "features array<float>, label int")
     with pytest.raises(ValueError):
