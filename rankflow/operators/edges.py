@@ -20,6 +20,11 @@ from rankflow.session import cut
 MIN_SPLIT_ROWS = 100_000
 ADJACENCY_ROW_ENTRIES = 4096
 
+# Distinct edges per partition, and a bound on partitions: the blocks of a shuffle grow with
+# the square of their number.
+PARTITION_EDGES = 4_000_000
+MAX_PARTITIONS = 20_000
+
 
 def parse_edges(lines: DataFrame) -> DataFrame:
     """``(src, dst)`` for every line that holds exactly two usable fields."""
@@ -76,11 +81,11 @@ def build_graph(
 ) -> Graph:
     """Aggregate the edge multiset, split the largest sources and attach out-degrees.
 
+    ``partitions`` follows from the number of distinct edges unless given.
     ``keep_sources`` adds a self-edge of weight zero to each source. It carries no rank, yet
     keeps the source among the destinations.
     """
     spark = edges.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     weighted = cut(weighted_edges(edges), "weighted")
     degrees = cut(
         weighted.groupBy("src").agg(
@@ -89,6 +94,9 @@ def build_graph(
         "degrees",
     )
     total, largest = degrees.agg(F.sum("targets"), F.max("targets")).first()
+    if partitions is None:
+        wanted = -(-(total or 0) // PARTITION_EDGES)
+        partitions = max(spark.sparkContext.defaultParallelism, min(wanted, MAX_PARTITIONS))
     limit = max(split_rows, -(-(total or 0) // partitions))
     sources = degrees.select("src", "out_degree")
     if keep_sources:

@@ -19,14 +19,24 @@ SELECTION_BUCKETS = 2048
 SELECTION_ROWS = 100_000
 
 
-def sort_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Ascending sort over all partitions, nulls first."""
-    return df.orderBy(*[F.col(key).asc_nulls_first() for key in keys])
+def sort_by(df: DataFrame, *keys: str, copies: bool = False) -> DataFrame:
+    """Ascending sort over all partitions, nulls first.
+
+    Rows that tie on the keys are ordered by their other columns, so a hot key spreads over
+    many partitions. Exact copies still tie. Where a row may have very many of them, ``copies``
+    writes the input first and breaks ties by its stable row numbers.
+    """
+    order = [F.col(key).asc_nulls_first() for key in keys]
+    if copies:
+        numbered = cut(df, "unsorted").withColumn("_tie", F.monotonically_increasing_id())
+        return numbered.orderBy(*order, "_tie").drop("_tie")
+    others = [name for name, kind in df.dtypes if name not in keys and "map<" not in kind]
+    return df.orderBy(*order, *others)
 
 
-def sort_by_position(df: DataFrame, *positions: int) -> DataFrame:
+def sort_by_position(df: DataFrame, *positions: int, copies: bool = False) -> DataFrame:
     """The same, with the keys given as zero-based column positions."""
-    return sort_by(df, *[df.columns[position] for position in positions])
+    return sort_by(df, *[df.columns[position] for position in positions], copies=copies)
 
 
 @dataclass(frozen=True)

@@ -20,7 +20,7 @@ from rankflow.operators.edges import (
     build_graph,
     copy_to_salts,
 )
-from rankflow.session import checkpointed, cut, cut_bucketed
+from rankflow.session import checkpointed, cut, cut_bucketed, shuffle_partitions
 
 # Defaults of the ranking programs.
 ITERATIONS = 10
@@ -48,28 +48,26 @@ def pagerank(
 
     ``partitioning="hash"`` is the choice for large graphs: the links are bucketed by source
     once, after which an iteration shuffles nothing but contributions, combined map-side.
-    ``num_partitions`` should then match ``spark.sql.shuffle.partitions``, its default.
-    ``only_left`` reports only nodes that occur as a source; ``ignore_zero_incoming=False``
+    ``num_partitions`` follows from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source; ``ignore_zero_incoming=False``
     keeps sources that nothing links to.
     """
     if layout not in LAYOUTS or partitioning not in PARTITIONINGS:
         raise ValueError(f"layout must be in {LAYOUTS} and partitioning in {PARTITIONINGS}")
     graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
-    links = _links(graph, layout, row_entries)
-    links = _place(links, graph, partitioning, cache)
-
-    ranks = None
     placed = partitioning == "hash" or (cache and partitioning is None)
-    for step in range(1, n_iter + 1):
-        if placed and ranks is not None:
-            # The links already lie where a merge join wants them; broadcasting ranks, which
-            # grow with the graph, would be slower.
-            ranks = ranks.hint("merge")
-        ranks = _iterate(ranks, links, graph, layout, damping)
-        if step % checkpoint_every == 0 or step == n_iter:
-            ranks = checkpointed(ranks)
-    if cache:
-        links.unpersist()
+    ranks = None
+    with shuffle_partitions(edges.sparkSession, graph.partitions):
+        links = _place(_links(graph, layout, row_entries), graph, partitioning, cache)
+        for step in range(1, n_iter + 1):
+            if placed and ranks is not None:
+                # The links already lie where a merge join wants them; broadcasting ranks,
+                # which grow with the graph, would be slower.
+                ranks = ranks.hint("merge")
+            ranks = _iterate(ranks, links, graph, layout, damping)
+            if step % checkpoint_every == 0 or step == n_iter:
+                ranks = checkpointed(ranks)
+        if cache:
+            links.unpersist()
     sources = graph.sources.select(F.col("src").alias("node"))
     if ranks is None:
         ranks = sources.withColumn("rank", F.lit(1.0))

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def local_session(cores: int | str = "*", app: str = "rankflow", **conf) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     settings = {
-        "spark.sql.shuffle.partitions": "8",
+        SHUFFLE_PARTITIONS: "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -59,6 +61,17 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, count: int):
+    """Plans executed inside shuffle into ``count`` partitions, so that they meet in place."""
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the plan is cut and survives the loss of any executor."""
     shared_dir(df.sparkSession)

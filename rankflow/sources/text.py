@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rankflow.functions.text import pair_line
+from rankflow.operators.ordering import sort_by
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -36,12 +37,12 @@ def write_table(df: DataFrame, path: str, single: bool = False) -> None:
     _parts(df, single).write.option("header", True).csv(path)
 
 
-def write_lines(df: DataFrame, path: str, keys: list[str], line: str, single: bool = False) -> None:
-    """The column ``line`` as text, sorted by ``keys``."""
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    if single:
-        ordered = df.orderBy(*keys).coalesce(1)
-    ordered.select(F.col(line).alias("value")).write.text(path)
+def write_lines(
+    df: DataFrame, path: str, keys: list[str], line: str, single: bool = False, copies: bool = False
+) -> None:
+    """The column ``line`` as text, sorted by ``keys`` over numbered part files."""
+    ordered = sort_by(df.select(*dict.fromkeys([*keys, line])), *keys, copies=copies)
+    _parts(ordered, single).select(F.col(line).alias("value")).write.text(path)
 
 
 def _parts(df: DataFrame, single: bool) -> DataFrame:

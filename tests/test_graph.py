@@ -175,3 +175,15 @@ def test_a_placed_iteration_shuffles_only_contributions(spark, layout, options):
 def test_unknown_layout_is_refused(spark):
     with pytest.raises(ValueError):
         pagerank(graph(spark, [("a", "b")]), layout="matrix")
+
+
+def test_partitions_follow_the_graph_and_the_setting_is_restored(spark, monkeypatch):
+    monkeypatch.setattr(E, "PARTITION_EDGES", 10)
+    edges = graph(spark, [(f"n{i % 50}", f"n{(i * 7) % 50}") for i in range(300)])
+    distinct = E.weighted_edges(edges).count()
+    assert E.build_graph(edges).partitions == max(8, -(-distinct // 10))
+    monkeypatch.setattr(E, "MAX_PARTITIONS", 9)
+    assert E.build_graph(edges).partitions == max(8, min(9, -(-distinct // 10)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    pagerank(edges, 1, num_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

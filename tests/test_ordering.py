@@ -84,6 +84,19 @@ def test_sorts(spark):
     assert [tuple(r) for r in sort_by_position(df, 0, 1).collect()] == expected
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_hot_key_is_spread_over_the_sorted_partitions(spark, copies):
+    rows = [("hot", "same" if copies else f"{i:04d}") for i in range(1000)]
+    rows += [(f"k{i:04d}", "x") for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(6)
+    ordered = sort_by(df, "k", copies=copies)
+    assert sorted(map(tuple, ordered.collect())) == sorted(rows)
+    assert [r["k"] for r in ordered.collect()] == sorted(k for k, _ in rows)
+    parts = ordered.withColumn("p", F.spark_partition_id())
+    sizes = [r["count"] for r in parts.groupBy("p").count().collect()]
+    assert max(sizes) < 800
+
+
 @pytest.mark.parametrize("limit", [0, 100])
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_join_beyond_the_broadcast_limit(spark, limit, how):
