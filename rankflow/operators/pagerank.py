@@ -59,11 +59,7 @@ def pagerank(
     with shuffle_partitions(edges.sparkSession, graph.partitions):
         links = _place(_links(graph, layout, row_entries), graph, partitioning, cache)
         for step in range(1, n_iter + 1):
-            if placed and ranks is not None:
-                # The links already lie where a merge join wants them; broadcasting ranks,
-                # which grow with the graph, would be slower.
-                ranks = ranks.hint("merge")
-            ranks = _iterate(ranks, links, graph, layout, damping)
+            ranks = _iterate(ranks, links, graph, layout, damping, placed)
             if step % checkpoint_every == 0 or step == n_iter:
                 ranks = checkpointed(ranks)
         if cache:
@@ -100,10 +96,19 @@ def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool
     return cut(links, "links")
 
 
-def _iterate(ranks: DataFrame | None, links: DataFrame, graph: Graph, layout: str, damping: float):
+def _iterate(
+    ranks: DataFrame | None,
+    links: DataFrame,
+    graph: Graph,
+    layout: str,
+    damping: float,
+    placed: bool = False,
+) -> DataFrame:
     """One step: every source sends its rank along its links, and each node sums what arrives.
 
-    In the first step every source holds rank 1.0, so nothing has to be looked up.
+    In the first step every source holds rank 1.0, so nothing has to be looked up. Links that
+    are ``placed`` already lie where a merge join wants them; broadcasting the ranks, which
+    grow with the graph, would be slower.
     """
     if ranks is None:
         held = links.withColumn("rank", F.lit(1.0))
@@ -111,6 +116,8 @@ def _iterate(ranks: DataFrame | None, links: DataFrame, graph: Graph, layout: st
         holders = ranks.withColumnRenamed("node", "src")
         if graph.hubs is not None:
             holders = copy_to_salts(holders, graph.hubs)
+        if placed:
+            holders = holders.hint("merge")
         held = links.join(holders, graph.keys)
     sent = F.col("rank") * F.col("part")
     if layout == "adjacency":

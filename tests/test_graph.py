@@ -165,13 +165,26 @@ def test_a_placed_iteration_shuffles_only_contributions(spark, layout, options):
     built = E.build_graph(graph(spark, pairs))
     links = _place(_links(built, layout, 100), built, *options)
     first = _iterate(None, links, built, layout, 0.85)
-    second = _iterate(first.hint("merge"), links, built, layout, 0.85)
+    second = _iterate(first, links, built, layout, 0.85, placed=True)
     plan = operators(second)
     exchanges = [line for line in plan if "Exchange" in line]
     assert sum("SortMergeJoin" in line for line in plan) == 1
     assert len(exchanges) == 2 and all("hashpartitioning(dst" in line for line in exchanges)
 
 
+@pytest.mark.parametrize("layout", ["edges", "adjacency"])
+def test_a_split_hub_moves_ranks_but_no_links(spark, layout):
+    built = E.build_graph(graph(spark, skewed_pairs()), split_rows=20)
+    assert built.hubs is not None
+    links = _place(_links(built, layout, 100), built, "hash", False)
+    first = _iterate(None, links, built, layout, 0.85, placed=True)
+    plan = operators(_iterate(first, links, built, layout, 0.85, placed=True))
+    hashed = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert sum("hashpartitioning(dst" in line for line in hashed) == 2
+    assert sum("hashpartitioning(src" in line and "salt" in line for line in hashed) == 1
+    assert len(hashed) == 3 and sum("SortMergeJoin" in line for line in plan) == 1
+
+
 def test_unknown_layout_is_refused(spark):
     with pytest.raises(ValueError):
         pagerank(graph(spark, [("a", "b")]), layout="matrix")
