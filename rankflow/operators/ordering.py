@@ -59,7 +59,10 @@ class OrderedRows:
             low_row, high_row = max(low - self.starts[part], 0), high - self.starts[part]
             ranges.append(f"(_part = {part} AND _row >= {low_row} AND _row < {high_row})")
         # One text instead of many column objects: a training loop builds this every step.
-        return self.table.filter(" OR ".join(ranges) or "false")
+        if not touched:
+            return self.table.filter("false")
+        parts = ", ".join(map(str, touched))
+        return self.table.filter(f"_part IN ({parts}) AND ({' OR '.join(ranges)})")
 
 
 def ordered_rows(df: DataFrame, order_by: list[str | Column]) -> OrderedRows:
