@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import mixing, urls, warc
+from rankflow.llm import jaccard, langid, mixing, pieces, quality, urls, warc
 from rankflow.llm.common import table
 
 # The rules of the URL query.
@@ -18,6 +18,15 @@ URL_RULES = [
 ]
 
 
+def _remainder(column: str, divisor: int):
+    """crc32 of an id as text, modulo ``divisor``; a null id has none."""
+    return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(divisor))
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -26,6 +35,28 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(_remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= quality.PREDICT_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the number and a hash of its pieces, and whether they spell the text again."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    decoded = pieces.decode(encoded)
+    return decoded.select(
+        "doc_id", F.length("text").cast("bigint").alias("n_chars"),
+        F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("pieces_hash"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages"))
     return records.select(
@@ -35,10 +66,28 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(_remainder("doc_id", 5) != 0))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
     judged = urls.judge_urls(table(spark, sf_dir, "pages"), rules)
     return judged.withColumnRenamed("id", "page_id")
 
 
-QUERIES = {"op3_mix": op3_mix, "op6_warc": op6_warc, "op9_urls": op9_urls}
+QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_mix": op3_mix,
+    "op4_quality": op4_quality,
+    "op5_pieces": op5_pieces,
+    "op6_warc": op6_warc,
+    "op7_language": op7_language,
+    "op9_urls": op9_urls,
+}
