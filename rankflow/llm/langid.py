@@ -93,7 +93,7 @@ def piece_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
                     held = 0
         yield from flush()
 
-    counted = docs.select("lang", "text").mapInArrow(count, "lang string, piece int, n bigint")
+    counted = docs.select("lang", "text").mapInArrow(count, "lang string, piece bigint, n bigint")
     return counted.groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
@@ -121,14 +121,17 @@ def predictor(spark: SparkSession, model: LanguageModel):
     if not model.languages:
         nothing = F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score"))
         return lambda text: nothing
-    shared = spark.sparkContext.broadcast(model)
+    # Plain values: a worker may read them before it can import this package.
+    shared = spark.sparkContext.broadcast(
+        (model.languages, model.probabilities, model.log_prior, model.tokenizer)
+    )
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = shared.value
-        vocabulary = load_vocabulary(model.tokenizer)
+        languages, probabilities, log_prior, tokenizer = shared.value
+        vocabulary = load_vocabulary(tokenizer)
         places: dict[str, int] = {}
-        values = np.zeros((0, len(model.languages)))
+        values = np.zeros((0, len(languages)))
 
         def likelihood(words: list[str]) -> np.ndarray:
             nonlocal values
@@ -138,7 +141,7 @@ def predictor(spark: SparkSession, model: LanguageModel):
                 values = values[:0]
                 fresh = list(set(words))
             if fresh:
-                new = log_marginals(vocabulary, fresh, model.probabilities)
+                new = log_marginals(vocabulary, fresh, probabilities)
                 places.update(zip(fresh, range(len(values), len(values) + len(fresh))))
                 values = np.concatenate([values, new])
             return values[np.fromiter(map(places.__getitem__, words), np.int64, len(words))].sum(axis=0)
@@ -154,14 +157,14 @@ def predictor(spark: SparkSession, model: LanguageModel):
                     if seen:
                         likelihood(seen)
                 for text in group:
-                    total = model.log_prior.copy()
+                    total = log_prior.copy()
                     any_word = False
                     for part in words_of(text or ""):
                         total += likelihood(part)
                         any_word = True
                     best = int(total.argmax())
                     share = np.exp(total - total[best])
-                    langs.append(model.languages[best] if any_word else UNDETERMINED)
+                    langs.append(languages[best] if any_word else UNDETERMINED)
                     scores.append(float(1.0 / share.sum()) if any_word else 0.0)
             yield pd.DataFrame({"lang": langs, "score": scores})
 

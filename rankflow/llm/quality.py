@@ -129,14 +129,15 @@ def fit_sample(good: list[str], bad: list[str]) -> QualityModel:
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability ``out`` that the text is good."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a worker may read them before it can import this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.good, model.bad, model.slope, model.offset))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
-        good, bad = Compressor(model.good), Compressor(model.bad)
+        good_bytes, bad_bytes, slope, offset = shared.value
+        good, bad = Compressor(good_bytes), Compressor(bad_bytes)
         for batch in batches:
             x = np.array([difference(t, good, bad) for t in batch], dtype=float)
-            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700))))
+            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(slope * x + offset, -700, 700))))
 
     return docs.withColumn(out, scored(F.col(f"`{text_col}`")))
