@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import jaccard, langid, mixing, pieces, quality, urls, warc
+from rankflow.llm import ann, jaccard, langid, mixing, pieces, quality, urls, warc
 from rankflow.llm.common import table
 
 # The rules of the URL query.
@@ -82,6 +82,11 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "page_id")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mix": op3_mix,
@@ -90,4 +95,5 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_language": op7_language,
     "op9_urls": op9_urls,
+    "op10_nearest": op10_nearest,
 }
