@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import ann, jaccard, langid, mixing, pieces, quality, urls, warc
+from rankflow.llm import ann, jaccard, langid, mixing, pieces, pii, quality, urls, warc
 from rankflow.llm.common import table
 
 # The rules of the URL query.
@@ -76,6 +76,20 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    kinds = F.transform(base, lambda x: x["kind"])
+    counts = [
+        (F.size(base) - F.size(F.array_remove(kinds, i))).cast("bigint").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.BASE_KINDS)
+    ]
+    return found.select(
+        F.col("id").alias("doc_id"), *counts,
+        F.sha2(pii.listing(base), 256).alias("base_sha256"), pii.listing(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
     judged = urls.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -94,6 +108,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_warc": op6_warc,
     "op7_language": op7_language,
+    "op8_personal_data": op8_personal_data,
     "op9_urls": op9_urls,
     "op10_nearest": op10_nearest,
 }
