@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import ann, jaccard, langid, mixing, pieces, pii, quality, urls, warc
+from rankflow.llm import ann, edited, jaccard, langid, mixing, pieces, pii, quality, simhash, urls, warc
 from rankflow.llm.common import table
+from rankflow.session import cut
 
 # The rules of the URL query.
 URL_RULES = [
@@ -23,6 +24,23 @@ def _remainder(column: str, divisor: int):
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(divisor))
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also ``near_others`` for ids divisible by 100: other fingerprints of the table within the radius."""
+    rows = cut(edited.fingerprints_with_edits(table(spark, sf_dir, "documents")), "fingerprints")
+    asked = F.col("id") % 100 == 0
+    all_prints = rows.select(F.col("own").alias("fingerprint"))
+    near = simhash.find_near(rows.filter(asked).select(F.col("own").alias("fingerprint")), all_prints)
+    counts = near.groupBy("query").agg(F.count("*").alias("near_others"))
+    return rows.join(counts, F.when(asked, F.col("own")) == F.col("query"), "left").select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
+        simhash.as_text(F.col("own")).alias("fingerprint"),
+        simhash.as_text(F.col("edited")).alias("edited_fingerprint"),
+        simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        simhash.likeness(F.col("own"), F.col("next")).alias("near_next"),
+        F.when(asked, F.coalesce("near_others", F.lit(0))).alias("near_others"),
+    )
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -102,6 +120,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mix": op3_mix,
     "op4_quality": op4_quality,
