@@ -436,19 +436,32 @@ def similar_classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     return classes, components(links.unionByName(more))
 
 
-def similarity_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM
-) -> DataFrame:
-    """``(id, n_shingles, component_id)`` per row of ``docs``."""
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     words = normal_words(F.col("text"))
-    rows = picked(docs, id=id_col, text=text_col).select("id", words.alias("words")).select(
-        "id", "words", F.unhex(F.substring(F.sha2("words", 256), 1, 32)).alias("key")
+    return picked(docs, id=id_col, text=text_col).select("id", words.alias("words")).select(
+        "id", "words", class_key(F.col("words")).alias("key")
     )
+
+
+def class_key(words: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(words, 256), 1, 32))
+
+
+def _labelled(rows: DataFrame, n: int) -> DataFrame:
+    """``(key, size, first_id, label)`` for every class of ``rows``."""
     classes, labels = similar_classes(rows, n)
     known = classes.select("key", "cid", "size", "first_id").join(
         labels.withColumnRenamed("node", "cid"), "cid", "left"
     )
-    known = cut(known.withColumn("label", F.coalesce("label", "cid")), "known")
+    return cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
+
+
+def similarity_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM
+) -> DataFrame:
+    """``(id, n_shingles, component_id)`` per row of ``docs``."""
+    rows = _keyed(docs, id_col, text_col)
+    known = _labelled(rows, n)
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = cut(known.join(least, "label").select("key", "size", "component_id"), "found")
     none = rows.filter("words = ''").select(
@@ -459,3 +472,45 @@ def similarity_components(
         .select("id", F.col("size").cast("bigint").alias("n_shingles"), "component_id")
         .unionByName(none)
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM
+) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id, known ids first.
+
+    Rows without words stay. Only rows that may have to go are shuffled with their texts.
+    """
+    worded = _keyed(docs, id_col, text_col).filter("words != ''")
+    known, rows = _labelled(worded, n), worded.select("id", "key")
+    best = known.groupBy("label").agg(
+        F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "key")).alias("best")
+    )
+    chosen = cut(
+        known.join(best, "label").select(
+            F.col("key").alias("c_key"), (F.col("key") == F.col("best.key")).alias("leads"), "first_id"
+        ),
+        "chosen",
+    )
+    judged = rows.join(chosen, F.col("key") == F.col("c_key")).withColumn(
+        "kept", F.col("leads") & F.col("id").eqNullSafe(F.col("first_id"))
+    )
+    doubtful = judged.groupBy("key", "id", "kept").agg(F.count("*").alias("copies")).filter("NOT kept OR copies > 1")
+    doubtful = cut(doubtful.select(F.col("key").alias("d_key"), F.col("id").alias("d_id"), "kept"), "doubtful")
+    names = docs.columns
+    key = class_key(normal_words(F.col(f"`{text_col}`")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), key.alias("key"), F.col(f"`{id_col}`").alias("id"))
+    hashed = keyed.withColumn("hash", F.xxhash64("key", "id"))
+    sieve = _sieve_rows(doubtful.select(F.xxhash64("d_key", "d_id").alias("value")))
+    low = F.col("hash").bitwiseAND((1 << SIEVE_BITS) - 1)
+    # At most 2 ** (SIEVE_BITS - 6) rows of two numbers.
+    sifted = hashed.withColumn("low", low).join(F.broadcast(sieve), F.shiftright("low", 6) == F.col("word"), "left")
+    maybe = F.expr("coalesce((shiftright(bits, cast(low & 63 AS int)) & 1) = 1, false)")
+    sifted = sifted.withColumn("maybe", maybe).select("row", "key", "id", "maybe")
+    met = sifted.filter("maybe").join(
+        doubtful, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_id")), "left"
+    )
+    sure = met.filter(F.col("d_key").isNull()).select("row")
+    once = met.filter("kept").groupBy("key", "id").agg(F.first("row").alias("row")).select("row")
+    rest = sifted.filter("NOT maybe").select("row")
+    return rest.unionByName(sure).unionByName(once).select("row.*")
