@@ -25,6 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from rankflow.llm.common import LOWER, UPPER, WORD, picked
 
@@ -68,7 +69,7 @@ def as_signed(value: int) -> int:
     return value - (1 << BITS) if value >= 1 << (BITS - 1) else value
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def fingerprint_of(texts: pd.Series) -> pd.Series:
     """The fingerprint as a signed 64-bit number."""
     return pd.Series([as_signed(fingerprint(text)) for text in texts], dtype="int64")
