@@ -1,6 +1,6 @@
 """Exact similarity join of word n-gram sets under Jaccard similarity.
 
-Texts with the same words form a class, whose set stands for all copies. Sets that may be similar
+Equal texts form a class, whose set stands for all copies. Sets that may be similar
 share one of their first elements in any common order (the prefix filter); the order is by hash,
 with frequent n-grams last, so a passage that many texts share brings few candidates. Groups of sets that share
 such an element are cut into tiles by size band, as similar sets lie in the same band or in two that adjoin, and by
@@ -8,9 +8,9 @@ number. In a tile, hashed bitmaps bound the overlap from above: bits that differ
 only one set has. What passes is compared exactly, as sorted arrays of 64-bit n-gram hashes.
 
 Links inside a component that is already known need no second proof, so large groups are joined in two rounds: the
-first proves a spanning forest of what the bitmaps let through, the second all pairs between
-different components that they let through. Nothing is capped: the list of frequent n-grams and the
-sieves only save work, and results are the same without them.
+first takes some of the groups and proves a spanning forest of what the bitmaps let through, the second takes all and
+proves every pair between different components that they let through. Nothing is capped: the first round, the
+list of frequent n-grams and the sieves only save work, and results are the same without them.
 
 Defined results: words are split at spaces, tabs and line ends, A-Z lower-cased. A text with fewer words than
 an n-gram is one element; a null text or one without words has no set and links with nothing. Rows with equal
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankflow.llm.common import SPACE, ascii_lower, picked
+from rankflow.llm.common import LOWER, UPPER, picked
 from rankflow.llm.components import components
 from rankflow.llm.lattice import mix64
 from rankflow.session import cut
@@ -48,26 +48,27 @@ TILE = 1024
 SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 
-_FOLD = np.uint64(0x100000001B3)
+# The first round looks at one in so many groups.
+FIRST_ROUND = 8
+FINE_BITS = 8
 
-
-def normal_words(text: Column) -> Column:
-    """The words in lower case, one space between them."""
-    return F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), f"{SPACE}+", " "))
+_LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word n-grams."""
+    """Sorted distinct 64-bit hashes of a text's word n-grams, for texts in UTF-8."""
 
     def __init__(self, n: int):
         self.n, self.known = n, {}
+        self.factors = mix64(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
-    def __call__(self, words: str) -> np.ndarray:
-        known, split = self.known, words.split(" ") if words else []
+    def __call__(self, text: bytes) -> np.ndarray:
+        known = self.known
         if len(known) > 500_000:
             known.clear()
+        # Bytes are split at the ASCII white space that separates words, and nowhere else.
         hashes = []
-        for word in split:
+        for word in text.translate(_LOWER_BYTES).split():
             h = known.get(word)
             if h is None:
                 h = known[word] = xxhash.xxh3_64_intdigest(word)
@@ -76,10 +77,11 @@ class Shingler:
             return np.zeros(0, dtype=np.uint64)
         own = np.array(hashes, dtype=np.uint64)
         width = min(self.n, len(own))
-        rolled = np.full(len(own) - width + 1, width, dtype=np.uint64)
+        count = len(own) - width + 1
+        rolled = np.full(count, width, dtype=np.uint64)
         for i in range(width):
-            rolled = mix64(rolled * _FOLD + own[i : len(own) - width + 1 + i])
-        return np.unique(rolled)
+            rolled += own[i : i + count] * self.factors[i]
+        return np.unique(mix64(rolled))
 
 
 def needed_overlap(sizes: np.ndarray) -> np.ndarray:
@@ -117,59 +119,66 @@ def band(size: Column) -> Column:
 # --- classes and their prefixes ----------------------------------------------------------------
 
 
-def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """Written tables of the classes, ``(cid, key, size, coarse, words, first_id)``, and of n-grams seen often."""
-    grouped = rows.filter("words != ''").groupBy("key").agg(
-        F.first("words").alias("words"), F.min("id").alias("first_id")
+def _utf8(column: pa.Array) -> pa.Array:
+    return column.cast(pa.binary())
+
+
+def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: classes ``(cid, key, size, coarse, text)``, n-grams seen often, and each key's smallest id.
+
+    Only texts that seem to occur twice are shuffled, after partial aggregation.
+    """
+    firsts = cut(
+        rows.groupBy("key").agg(F.min("id").alias("first_id"), F.count("*").alias("copies")), "firsts"
     )
+    repeated = firsts.filter("copies > 1").select(F.xxhash64("key").alias("value"))
+    sifted = _sifted(rows.select("key", "text"), F.xxhash64("key"), repeated)
+    once = sifted.filter("maybe").groupBy("key").agg(F.first("text").alias("text"))
+    grouped = sifted.filter("NOT maybe").select("key", "text").unionByName(once)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, held, total = Shingler(n), [], 0
 
-        def often(id_type: pa.DataType) -> pa.RecordBatch:
+        def often() -> pa.RecordBatch:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             kept = counts >= OFTEN_IN_TASK
-            n = int(kept.sum())
+            rows = int(kept.sum())
             columns = [
-                pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()),
-                pa.nulls(n, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, id_type),
+                pa.array([True] * rows, pa.bool_()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int32()),
+                pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.string()),
                 pa.array(values[kept].view(np.int64)), pa.array(counts[kept].astype(np.int64)),
             ]
             return pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
         for batch in batches:
             sizes, marks = [], []
-            for words in batch.column(1):
-                own = shingles(words.as_py())
+            for text in _utf8(batch.column(1)):
+                own = shingles(text.as_py())
                 sizes.append(len(own))
                 marks.append(bitmap(own, bitmap_bits(len(own), 2)).tobytes())
                 held.append(own)
                 total += len(own)
                 if total > HASHES_HELD:
-                    yield often(batch.column(2).type)
+                    yield often()
                     held, total = [], 0
             nothing = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([False] * len(sizes)), batch.column(0), pa.array(sizes, pa.int32()),
-                 pa.array(marks, pa.binary()), batch.column(1), batch.column(2), nothing, nothing],
+                [pa.array([False] * len(sizes), pa.bool_()), batch.column(0), pa.array(sizes, pa.int32()),
+                 pa.array(marks, pa.binary()), batch.column(1), nothing, nothing],
                 names=_NAMES,
             )
         if held:
-            yield often(batch.column(2).type)
-
-    schema = (
-        f"hint boolean, key binary, size int, coarse binary, words string, first_id {dict(rows.dtypes)['id']}, "
-        "token bigint, seen bigint"
-    )
+            yield often()
 
-    signed = grouped.select("key", "words", "first_id").mapInArrow(sign, schema)
+    schema = "hint boolean, key binary, size int, coarse binary, text string, token bigint, seen bigint"
+    signed = grouped.select("key", "text").mapInArrow(sign, schema)
     table = cut(
         signed.withColumn("cid", F.monotonically_increasing_id()), "classes", partition_by=("hint",)
     )
-    return table.filter("hint = false"), table.filter("hint = true").select("token", "seen")
+    return table.filter("hint = false"), table.filter("hint = true").select("token", "seen"), firsts
 
 
-_NAMES = ["hint", "key", "size", "coarse", "words", "first_id", "token", "seen"]
+_NAMES = ["hint", "key", "size", "coarse", "text", "token", "seen"]
 
 
 def _frequent(hints: DataFrame) -> np.ndarray:
@@ -189,40 +198,32 @@ def _frequent(hints: DataFrame) -> np.ndarray:
     return np.sort(listed.view(np.uint64))
 
 
-def _postings(classes: DataFrame, n: int, frequent, sieve=None) -> DataFrame:
-    """``(token, cid, size)``: the first n-grams of each class in the common order.
-
-    With a sieve, n-grams that only one class has are left out where it tells.
-    """
+def _postings(classes: DataFrame, n: int, frequent) -> DataFrame:
+    """``(token, cid, size, place)``: the first n-grams of each class in the common order, with their places."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        rare_last = frequent.value
-        bits = None if sieve is None else sieve.value
+        shingles, rare_last = Shingler(n), frequent.value
         for batch in batches:
-            tokens, owners, sizes = [], [], []
-            for cid, words in zip(batch.column(0).to_numpy(), batch.column(1)):
-                own = shingles(words.as_py())
+            tokens, owners, sizes, places = [], [], [], []
+            for cid, text in zip(batch.column(0).to_numpy(), _utf8(batch.column(1))):
+                own = shingles(text.as_py())
                 if len(rare_last):
                     at = np.minimum(np.searchsorted(rare_last, own), len(rare_last) - 1)
                     often = rare_last[at] == own
-                    ordered = np.concatenate([own[~often], own[often]])
-                else:
-                    ordered = own
-                prefix = ordered[: len(own) - int(needed_overlap(np.int64(len(own)))) + 1]
-                if bits is not None:
-                    place = prefix & np.uint64((1 << SIEVE_BITS) - 1)
-                    word = bits[(place >> np.uint64(6)).astype(np.int64)]
-                    prefix = prefix[(word >> (place & np.uint64(63))) & np.uint64(1) == 1]
+                    own = np.concatenate([own[~often], own[often]])
+                prefix = own[: len(own) - int(needed_overlap(np.int64(len(own)))) + 1]
                 tokens.append(prefix.view(np.int64))
                 owners.append(np.full(len(prefix), cid))
                 sizes.append(np.full(len(prefix), len(own), dtype=np.int32))
+                places.append(np.arange(len(prefix), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes)], names=["token", "cid", "size"]
+                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes, places)],
+                    names=["token", "cid", "size", "place"],
                 )
 
-    return classes.select("cid", "words").mapInArrow(first, "token bigint, cid bigint, size int")
+    schema = "token bigint, cid bigint, size int, place int"
+    return classes.filter("size > 0").select("cid", "text").mapInArrow(first, schema)
 
 
 def _sieve_rows(values: DataFrame) -> DataFrame:
@@ -234,24 +235,23 @@ def _sieve_rows(values: DataFrame) -> DataFrame:
     )
 
 
-def _sieve(values: DataFrame) -> np.ndarray:
-    """The same for tasks; its size is fixed, whatever the number of values."""
-    rows = _sieve_rows(values).toPandas()
-    words = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
-    words[rows["word"].to_numpy()] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return words
+def _sifted(table: DataFrame, value: Column, wanted: DataFrame) -> DataFrame:
+    """``table`` with ``maybe``: false only where ``value`` is not among those of ``wanted (value)``.
+
+    The set of bits that is broadcast has at most ``2 ** (SIEVE_BITS - 6)`` rows of two numbers, whatever the data.
+    """
+    low = value.bitwiseAND((1 << SIEVE_BITS) - 1)
+    met = table.withColumn("_low", low).join(
+        F.broadcast(_sieve_rows(wanted)), F.shiftright("_low", 6) == F.col("word"), "left"
+    )
+    maybe = F.expr("coalesce((shiftright(bits, cast(_low & 63 AS int)) & 1) = 1, false)")
+    return met.withColumn("maybe", maybe).drop("_low", "word", "bits")
 
 
 def _only(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``table`` whose ``key`` is in ``wanted (cid)``; a sieve keeps most others out of the shuffle."""
-    spread = F.xxhash64(F.col(key))
-    sieve = _sieve_rows(wanted.select(F.xxhash64("cid").alias("value")))
-    low = spread.bitwiseAND((1 << SIEVE_BITS) - 1)
-    # At most 2 ** (SIEVE_BITS - 6) rows of two numbers.
-    passed = table.withColumn("_low", low).join(
-        F.broadcast(sieve), F.shiftright("_low", 6) == F.col("word")
-    ).filter(F.expr("(shiftright(bits, cast(_low & 63 AS int)) & 1) = 1"))
-    return passed.select(*table.columns)
+    """Rows of ``table`` whose ``key`` may be in ``wanted (cid)``, which spares the others the shuffle of a join."""
+    kept = _sifted(table, F.xxhash64(key), wanted.select(F.xxhash64("cid").alias("value"))).filter("maybe")
+    return kept.select(*table.columns)
 
 
 # --- candidates and proofs ---------------------------------------------------------------------
@@ -283,56 +283,60 @@ def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
         marked.select("a", "b", "size_a", "size_b", "mark_a", "mark_b").mapInArrow(bound, "a bigint, b bigint"),
         "bounded",
     )
-    texts = _only(classes.select("cid", "words"), "cid", passed.select(F.explode(F.array("a", "b")).alias("cid")))
+    texts = _only(classes.select("cid", "text"), "cid", passed.select(F.explode(F.array("a", "b")).alias("cid")))
     both = passed.join(
-        texts.select(F.col("cid").alias("a"), F.col("words").alias("words_a")), "a"
-    ).join(texts.select(F.col("cid").alias("b"), F.col("words").alias("words_b")), "b")
+        texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a"
+    ).join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for batch in batches:
             a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             keep = np.zeros(len(a), dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            for i, (x, y) in enumerate(zip(_utf8(batch.column(2)), _utf8(batch.column(3)))):
                 x, y = shingles(x.as_py()), shingles(y.as_py())
                 overlap = len(np.intersect1d(x, y, assume_unique=True))
                 keep[i] = linked(overlap, len(x), len(y))
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    return cut(both.select("a", "b", "words_a", "words_b").mapInArrow(exact, "a bigint, b bigint"), "links")
+    return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
+
+
+def _early(size_a, place_a, size_b, place_b):
+    """Whether two sets that first meet at these places can be similar; if they met before, another group has them."""
+    return linked(F.least(size_a - place_a, size_b - place_b), size_a, size_b)
 
 
 def _small_pairs(postings: DataFrame) -> DataFrame:
-    """Distinct pairs of comparable size in groups of at most ``SMALL_GROUP`` classes."""
+    """Distinct pairs that may be similar in groups of at most ``SMALL_GROUP`` classes."""
     groups = postings.filter(F.col("members") <= SMALL_GROUP).groupBy("token").agg(
-        F.sort_array(F.collect_list(F.struct("cid", "size"))).alias("own")
+        F.sort_array(F.collect_list(F.struct("cid", "size", "place"))).alias("own")
     )
     one = groups.select(F.posexplode("own").alias("at", "x"), "own")
     other = one.select("x", F.explode(F.slice("own", F.col("at") + 2, F.lit(SMALL_GROUP))).alias("y"))
-    low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    return other.filter(low * DENOMINATOR >= high * NUMERATOR).select(
+    return other.filter(_early(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"))).select(
         F.col("x.cid").alias("a"), F.col("y.cid").alias("b")
     ).distinct()
 
 
 def _fine_marks(classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """Bitmaps with sixteen bits per element, for classes in large groups only."""
+    """Bitmaps with many bits per element, for classes in large groups only."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for batch in batches:
             marks = []
-            for words in batch.column(1):
-                own = shingles(words.as_py())
-                marks.append(bitmap(own, bitmap_bits(len(own), 16)).tobytes())
+            for text in _utf8(batch.column(1)):
+                own = shingles(text.as_py())
+                marks.append(bitmap(own, bitmap_bits(len(own), FINE_BITS)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["cid", "fine"])
 
-    kept = _only(classes.select("cid", "words"), "cid", wanted).join(wanted, "cid", "left_semi")
-    return cut(kept.select("cid", "words").mapInArrow(sign, "cid bigint, fine binary"), "fine")
+    kept = _only(classes.select("cid", "text"), "cid", wanted).join(wanted, "cid", "left_semi")
+    return cut(kept.select("cid", "text").mapInArrow(sign, "cid bigint, fine binary"), "fine")
 
 
 def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs that the fine bitmaps let through in tiles of ``large (token, cid, size)``.
+    """Distinct pairs that the fine bitmaps let through in tiles of ``large (token, cid, size, place)``.
 
     Without ``labels`` a tile gives a spanning forest of them, with labels those between components.
     """
@@ -342,7 +346,7 @@ def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) ->
         mixed = large.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         large = large.join(mixed.filter("low != high").select("token"), "token")
     else:
-        large = large.withColumn("label", F.col("cid"))
+        large = large.filter(F.pmod("token", F.lit(FIRST_ROUND)) == 0).withColumn("label", F.col("cid"))
     own = large.withColumn("band", band(F.col("size"))).withColumn("upper", F.lit(False))
     below = own.withColumn("band", F.col("band") - 1).withColumn("upper", F.lit(True))
     placed = own.unionByName(below)
@@ -352,7 +356,7 @@ def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) ->
     part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
     dealt = placed.join(counts.filter("used").drop("used"), ["token", "band"]).withColumn("part", part)
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "token", "band", "cid", "size", "label", "upper", "part",
+        "token", "band", "cid", "size", "place", "label", "upper", "part",
         F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
     )
     forest = labels is None
@@ -367,27 +371,36 @@ def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) ->
 
 def _through(rows: pd.DataFrame, forest: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one tile whose bitmaps do not rule them out; a tile of two parts compares across them."""
+    # Rows of the most frequent label come last: between them there is nothing to find.
+    labels, at, counts = np.unique(rows["label"].to_numpy(), return_inverse=True, return_counts=True)
+    last = at == counts.argmax()
+    order = np.argsort(last, kind="stable")
+    firsts = len(rows) if forest else int((~last).sum())
+    rows = rows.iloc[order]
     cid, size = rows["cid"].to_numpy(), rows["size"].to_numpy(np.int64)
-    label, upper, part = rows["label"].to_numpy(), rows["upper"].to_numpy(), rows["part"].to_numpy()
+    ahead = size - rows["place"].to_numpy(np.int64)
+    label, upper, part = at[order], rows["upper"].to_numpy(), rows["part"].to_numpy()
     across = rows["low"].iloc[0] != rows["high"].iloc[0]
     raw = [np.frombuffer(x, np.uint64) for x in rows["fine"]]
     width = min(map(len, raw))
     marks = np.stack([fold(x, width) for x in raw])
-    found_a, found_b = [], []
+    found_a, found_b = [cid[:0]], [cid[:0]]
     root = np.arange(len(cid))
     step = max(1, 4_000_000 // max(1, len(cid) * width))
-    for low in range(0, len(cid), step):
-        i = np.arange(low, min(low + step, len(cid)))
-        differ = np.bitwise_count(marks[i][:, None, :] ^ marks[None, :, :]).sum(axis=2, dtype=np.int64)
-        total = size[i][:, None] + size[None, :]
-        open_ = linked((total - differ) // 2, size[i][:, None], size[None, :])
+    for low in range(0, firsts, step):
+        i = np.arange(low, min(low + step, firsts))
+        later = np.arange(low + 1, len(cid))
         # Each pair once: the second is a later row, and not both are from the band above.
-        open_ &= i[:, None] < np.arange(len(cid))[None, :]
-        open_ &= ~(upper[i][:, None] & upper[None, :]) & (label[i][:, None] != label[None, :])
+        open_ = (i[:, None] < later[None, :]) & ~(upper[i][:, None] & upper[later][None, :])
+        open_ &= label[i][:, None] != label[later][None, :]
+        open_ &= linked(np.minimum(ahead[i][:, None], ahead[later][None, :]), size[i][:, None], size[later][None, :])
         if across:
-            open_ &= part[i][:, None] != part[None, :]
+            open_ &= part[i][:, None] != part[later][None, :]
         x, y = np.nonzero(open_)
-        x = i[x]
+        x, y = i[x], later[y]
+        differ = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
+        through = linked((size[x] + size[y] - differ) // 2, size[x], size[y])
+        x, y = x[through], y[through]
         if forest:
             kept = _grow(root, x, y)
             x, y = x[kept], y[kept]
@@ -414,46 +427,40 @@ def _grow(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[int]:
     return kept
 
 
-def similar_classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """The classes of ``rows (id, key, words)`` and labels ``(node, label)`` of those with links."""
+def _labelled(rows: DataFrame, n: int) -> DataFrame:
+    """``(key, size, first_id, label)`` for every class of ``rows (id, key, text)``."""
     context = rows.sparkSession.sparkContext
-    classes, hints = _classes(rows, n)
-    frequent = context.broadcast(_frequent(hints))
-    shared = _postings(classes, n, frequent).groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
+    classes, hints, firsts = _classes(rows, n)
+    postings = cut(_postings(classes, n, context.broadcast(_frequent(hints))), "postings")
+    shared = postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
     shared = cut(shared, "shared")
-    sieve = context.broadcast(_sieve(shared.select(F.col("token").alias("value"))))
-    postings = cut(_postings(classes, n, frequent, sieve).join(shared, "token"), "postings")
-    large = postings.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size")
-    links = _small_pairs(postings)
+    kept = _sifted(postings, F.col("token"), shared.select(F.col("token").alias("value"))).filter("maybe")
+    met = cut(kept.drop("maybe").join(shared, "token"), "met")
+    labels = components(_all_links(met, classes, n))
+    known = classes.select("key", "cid", "size").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    known = known.join(firsts.select("key", "first_id"), "key")
+    return cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
+
+
+def _all_links(met: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """Proven links that connect whatever is similar."""
+    large = met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size", "place")
+    links = _small_pairs(met)
     if large.isEmpty():
-        return classes, components(_prove(links, classes, n))
+        return _prove(links, classes, n)
     marks = _fine_marks(classes, large.select("cid").distinct(), n)
     links = _prove(links.unionByName(_tile_pairs(large, marks, None)).distinct(), classes, n)
     labels = cut(components(links), "labels")
-    more = _prove(_tile_pairs(large, marks, labels), classes, n)
-    if more.isEmpty():
-        return classes, labels
-    return classes, components(links.unionByName(more))
+    return links.unionByName(_prove(_tile_pairs(large, marks, labels), classes, n))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    words = normal_words(F.col("text"))
-    return picked(docs, id=id_col, text=text_col).select("id", words.alias("words")).select(
-        "id", "words", class_key(F.col("words")).alias("key")
-    )
+    whole = F.coalesce("text", F.lit(""))
+    return picked(docs, id=id_col, text=text_col).select("id", whole.alias("text"), class_key(whole).alias("key"))
 
 
-def class_key(words: Column) -> Column:
-    return F.unhex(F.substring(F.sha2(words, 256), 1, 32))
-
-
-def _labelled(rows: DataFrame, n: int) -> DataFrame:
-    """``(key, size, first_id, label)`` for every class of ``rows``."""
-    classes, labels = similar_classes(rows, n)
-    known = classes.select("key", "cid", "size", "first_id").join(
-        labels.withColumnRenamed("node", "cid"), "cid", "left"
-    )
-    return cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
+def class_key(text: Column) -> Column:
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
 def similarity_components(
@@ -464,13 +471,9 @@ def similarity_components(
     known = _labelled(rows, n)
     least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = cut(known.join(least, "label").select("key", "size", "component_id"), "found")
-    none = rows.filter("words = ''").select(
-        "id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("id").alias("component_id")
-    )
-    return (
-        rows.filter("words != ''").select("id", "key").join(found, "key")
-        .select("id", F.col("size").cast("bigint").alias("n_shingles"), "component_id")
-        .unionByName(none)
+    return rows.select("id", "key").join(found, "key").select(
+        "id", F.col("size").cast("bigint").alias("n_shingles"),
+        F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
@@ -481,8 +484,8 @@ def without_near_duplicates(
 
     Rows without words stay. Only rows that may have to go are shuffled with their texts.
     """
-    worded = _keyed(docs, id_col, text_col).filter("words != ''")
-    known, rows = _labelled(worded, n), worded.select("id", "key")
+    rows = _keyed(docs, id_col, text_col)
+    known = _labelled(rows, n).filter("size > 0")
     best = known.groupBy("label").agg(
         F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "key")).alias("best")
     )
@@ -492,21 +495,15 @@ def without_near_duplicates(
         ),
         "chosen",
     )
-    judged = rows.join(chosen, F.col("key") == F.col("c_key")).withColumn(
+    judged = rows.select("id", "key").join(chosen, F.col("key") == F.col("c_key")).withColumn(
         "kept", F.col("leads") & F.col("id").eqNullSafe(F.col("first_id"))
     )
     doubtful = judged.groupBy("key", "id", "kept").agg(F.count("*").alias("copies")).filter("NOT kept OR copies > 1")
     doubtful = cut(doubtful.select(F.col("key").alias("d_key"), F.col("id").alias("d_id"), "kept"), "doubtful")
-    names = docs.columns
-    key = class_key(normal_words(F.col(f"`{text_col}`")))
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), key.alias("key"), F.col(f"`{id_col}`").alias("id"))
-    hashed = keyed.withColumn("hash", F.xxhash64("key", "id"))
-    sieve = _sieve_rows(doubtful.select(F.xxhash64("d_key", "d_id").alias("value")))
-    low = F.col("hash").bitwiseAND((1 << SIEVE_BITS) - 1)
-    # At most 2 ** (SIEVE_BITS - 6) rows of two numbers.
-    sifted = hashed.withColumn("low", low).join(F.broadcast(sieve), F.shiftright("low", 6) == F.col("word"), "left")
-    maybe = F.expr("coalesce((shiftright(bits, cast(low & 63 AS int)) & 1) = 1, false)")
-    sifted = sifted.withColumn("maybe", maybe).select("row", "key", "id", "maybe")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    key = class_key(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    keyed = docs.select(row.alias("row"), key.alias("key"), F.col(f"`{id_col}`").alias("id"))
+    sifted = _sifted(keyed, F.xxhash64("key", "id"), doubtful.select(F.xxhash64("d_key", "d_id").alias("value")))
     met = sifted.filter("maybe").join(
         doubtful, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_id")), "left"
     )
