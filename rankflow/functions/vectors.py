@@ -109,13 +109,19 @@ def score_cross_entropy(scores: Column, label: Column) -> Column:
 def in_top_k(scores: Column, label: Column, k: int) -> Column:
     """Whether fewer than ``k`` scores are strictly greater than the label's score.
 
-    Ties count in the label's favour; a row with a score that is not finite never hits.
+    Ties count in the label's favour. A row with a score that is not finite never hits, nor does one
+    whose label is null or names no score.
     """
     finite = F.forall(scores, lambda z: (F.abs(z) < INF) & ~F.isnan(z))
     greater = bind(
         value_at(scores, label), lambda own: F.size(F.filter(scores, lambda z: z > own))
     )
-    return finite & (greater < k)
+    return F.coalesce(has_label(label, F.size(scores)) & finite & (greater < k), F.lit(False))
+
+
+def has_label(label: Column, classes: Column | int) -> Column:
+    """Whether a label is a class: not null, and from 0 up to the number of classes."""
+    return F.coalesce((label >= 0) & (label < classes), F.lit(False))
 
 
 def standardize(vector: Column) -> Column:
@@ -143,22 +149,27 @@ def crop_or_pad(
     target_width: int,
 ) -> Column:
     """Centre crop or zero-pad a row-major image to a fixed size."""
-    height = F.lit(height) if isinstance(height, int) else height
-    width = F.lit(width) if isinstance(width, int) else width
+    height = (F.lit(height) if isinstance(height, int) else height).cast("int")
+    width = (F.lit(width) if isinstance(width, int) else width).cast("int")
     row_shift = _source_shift(height, target_height)
     column_shift = _source_shift(width, target_width)
     row_cells = target_width * channels
 
-    def source_value(cell: Column) -> Column:
-        row = (F.floor(cell / row_cells)).cast("int") + row_shift
-        rest = cell % row_cells
-        column = (F.floor(rest / channels)).cast("int") + column_shift
-        inside = (row >= 0) & (row < height) & (column >= 0) & (column < width)
-        index = (row * width + column) * channels + rest % channels
-        return F.when(inside, F.get(vector, index)).otherwise(F.lit(0.0))
+    # A row of the result is a run of one source row between two runs of zeros.
+    kind = F.lit(0.0)
+    left = F.greatest(-column_shift, F.lit(0))
+    first = F.greatest(column_shift, F.lit(0))
+    kept = F.greatest(F.least(width - first, F.lit(target_width) - left), F.lit(0))
+    before = F.array_repeat(kind, left * channels)
+    after = F.array_repeat(kind, (F.lit(target_width) - left - kept) * channels)
+    empty = F.array_repeat(kind, F.lit(row_cells))
+
+    def source_row(place: Column) -> Column:
+        row = place + row_shift
+        run = F.slice(vector, (row * width + first) * channels + 1, kept * channels)
+        return F.when((row >= 0) & (row < height), F.concat(before, run, after)).otherwise(empty)
 
-    cells = target_height * row_cells
-    return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), source_value)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(target_height - 1)), source_row))
 
 
 def _source_shift(size: Column, target: int) -> Column:
@@ -171,11 +182,15 @@ def _source_shift(size: Column, target: int) -> Column:
 def staircase_decay(step: Column, start: float, factor: float, stairs: int, steps) -> Column:
     """Learning rate that falls from ``start`` to ``start/factor`` in ``stairs - 1`` drops."""
     steps = F.lit(float(steps)) if isinstance(steps, (int, float)) else steps.cast("double")
-    rate = (1.0 / factor) ** (1.0 / (stairs - 1))
+    rate = _stair(factor, stairs)
     return F.lit(float(start)) * F.pow(F.lit(rate), F.floor(step / (steps / (stairs - 1))))
 
 
+def _stair(factor: float, stairs: int) -> float:
+    return (1.0 / factor) ** (1.0 / (stairs - 1))
+
+
 def staircase_rate(step: int, start: float, factor: float, stairs: int, steps: float) -> float:
     """The same schedule for the driver's training loop."""
-    rate = (1.0 / factor) ** (1.0 / (stairs - 1))
+    rate = _stair(factor, stairs)
     return start * rate ** math.floor(step / (steps / (stairs - 1)))

@@ -14,16 +14,15 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.hashing import text_bucket
 from rankflow.functions.text import COMMENT_PREFIX, clean_fields, in_main_namespace
+from rankflow.operators.ordering import global_index
 from rankflow.session import cut
 
-# Below this many distinct targets a source is never split.
+# Below this many distinct targets a source is never split. Splits are internal: no result shows them.
 MIN_SPLIT_ROWS = 100_000
 ADJACENCY_ROW_ENTRIES = 4096
 
-# Distinct edges per partition, and a bound on partitions: the blocks of a shuffle grow with
-# the square of their number.
+# Distinct edges per partition.
 PARTITION_EDGES = 4_000_000
-MAX_PARTITIONS = 20_000
 
 
 def parse_edges(lines: DataFrame) -> DataFrame:
@@ -96,7 +95,7 @@ def build_graph(
     total, largest = degrees.agg(F.sum("targets"), F.max("targets")).first()
     if partitions is None:
         wanted = -(-(total or 0) // PARTITION_EDGES)
-        partitions = max(spark.sparkContext.defaultParallelism, min(wanted, MAX_PARTITIONS))
+        partitions = max(spark.sparkContext.defaultParallelism, wanted)
     limit = max(split_rows, -(-(total or 0) // partitions))
     sources = degrees.select("src", "out_degree")
     if keep_sources:
@@ -133,18 +132,34 @@ def copy_to_salts(nodes: DataFrame, hubs: DataFrame) -> DataFrame:
     return joined.withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("salts")
 
 
-def adjacency(graph: Graph, entries: int = ADJACENCY_ROW_ENTRIES) -> DataFrame:
-    """Target lists ``(src, salt, chunk, entries, size, out_degree)`` with at most ``entries`` targets a row.
+def adjacency(edges: DataFrame, entries: int = ADJACENCY_ROW_ENTRIES) -> DataFrame:
+    """Target lists ``(src, chunk, entries, size, out_degree)`` with at most ``entries`` targets a row.
 
-    ``entries`` lists ``(dst, w)`` in target order; ``size`` counts edge copies. A window spans
-    one ``(src, salt)`` group, which :func:`build_graph` holds near the size of an average
-    partition, so a hub's list never meets in one task.
+    ``entries`` lists ``(dst, w)`` in target order, and chunks follow each other in that order; ``size`` counts
+    edge copies. A target's chunk comes from its exact place among all edges in order, so rows are the
+    same for any number of partitions, and a hub's list never meets in one task.
     """
+    placed = global_index(weighted_edges(edges), ["src", "dst"], "position")
+    sources = cut(
+        placed.groupBy("src").agg(F.min("position").alias("start"), F.sum("w").alias("out_degree")), "sources"
+    )
+    numbered = placed.join(sources, "src").withColumn(
+        "chunk", F.floor((F.col("position") - F.col("start")) / entries).cast("int")
+    )
+    return _listed(numbered, ["src", "chunk"])
+
+
+def split_adjacency(graph: Graph, entries: int = ADJACENCY_ROW_ENTRIES) -> DataFrame:
+    """The same per ``(src, salt)`` of a graph whose largest sources are split: the ranking's own layout."""
     place = Window.partitionBy("src", "salt").orderBy("dst")
     numbered = graph.edges.withColumn(
         "chunk", F.floor((F.row_number().over(place) - 1) / entries).cast("int")
     )
-    return numbered.groupBy("src", "salt", "chunk").agg(
+    return _listed(numbered, ["src", "salt", "chunk"])
+
+
+def _listed(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    return numbered.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("dst", "w"))).alias("entries"),
         F.sum("w").alias("size"),
         F.first("out_degree").alias("out_degree"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.text import strip_control
@@ -15,14 +15,15 @@ NAME_SEPARATOR = "\t"
 
 
 def class_ids(df: DataFrame, class_col: str) -> DataFrame:
-    """``(class_col, class_id)``: distinct names in order, numbered from 0."""
-    names = df.select(class_col).distinct()
+    """``(class_col, class_id)``: distinct names in order, numbered from 0; null is no class."""
+    names = df.select(class_col).filter(F.col(class_col).isNotNull()).distinct()
     indexed = global_index(names, [class_col], "class_id")
     return indexed.withColumn("class_id", F.col("class_id").cast("int"))
 
 
 def with_class_id(df: DataFrame, class_col: str) -> DataFrame:
-    return lookup_join(df, class_ids(df, class_col), class_col)
+    """``df`` with ``class_id``; rows without a class stay, with a null id."""
+    return lookup_join(df, class_ids(df, class_col), class_col, "left")
 
 
 def parse_names(lines: DataFrame) -> DataFrame:
@@ -34,17 +35,27 @@ def parse_names(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_ids(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(id, place)`` of each line; ``place`` orders lines by file, then as they stand in it."""
+    lines = spark.read.text(list(paths)).select(
+        strip_control(F.col("value")).alias("id"), "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return lines.select("id", F.struct("file_path", "file_block_start", "line").alias("place"))
+
+
 def dictionary(ids: DataFrame, names: DataFrame) -> DataFrame:
-    """``(label, name)``: ids numbered from 1 in order, ``background`` as 0.
+    """``(label, name)``: ids numbered from 1, ``background`` as 0.
 
-    Raises ``KeyError`` when an id has no name.
+    Ids are numbered in the order of their files' lines where ``ids`` has a column ``place`` (see
+    :func:`read_ids`), and else by value. An id without a name raises an error when the result is read.
     """
     spark = ids.sparkSession
-    labels = global_index(ids.select("id"), ["id"], "_place")
-    named = lookup_join(labels, names, "id", "left")
-    missing = named.filter(F.col("name").isNull()).select("id").first()
-    if missing is not None:
-        raise KeyError(missing["id"])
+    order = "place" if "place" in ids.columns else "id"
+    labels = global_index(ids.select("id", F.col(order).alias("_order")), ["_order"], "_place").drop("_order")
+    found = lookup_join(labels, names, "id", "left")
+    unknown = F.raise_error(F.concat(F.lit("no name for id: "), "id"))
+    named = found.withColumn("name", F.when(F.col("name").isNull(), unknown).otherwise(F.col("name")))
     background = spark.range(1).select(
         F.lit(0).cast("bigint").alias("label"), F.lit(BACKGROUND).alias("name")
     )

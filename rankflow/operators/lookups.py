@@ -1,26 +1,14 @@
-"""Joining a large table with a lookup table whose size is checked first."""
+"""Joining a large table with a lookup table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
 
-
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: str,
-    how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def lookup_join(big: DataFrame, lookup: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join on a key that is unique in ``lookup`` and may be badly skewed in ``big``.
 
-    ``lookup`` is broadcast while it has at most ``broadcast_rows`` rows. Beyond that a shuffled
-    join takes over, whose skewed partitions are split at runtime; a content-based salt would
-    not spread exact copies of a row.
+    The join is left to the engine: at runtime it broadcasts a side whose measured bytes are small, and
+    otherwise splits skewed partitions.
     """
-    if lookup.count() <= broadcast_rows:
-        return big.join(F.broadcast(lookup), on, how)
-    return big.join(lookup.hint("merge"), on, how)
+    return big.join(lookup, on, how)

@@ -1,41 +1,50 @@
-"""Losses, accuracy, summaries and reports over prediction and metric tables."""
+"""Losses, accuracy, summaries and reports over prediction and metric tables.
+
+One rule for labels: a row whose label is null or names no class is unlabelled. Losses, accuracy,
+precision and gradients are over labelled rows, so that all of them are means over the same rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.functions.vectors import argmax, cross_entropy, in_top_k, score_cross_entropy
+from rankflow.functions.vectors import argmax, cross_entropy, has_label, in_top_k, score_cross_entropy
 from rankflow.operators.ordering import running_totals
 
 METRICS_SCHEMA = "run string, step bigint, epoch int, name string, value double, elapsed_s double"
 
 
+def labelled(df: DataFrame, values: str, label: str) -> DataFrame:
+    """Rows whose label names one of the ``values``' classes."""
+    return df.filter(has_label(F.col(label), F.size(values)))
+
+
 def mean_cross_entropy(df: DataFrame, probabilities: str, label: str) -> DataFrame:
-    return df.agg(F.avg(cross_entropy(F.col(probabilities), F.col(label))).alias("loss"))
+    return labelled(df, probabilities, label).agg(F.avg(cross_entropy(F.col(probabilities), F.col(label))).alias("loss"))
 
 
 def mean_score_loss(df: DataFrame, scores: str, label: str, penalty: float = 0.0) -> DataFrame:
     """Mean cross-entropy from scores plus a fixed weight-decay term."""
     loss = F.avg(score_cross_entropy(F.col(scores), F.col(label))) + F.lit(float(penalty))
-    return df.agg(loss.alias("loss"))
+    return labelled(df, scores, label).agg(loss.alias("loss"))
 
 
 def accuracy(df: DataFrame, scores: str, label: str) -> DataFrame:
     hit = argmax(F.col(scores)) == F.col(label)
-    return df.agg(F.avg(hit.cast("double")).alias("accuracy"))
+    return labelled(df, scores, label).agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
 def precision_at_k(df: DataFrame, scores: str, label: str, k: int = 1) -> DataFrame:
     hit = in_top_k(F.col(scores), F.col(label), k).cast("bigint")
-    counts = df.agg(F.sum(hit).alias("correct"), F.count("*").alias("rows"))
+    counts = labelled(df, scores, label).agg(F.sum(hit).alias("correct"), F.count("*").alias("rows"))
     return counts.withColumn("precision", F.col("correct") / F.col("rows"))
 
 
 def running_precision(df: DataFrame, batch: str, scores: str, label: str, k: int = 1) -> DataFrame:
     """Precision over all batches seen so far, one row per batch."""
     hit = in_top_k(F.col(scores), F.col(label), k).cast("bigint")
-    batches = df.groupBy(batch).agg(F.sum(hit).alias("correct"), F.count("*").alias("rows"))
+    batches = labelled(df, scores, label).groupBy(batch).agg(F.sum(hit).alias("correct"), F.count("*").alias("rows"))
     seen = running_totals(batches, [batch], {"_correct": "correct", "_rows": "rows"})
     return seen.select(
         batch, "correct", "rows", (F.col("_correct") / F.col("_rows")).alias("precision")

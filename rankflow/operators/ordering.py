@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from rankflow.session import cut
 
 LOCAL_BITS = 33
 SELECTION_BUCKETS = 2048
-SELECTION_ROWS = 100_000
 
 
 def sort_by(df: DataFrame, *keys: str, copies: bool = False) -> DataFrame:
@@ -129,17 +128,27 @@ def running_totals(df: DataFrame, order_by: list[str | Column], sums: dict[str,
 def nth_key(df: DataFrame, key: Column, tie: Column, n: int, span: int):
     """The ``n``-th smallest ``(key, tie)``, counted from 1, or ``None`` if there are fewer rows.
 
-    ``key`` lies in ``[0, span)``. Rows are counted in equal buckets of the key, with partial
-    aggregation, and the bucket that holds the ``n``-th row is looked into until few rows
-    are left to sort. No pass shuffles rows. ``span`` is large and keys are spread over it, so
-    every pass leaves a small part of the rows.
+    Both are integers and ``key`` lies in ``[0, span)``. Rows are counted in equal buckets, with partial
+    aggregation, and the bucket that holds the ``n``-th row is looked into until it is one key; rows of
+    that key are told apart by ``tie`` in the same way. No pass shuffles rows.
     """
     rows = df.select(key.alias("key"), tie.alias("tie"))
-    low, width = 0, span
+    found = _narrow(rows, "key", 0, span, n)
+    if found is None:
+        return None
+    value, left = found
+    same = rows.filter(F.col("key") == value)
+    low, high = same.agg(F.min("tie"), F.max("tie")).first()
+    last, _ = _narrow(same, "tie", low, high - low + 1, left)
+    return Row(key=value, tie=last)
+
+
+def _narrow(rows: DataFrame, name: str, low: int, width: int, n: int) -> tuple[int, int] | None:
+    """The ``n``-th smallest value in ``[low, low + width)``, and its place among rows of that value."""
     while True:
         step = -(-width // SELECTION_BUCKETS)
-        inside = rows.filter((F.col("key") >= low) & (F.col("key") < low + width))
-        bucket = F.floor((F.col("key") - low) / step)
+        inside = rows.filter((F.col(name) >= low) & (F.col(name) < low + width))
+        bucket = F.floor((F.col(name) - low) / step)
         counts = inside.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")).collect()
         if sum(row["rows"] for row in counts) < n:
             return None
@@ -148,9 +157,5 @@ def nth_key(df: DataFrame, key: Column, tie: Column, n: int, span: int):
                 break
             n -= row["rows"]
         low, width = low + row["bucket"] * step, step
-        if row["rows"] <= SELECTION_ROWS or width == 1:
-            break
-    rest = rows.filter((F.col("key") >= low) & (F.col("key") < low + width))
-    if row["rows"] <= SELECTION_ROWS:
-        return rest.orderBy("key", "tie").limit(n).agg(F.max(F.struct("key", "tie"))).first()[0]
-    return ordered_rows(rest, ["key", "tie"]).slice(n - 1, n).first()
+        if width == 1:
+            return low, n

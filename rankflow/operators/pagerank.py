@@ -16,9 +16,9 @@ from rankflow.operators.edges import (
     ADJACENCY_ROW_ENTRIES,
     MIN_SPLIT_ROWS,
     Graph,
-    adjacency,
     build_graph,
     copy_to_salts,
+    split_adjacency,
 )
 from rankflow.session import checkpointed, cut, cut_bucketed, shuffle_partitions
 
@@ -46,24 +46,26 @@ def pagerank(
 ) -> DataFrame:
     """``(node, rank)`` after ``n_iter`` iterations.
 
-    ``partitioning="hash"`` is the choice for large graphs: the links are bucketed by source
-    once, after which an iteration shuffles nothing but contributions, combined map-side.
-    ``num_partitions`` follows from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source; ``ignore_zero_incoming=False``
+    Links are bucketed by source once, after which an iteration shuffles nothing but contributions,
+    combined map-side. Only ``partitioning="range"`` shuffles them in each iteration: a stored range
+    placement is not known to the optimizer. ``num_partitions`` follows from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source; ``ignore_zero_incoming=False``
     keeps sources that nothing links to.
     """
     if layout not in LAYOUTS or partitioning not in PARTITIONINGS:
         raise ValueError(f"layout must be in {LAYOUTS} and partitioning in {PARTITIONINGS}")
     graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
-    placed = partitioning == "hash" or (cache and partitioning is None)
+    placed = partitioning != "range"
     ranks = None
     with shuffle_partitions(edges.sparkSession, graph.partitions):
         links = _place(_links(graph, layout, row_entries), graph, partitioning, cache)
-        for step in range(1, n_iter + 1):
-            ranks = _iterate(ranks, links, graph, layout, damping, placed)
-            if step % checkpoint_every == 0 or step == n_iter:
-                ranks = checkpointed(ranks)
-        if cache:
-            links.unpersist()
+        try:
+            for step in range(1, n_iter + 1):
+                ranks = _iterate(ranks, links, graph, layout, damping, placed)
+                if step % checkpoint_every == 0 or step == n_iter:
+                    ranks = checkpointed(ranks)
+        finally:
+            if cache:
+                links.unpersist()
     sources = graph.sources.select(F.col("src").alias("node"))
     if ranks is None:
         ranks = sources.withColumn("rank", F.lit(1.0))
@@ -76,7 +78,7 @@ def _links(graph: Graph, layout: str, row_entries: int) -> DataFrame:
     """What a source sends, per unit of its rank: one row per edge, or lists of targets."""
     if layout == "adjacency":
         part = 1.0 / F.col("out_degree")
-        return adjacency(graph, row_entries).select("src", "salt", "chunk", "entries", part.alias("part"))
+        return split_adjacency(graph, row_entries).select("src", "salt", "chunk", "entries", part.alias("part"))
     return graph.edges.select("src", "salt", "dst", (F.col("w") / F.col("out_degree")).alias("part"))
 
 
@@ -91,9 +93,9 @@ def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool
         links = links.persist(StorageLevel.MEMORY_AND_DISK)
         links.count()  # the partitioning of a held table is known once it is filled
         return links
-    if partitioning == "hash":
-        return cut_bucketed(links, "links", graph.partitions, graph.keys)
-    return cut(links, "links")
+    if partitioning == "range":
+        return cut(links, "links")
+    return cut_bucketed(links, "links", graph.partitions, graph.keys)
 
 
 def _iterate(
@@ -107,8 +109,8 @@ def _iterate(
     """One step: every source sends its rank along its links, and each node sums what arrives.
 
     In the first step every source holds rank 1.0, so nothing has to be looked up. Links that
-    are ``placed`` already lie where a merge join wants them; broadcasting the ranks, which
-    grow with the graph, would be slower.
+    are ``placed`` already lie where their ranks come to; the ranks, the smaller side, are hashed
+    there, so that links are neither shuffled nor sorted.
     """
     if ranks is None:
         held = links.withColumn("rank", F.lit(1.0))
@@ -117,7 +119,7 @@ def _iterate(
         if graph.hubs is not None:
             holders = copy_to_salts(holders, graph.hubs)
         if placed:
-            holders = holders.hint("merge")
+            holders = holders.hint("shuffle_hash")
         held = links.join(holders, graph.keys)
     sent = F.col("rank") * F.col("part")
     if layout == "adjacency":

@@ -7,6 +7,7 @@ partitions that hold its rows, and each task returns one gradient vector, summed
 
 from __future__ import annotations
 
+import copy
 import re
 import time
 from collections.abc import Callable, Iterator
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ EPOCHS = 6
 MOMENTUM_DEFAULT = {"learning_rate": 0.02, "momentum": 0.9}
 SAVE_EVERY = 100
 
-# Numbers the driver may receive in one step.
-DIRECT_NUMBERS = 4_000_000
+# Tasks that sum the other tasks' vectors: as many vectors reach the driver.
+FOLD_TASKS = 4
 
 SUMS_SCHEMA = StructType([StructField("sums", ArrayType(DoubleType()))])
 MODEL_SCHEMA = "step bigint, name string, row int, col int, value double"
@@ -56,16 +58,23 @@ def random_params(
 
 
 def _batch_gradient(x: np.ndarray, labels: np.ndarray, w: np.ndarray, b: np.ndarray):
-    """Summed loss and gradients of one block of rows."""
+    """Summed loss and gradients of one block of rows, and its rows: those with a label of the model."""
+    known = (labels >= 0) & (labels < len(b))
+    x, labels = x[known], labels[known]
     scores = x @ w + b
-    scores -= scores.max(axis=1, keepdims=True)
+    scores -= scores.max(axis=1, keepdims=True, initial=-np.inf)
     total = np.exp(scores).sum(axis=1, keepdims=True)
     log_p = scores - np.log(total)
     rows = np.arange(len(labels))
     loss = -log_p[rows, labels].sum()
     delta = np.exp(log_p)
     delta[rows, labels] -= 1.0
-    return loss, x.T @ delta, delta.sum(axis=0)
+    return loss, x.T @ delta, delta.sum(axis=0), len(labels)
+
+
+def _labels(column: pa.Array) -> np.ndarray:
+    """Labels as integers; a null is no label."""
+    return pc.fill_null(column.cast(pa.int64()), -1).to_numpy(zero_copy_only=False)
 
 
 def partial_gradients(df: DataFrame, params: Params, features: str, label: str) -> DataFrame:
@@ -78,9 +87,8 @@ def partial_gradients(df: DataFrame, params: Params, features: str, label: str)
         for batch in batches:
             if batch.num_rows:
                 x = list_matrix(batch.column(0), width)
-                labels = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                loss, dw, db = _batch_gradient(x, labels, w, b)
-                sums += np.concatenate([dw.ravel(), db, [loss, batch.num_rows]])
+                loss, dw, db, rows = _batch_gradient(x, _labels(batch.column(1)), w, b)
+                sums += np.concatenate([dw.ravel(), db, [loss, rows]])
         if sums[-1]:
             yield pa.RecordBatch.from_arrays([pa.array([sums.tolist()])], names=["sums"])
 
@@ -92,24 +100,26 @@ def mean_gradient(
     params: Params,
     features: str = "features",
     label: str = "label",
-    max_rows: int | None = None,
 ) -> tuple[Params, float, int]:
-    """Mean gradient, mean loss and row count.
+    """Mean gradient, mean loss and count of the labelled rows.
 
-    Tasks' vectors are summed by Spark, cell by cell, so only the model's size reaches the
-    driver. ``max_rows`` bounds the rows of ``df`` and with them the vectors; when even one
-    vector per row is little, they come to the driver directly and a shuffle is saved.
+    Tasks' vectors are summed by ``FOLD_TASKS`` tasks, so a few vectors of the model's size reach the driver
+    however many tasks there are.
     """
-    parts = partial_gradients(df, params, features, label)
     size = params["weights"].size + params["biases"].size + 2
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += list_matrix(batch.column(0), size).sum(axis=0)
+        if total[-1]:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=["sums"])
+
+    parts = partial_gradients(df, params, features, label)
     sums = np.zeros(size)
-    if max_rows is not None and max_rows * size <= DIRECT_NUMBERS:
-        for row in parts.collect():
-            sums += np.asarray(row[0])
-    else:
-        cells = parts.selectExpr("posexplode(sums) AS (cell, part)").groupBy("cell")
-        for cell, total in cells.agg(F.sum("part")).collect():
-            sums[cell] = total
+    for row in parts.repartition(FOLD_TASKS).mapInArrow(fold, SUMS_SCHEMA).collect():
+        sums += np.asarray(row[0])
     rows = int(sums[-1])
     if rows == 0:
         raise ValueError("a training step has no rows")
@@ -212,11 +222,12 @@ def epoch_feed(
 
 @dataclass
 class Run:
-    """A trained model and its metrics ``(run, step, epoch, name, value, elapsed_s)``."""
+    """A trained model, its metrics ``(run, step, epoch, name, value, elapsed_s)`` and last velocity."""
 
     params: Params
     metrics: list[tuple]
     steps: int
+    velocity: Params = field(default_factory=dict)
 
 
 def train(
@@ -234,36 +245,44 @@ def train(
     model_path: str | None = None,
     save_every: int = SAVE_EVERY,
     run: str = "train",
+    first_step: int = 0,
+    first_epoch: int = 0,
+    velocity: Params | None = None,
 ) -> Run:
     """Mini-batch training; ``workers > 1`` is the synchronous data-parallel form.
 
     The gradients of equal batches are averaged before one update, which equals one step on
     the union of the batches: a step simply reads all their rows, and partitions play the
     workers. Choose ``batch_size`` so that a step is worth a Spark job.
+
+    To resume, give the restored ``params`` and ``velocity``, and the ``first_step`` and ``first_epoch`` to go on
+    with; steps, epochs and their orders of rows then follow those of the run before.
     """
-    optimizer = optimizer or GradientDescent()
+    # A copy: velocity belongs to this run, not to the caller's object.
+    optimizer = copy.deepcopy(optimizer) if optimizer else GradientDescent()
     spark = df.sparkSession
     data = df.select(F.col(id_col).alias("id"), "features", "label")
-    started, step, metrics, feed = time.monotonic(), 0, [], None
-    for epoch in range(epochs):
+    if velocity and isinstance(optimizer, Momentum):
+        optimizer.velocity = {name: value.copy() for name, value in velocity.items()}
+    started, step, metrics, feed = time.monotonic(), first_step, [], None
+    for epoch in range(first_epoch, first_epoch + epochs):
         if feed is None or reshuffle:
             feed = epoch_feed(data, "id", batch_size, epoch, workers, shard_batches)
         for local in range(feed.steps):
-            step_rows = feed.step_rows * len(feed.rows)
-            grads, loss, _ = mean_gradient(feed.step(local), params, max_rows=step_rows)
+            grads, loss, _ = mean_gradient(feed.step(local), params)
             if weight_decay:
                 loss += weight_decay * float((params["weights"] ** 2).sum()) / 2
                 grads["weights"] = grads["weights"] + weight_decay * params["weights"]
             params = optimizer.update(params, grads, step)
             metrics.append((run, step, epoch, "loss", float(loss), time.monotonic() - started))
-            last = epoch == epochs - 1 and local == feed.steps - 1
+            last = epoch == first_epoch + epochs - 1 and local == feed.steps - 1
             if model_path and (step % save_every == 0 or last):
                 save_model(spark, params, step, model_path, getattr(optimizer, "velocity", None))
             step += 1
         if test is not None:
             score = evaluate(test, params)
             metrics.append((run, step - 1, epoch, "accuracy", score, time.monotonic() - started))
-    return Run(params, metrics, step)
+    return Run(params, metrics, step, getattr(optimizer, "velocity", {}))
 
 
 def train_local(
@@ -317,15 +336,16 @@ def _walk(params: Params, rate: float):
             nonlocal w, b, moved
             x = np.concatenate([rows for rows, _ in held])
             labels = np.concatenate([labels for _, labels in held])
-            _, dw, db = _batch_gradient(x, labels, w, b)
-            w, b, moved = w - rate * dw / len(x), b - rate * db / len(x), True
+            _, dw, db, rows = _batch_gradient(x, labels, w, b)
+            if rows:
+                w, b, moved = w - rate * dw / rows, b - rate * db / rows, True
 
         for block in blocks:
             if not block.num_rows:
                 continue
             batch = block.column(0).to_numpy(zero_copy_only=False)
             x = list_matrix(block.column(1), w.shape[0])
-            labels = block.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            labels = _labels(block.column(2))
             edges = np.flatnonzero(np.diff(batch)) + 1
             for low, high in zip([0, *edges], [*edges, len(batch)]):
                 if held and batch[low] != current:
@@ -389,10 +409,10 @@ def model_table(spark: SparkSession, params: Params, step: int = 0) -> DataFrame
 def save_model(
     spark: SparkSession, params: Params, step: int, path: str, velocity: Params | None = None
 ) -> None:
-    """Append one checkpoint to a model table partitioned by step."""
+    """Save one checkpoint in a model table partitioned by step; a step that is saved again is replaced."""
     rows = model_rows(params, step) + model_rows(velocity or {}, step, "/velocity")
     table = spark.createDataFrame(rows, MODEL_SCHEMA)
-    table.coalesce(1).write.mode("append").partitionBy("step").parquet(path)
+    table.coalesce(1).drop("step").write.mode("overwrite").parquet(f"{path}/step={step}")
 
 
 def latest_checkpoint(models: DataFrame) -> DataFrame:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rankflow.operators import edges as E
-from rankflow.operators.ordering import global_index
+from rankflow.operators.ordering import global_index, sort_by
 from rankflow.operators.pagerank import pagerank
 from rankflow.plans import tables as T
 from rankflow.session import scratch_path
-from rankflow.sources.text import read_lines, read_table
+from rankflow.sources.text import (
+    read_lines, read_raw_table, read_table, write_lines, write_ranks, write_table,
+)
 
 ADJACENCY_QUERY_ENTRIES = 64
 
@@ -31,10 +34,9 @@ def out_degree(spark, sf_dir):
 
 
 def adjacency(spark, sf_dir):
-    graph = E.build_graph(T.trade_edges(spark, sf_dir))
-    rows = E.adjacency(graph, ADJACENCY_QUERY_ENTRIES)
+    rows = E.adjacency(T.trade_edges(spark, sf_dir), ADJACENCY_QUERY_ENTRIES)
     entry = F.transform("entries", lambda e: F.concat(e.dst, F.lit(":"), e.w.cast("string")))
-    return rows.select("src", "salt", "chunk", F.concat_ws(",", entry).alias("dsts"), "size")
+    return rows.select("src", "chunk", F.concat_ws(",", entry).alias("dsts"), "size")
 
 
 def initial_ranks(spark, sf_dir):
@@ -56,7 +58,7 @@ def text_scan(spark, sf_dir):
 def union_sources(spark, sf_dir):
     first, second = scratch_path(spark, "customers"), scratch_path(spark, "suppliers")
     T.customer_lines(spark, sf_dir).write.text(first)
-    T.nation_lines(spark, sf_dir).write.text(second)
+    T.supplier_lines(spark, sf_dir).write.text(second)
     return read_lines(spark, first, second, first)
 
 
@@ -81,7 +83,46 @@ def sort_positional(spark, sf_dir):
     return global_index(orders, keys).select("position", *keys)
 
 
+def ranks_sink(spark, sf_dir):
+    """Degrees as rank lines, written and read back."""
+    path = scratch_path(spark, "rank_lines")
+    write_ranks(E.out_degree(T.trade_edges(spark, sf_dir)), path)
+    return read_lines(spark, path)
+
+
+def table_sink(spark, sf_dir):
+    """A sorted table written as CSV and read back with its schema."""
+    path = scratch_path(spark, "events")
+    events = T.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    write_table(sort_by(events, "event_type", "user_id"), path)
+    return read_table(spark, path, schema=events.schema)
+
+
+def lines_sink(spark, sf_dir):
+    """Raw lines of a CSV file beside their fields, sorted by two positions, written and read back in file order."""
+    source, path = scratch_path(spark, "orders"), scratch_path(spark, "sorted")
+    T.order_text(spark, sf_dir).write.option("header", True).csv(source)
+    fields = read_raw_table(spark, source)
+    write_lines(fields, path, [fields.columns[2], fields.columns[0]], "line")
+    placed = read_lines(spark, path).select(
+        "value", F.struct("_metadata.file_name", F.monotonically_increasing_id()).alias("place")
+    )
+    return global_index(placed, ["place"]).select("position", "value")
+
+
+def short_rows(spark, sf_dir):
+    """Rows that end early get nulls; every seventh line of the customers is cut."""
+    path = scratch_path(spark, "customers")
+    T.ragged_customers(spark, sf_dir).write.text(path)
+    schema = StructType([StructField(name, StringType()) for name in ("key", "name", "segment")])
+    return spark.read.schema(schema).csv(path)
+
+
 QUERIES = {
+    "ranks_sink": ranks_sink,
+    "table_sink": table_sink,
+    "lines_sink": lines_sink,
+    "short_rows": short_rows,
     "pagerank_naive": _ranking(),
     "pagerank_adjacency": _ranking(layout="adjacency"),
     "pagerank_hash_partition": _ranking(layout="adjacency", partitioning="hash"),

@@ -13,7 +13,7 @@ from rankflow.operators import training as R
 from rankflow.plans import tables as T
 from rankflow.session import scratch_path
 from rankflow.sources import records
-from rankflow.sources.labels import read_label_map, write_label_map
+from rankflow.sources.labels import load_or_build, read_label_map, write_label_map
 
 DECAY = 0.0005
 LEARNING_RATE = 0.5
@@ -260,6 +260,78 @@ def train_local_sgd(spark, sf_dir):
     return _model(spark, run.params)
 
 
+# --- unlabelled rows, saved models and files ---
+
+
+def _partly_labelled(spark, sf_dir) -> DataFrame:
+    """Vectors of which every fifth has no label and every seventh label -1."""
+    label = F.when(F.col("vec_id") % 5 == 0, F.lit(None)).when(F.col("vec_id") % 7 == 0, -1).otherwise(F.col("label"))
+    return T.vectors(spark, sf_dir).withColumn("label", label.cast("int"))
+
+
+def unlabelled_metrics(spark, sf_dir):
+    """Loss, accuracy and precision over the labelled rows."""
+    scored = R.scored(_partly_labelled(spark, sf_dir), T.fixed_params())
+    loss = M.mean_score_loss(scored, "scores", "label").select(F.lit("loss").alias("name"), _round("loss").alias("value"))
+    hits = M.accuracy(scored, "scores", "label").select(F.lit("accuracy").alias("name"), _round("accuracy").alias("value"))
+    top = M.precision_at_k(scored, "scores", "label", PRECISION_K)
+    return loss.unionByName(hits).unionByName(
+        top.select(F.lit("precision").alias("name"), _round("precision").alias("value"))
+    ).unionByName(top.select(F.lit("rows").alias("name"), F.col("rows").cast("double").alias("value")))
+
+
+def unlabelled_gradient(spark, sf_dir):
+    grads, _, _ = R.mean_gradient(_partly_labelled(spark, sf_dir), T.fixed_params())
+    return _model(spark, grads)
+
+
+def class_ids_null(spark, sf_dir):
+    """Orders of which some have no priority."""
+    orders = T.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("o_orderpriority")
+    )
+    return L.with_class_id(orders, "o_orderpriority")
+
+
+def checkpoint_precision(spark, sf_dir):
+    """A model saved, restored, and scored on all vectors."""
+    path = scratch_path(spark, "model")
+    R.save_model(spark, {name: value * 0 for name, value in T.fixed_params().items()}, 3, path)
+    R.save_model(spark, T.fixed_params(), 7, path)
+    scored = R.scored(T.vectors(spark, sf_dir), R.restore_model(spark, path))
+    result = M.precision_at_k(scored, "scores", "label", 1)
+    return result.select("correct", "rows", _round("precision"))
+
+
+def metrics_table(spark, sf_dir):
+    """The step numbers and names that a run appends to its metrics table."""
+    data, path = T.vectors(spark, sf_dir), scratch_path(spark, "metrics")
+    run = R.train(
+        data, "vec_id", R.zero_params(T.WIDTH, T.CLASSES), batch_size=data.count() // QUERY_STEPS, epochs=1,
+        optimizer=R.GradientDescent(LEARNING_RATE),
+    )
+    M.append_metrics(spark, run.metrics, path)
+    return spark.read.parquet(path).filter("name = 'loss'").select("step", "epoch", _round("value"))
+
+
+def label_map_fallback(spark, sf_dir):
+    """A label map that is built and written where there is none, and read where there is."""
+    folder = scratch_path(spark, "labels")
+    built = load_or_build(spark, folder, lambda: _part_labels(spark, sf_dir))
+    again = load_or_build(spark, folder, lambda: _part_labels(spark, sf_dir).filter("false"))
+    return built.join(again, ["label", "name"])
+
+
+def class_folders(spark, sf_dir):
+    """Documents written as files below a folder per language, read back with their class."""
+    root = scratch_path(spark, "folders")
+    docs = T.table(spark, sf_dir, "documents").select(F.col("source").alias("value"), F.col("lang").alias("class"))
+    docs.write.partitionBy("class").text(root)
+    read = records.read_class_folders(spark, root).filter("path NOT LIKE '%_SUCCESS'")
+    lines = F.size(F.split(F.col("content").cast("string"), "\n")) - 1
+    return read.groupBy(F.regexp_replace("class", "^class=", "").alias("class")).agg(F.sum(lines).alias("rows"))
+
+
 # --- schedules and reports -------------------------------------------------------------------
 
 
@@ -302,6 +374,8 @@ QUERIES = {
         zip_boxes, one_hot, standardize_rows, crop_or_pad, variable_summary, histogram, l2_term,
         predict, softmax_loss, softmax_loss_l2, accuracy, precision_at_k, running_precision,
         gradient_step, train_minibatch, train_sync, train_sync_full_pass, train_momentum,
+        unlabelled_metrics, unlabelled_gradient, class_ids_null, checkpoint_precision, metrics_table,
+        label_map_fallback, class_folders,
         train_local_sgd, lr_schedule, throughput, epoch_report, latest_checkpoint,
     )
 }

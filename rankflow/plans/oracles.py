@@ -48,7 +48,7 @@ def _ranks(broken: bool = False, only_left: bool = False, keep: bool = False) ->
 ADJACENCY = f"""
 WITH e AS (SELECT src, dst, count(*) AS w FROM ({_trade()}) GROUP BY src, dst),
 n AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {G.ADJACENCY_QUERY_ENTRIES} AS chunk FROM e)
-SELECT src, 0 AS salt, chunk, string_agg(dst || ':' || w, ',' ORDER BY dst) AS dsts, sum(w)::BIGINT AS size
+SELECT src, chunk, string_agg(dst || ':' || w, ',' ORDER BY dst) AS dsts, sum(w)::BIGINT AS size
 FROM n GROUP BY src, chunk"""
 
 PARSE_EDGES = f"""
@@ -94,6 +94,16 @@ def _graph() -> dict[str, str]:
         "text_scan": CUSTOMER_LINES,
         "union_sources": f"{CUSTOMER_LINES} UNION ALL {SUPPLIER_LINES} UNION ALL {CUSTOMER_LINES}",
         "csv_scan": ORDER_TABLE,
+        "ranks_sink": f"""
+            SELECT '(' || src || ',' || count(*) || ')' AS value FROM ({_trade()}) GROUP BY src""",
+        "table_sink": "SELECT event_id, user_id, event_type FROM events",
+        "lines_sink": f"""
+            SELECT row_number() OVER (ORDER BY o_orderstatus NULLS FIRST, o_orderkey) - 1 AS position,
+              o_orderkey || ',' || o_custkey || ',' || coalesce(o_orderstatus, '') || ',"' || o_orderpriority || '"' AS value
+            FROM ({ORDER_TABLE})""",
+        "short_rows": """
+            SELECT c_custkey::VARCHAR AS key, c_name AS name,
+              CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment FROM customer""",
         "sort_two_keys": """
             SELECT row_number() OVER (ORDER BY event_type, ts, event_id) - 1 AS position,
               event_type, event_id FROM events""",
@@ -153,6 +163,13 @@ def _splits() -> dict[str, str]:
         "dictionary_build": """
             SELECT 0 AS label, 'background' AS name UNION ALL
             SELECT row_number() OVER (ORDER BY p_partkey), p_name FROM part WHERE p_size <= 25""",
+        "class_ids_null": """
+            WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders),
+            c AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS class_id
+              FROM (SELECT DISTINCT o_orderpriority FROM o WHERE o_orderpriority IS NOT NULL))
+            SELECT o_orderkey, o.o_orderpriority, class_id::INT AS class_id FROM o LEFT JOIN c USING (o_orderpriority)""",
+        "label_map_fallback": "SELECT p_partkey AS label, p_brand || ':' || p_type AS name FROM part",
+        "class_folders": "SELECT lang AS class, count(*) AS rows FROM documents GROUP BY lang",
         "label_map_format": """
             SELECT p_partkey || ':' || p_brand || ':' || p_type AS value FROM part""",
         "label_map_read": "SELECT p_partkey AS label, p_brand || ':' || p_type AS name FROM part",
@@ -173,6 +190,9 @@ m AS MATERIALIZED (SELECT vec_id, max(z) AS top, sum(exp(z)) AS total FROM z GRO
 p AS MATERIALIZED (SELECT z.*, m.top, exp(z.z) / m.total AS p FROM z JOIN m ON m.vec_id = z.vec_id)"""
 
 
+LABELLED = "vec_id % 5 <> 0 AND vec_id % 7 <> 0"
+
+
 def _top_hits(k: int, extra: str = "vec_id") -> str:
     return f"""
       SELECT own.{extra}, (count(*) FILTER (WHERE other.z > own.z) < {k})::INT AS hit
@@ -233,6 +253,17 @@ def _vectors() -> dict[str, str]:
             WITH {SCORES}, hits AS ({_top_hits(N.PRECISION_K)})
             SELECT sum(hit)::BIGINT AS correct, count(*) AS rows,
               round(sum(hit) / count(*), 6) + 0.0 AS precision FROM hits""",
+        "checkpoint_precision": f"""
+            WITH {SCORES}, hits AS ({_top_hits(1)})
+            SELECT sum(hit)::BIGINT AS correct, count(*) AS rows,
+              round(sum(hit) / count(*), 6) + 0.0 AS precision FROM hits""",
+        "unlabelled_metrics": f"""
+            WITH {SCORES}, hits AS ({_top_hits(N.PRECISION_K)}),
+            best AS (SELECT vec_id, min(k) FILTER (WHERE z = top) AS k, min(label) AS label FROM p GROUP BY vec_id)
+            SELECT 'loss' AS name, round(avg(-ln(p)), 6) + 0.0 AS value FROM p WHERE k = label AND {LABELLED}
+            UNION ALL SELECT 'accuracy', round(avg((k = label)::INT), 6) + 0.0 FROM best WHERE {LABELLED}
+            UNION ALL SELECT 'precision', round(sum(hit) / count(*), 6) + 0.0 FROM hits WHERE {LABELLED}
+            UNION ALL SELECT 'rows', count(*)::DOUBLE FROM hits WHERE {LABELLED}""",
         "running_precision": f"""
             WITH {SCORES}, hits AS ({_top_hits(1)}),
             b AS (SELECT vec_id // {N.PRECISION_BATCH} AS batch, sum(hit)::BIGINT AS correct, count(*) AS rows
@@ -287,6 +318,24 @@ def _descent(step_rows: list[str]) -> str:
     return f"WITH {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{len(step_rows)}"
 
 
+def _losses(step_rows: list[str]) -> str:
+    """The mean loss of each step of plain descent."""
+    parts = [INPUTS, f"o0 AS MATERIALIZED ({_positions()})", f"w0 AS MATERIALIZED ({START})"]
+    rows = []
+    for step, chosen in enumerate(step_rows):
+        parts += _gradient(str(step), f"w{step}", chosen)
+        parts.append(
+            f"""w{step + 1} AS MATERIALIZED (SELECT w.j, w.k, w.w - {N.LEARNING_RATE} * g.g AS w
+              FROM w{step} w JOIN g_{step} g ON g.j = w.j AND g.k = w.k)"""
+        )
+        rows.append(
+            f"""SELECT {step}::BIGINT AS step, 0 AS epoch, round(avg(ln(t.total) - z.z), 6) + 0.0 AS value
+              FROM rows_{step} r JOIN z_{step} z ON z.vec_id = r.vec_id AND z.k = r.label
+              JOIN t_{step} t ON t.vec_id = r.vec_id"""
+        )
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(rows)}"
+
+
 def _size(parts: int) -> str:
     return f"(SELECT count(*) // {parts} FROM embeddings)"
 
@@ -338,7 +387,11 @@ def _training() -> dict[str, str]:
     fixed = f"""f AS MATERIALIZED (SELECT j, k, w FROM {FIXED}
       UNION ALL SELECT {WIDTH}, k, 0.0 FROM range({CLASSES}) b(k))"""
     step = ", ".join([INPUTS, fixed, *_gradient("0", "f", "SELECT vec_id, label FROM embeddings")])
+    known = f"SELECT vec_id, label FROM embeddings WHERE {LABELLED}"
+    known_step = ", ".join([INPUTS, fixed, *_gradient("0", "f", known)])
     return {
+        "unlabelled_gradient": f"WITH {known_step} SELECT {NAMED}, round(g, 6) + 0.0 AS value FROM g_0",
+        "metrics_table": _losses([_range_rows(s, _size(steps)) for s in range(steps)]),
         "gradient_step": f"WITH {step} SELECT {NAMED}, round(g, 6) + 0.0 AS value FROM g_0",
         "train_minibatch": _descent([_range_rows(s, _size(steps)) for s in range(steps)]),
         "train_sync": _descent(

@@ -6,8 +6,6 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.session import spread
-
 WIDTH = 64
 CLASSES = 10
 SIDE = 8
@@ -26,9 +24,7 @@ def trade_edges(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
 
     ``broken`` drops some links, so that some orders have no in-link and some parts no out-link.
     """
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     order, part, supplier = (
         _tagged("o", "l_orderkey"),
         _tagged("p", "l_partkey"),
@@ -46,7 +42,7 @@ def trade_edges(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataF
 
 def raw_link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order rows as link lines with every irregularity the cleaning chain knows."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     return orders.select(F.expr(RAW_LINK_SQL).alias("value"))
 
 
@@ -74,13 +70,21 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ragged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines, the last field missing in every seventh."""
+    whole = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    short = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")
+    customers = table(spark, sf_dir, "customer")
+    return customers.select(F.when(F.col("c_custkey") % 7 == 0, short).otherwise(whole).alias("value"))
+
+
+def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier")
     return suppliers.select(F.concat_ws("\t", F.col("s_nationkey").cast("string"), "s_name").alias("value"))
 
 
 def order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
         F.col("o_custkey").cast("string").alias("o_custkey"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),

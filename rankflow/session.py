@@ -55,12 +55,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/rankflow-{uuid.uuid4().hex}/{name}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a file scan that has fewer splits than there are cores; others stay as they are."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 @contextmanager
 def shuffle_partitions(spark: SparkSession, count: int):
     """Plans executed inside shuffle into ``count`` partitions, so that they meet in place."""

@@ -26,6 +26,23 @@ def read_table(spark: SparkSession, *paths: str, schema: StructType | None = Non
     return reader.csv(list(paths))
 
 
+def read_raw_table(spark: SparkSession, *paths: str, line: str = "line") -> DataFrame:
+    """The same with each raw line beside its fields; lines that equal their file's header are dropped.
+
+    A field may not contain a line break here.
+    """
+    lines = spark.read.text(list(paths))
+    header = lines.first()
+    if header is None:
+        return lines.select(F.col("value").alias(line))
+    schema = read_table(spark, *paths).schema
+    parsed = lines.filter(F.col("value") != header["value"]).select(
+        F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")).alias("fields"),
+        F.col("value").alias(line),
+    )
+    return parsed.select("fields.*", line)
+
+
 def write_ranks(ranks: DataFrame, path: str, single: bool = False) -> None:
     """``(node,rank)`` lines."""
     node, rank = ranks.columns

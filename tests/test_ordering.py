@@ -66,16 +66,14 @@ def test_running_totals_cross_partitions(spark):
 
 
 @pytest.mark.parametrize("n", [1, 17, 1500, 3000])
-def test_nth_key(spark, monkeypatch, n):
-    monkeypatch.setattr("rankflow.operators.ordering.SELECTION_ROWS", 3)
+def test_nth_key(spark, n):
     rows, df = skewed(spark)
     got = nth_key(df, shuffle_key(F.col("id")), F.col("id"), n, MODULUS)
     assert (got["key"], got["tie"]) == sorted((key_of(i), i) for _, i in rows)[n - 1]
     assert nth_key(df, shuffle_key(F.col("id")), F.col("id"), 3001, MODULUS) is None
 
 
-def test_nth_key_among_many_equal_keys(spark, monkeypatch):
-    monkeypatch.setattr("rankflow.operators.ordering.SELECTION_ROWS", 3)
+def test_nth_key_among_many_equal_keys(spark):
     df = spark.range(100).select(F.lit(5).alias("key"), "id")
     got = nth_key(df, F.col("key"), F.col("id"), 42, 4096)
     assert (got["key"], got["tie"]) == (5, 41)
@@ -101,14 +99,11 @@ def test_a_hot_key_is_spread_over_the_sorted_partitions(spark, copies):
     assert max(sizes) < 800
 
 
-@pytest.mark.parametrize("limit", [0, 100])
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_beyond_the_broadcast_limit(spark, limit, how):
+def test_lookup_join(spark, how):
     rows, df = skewed(spark)
     lookup = spark.createDataFrame([(k, f"name{k}") for k in range(40)], "k int, name string")
-    joined = lookup_join(df, lookup, "k", how, broadcast_rows=limit)
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+    joined = lookup_join(df, lookup, "k", how)
     got = sorted((r["id"], r["name"]) for r in joined.collect() if r["name"])
     assert got == sorted((i, f"name{k}") for k, i in rows if k < 40)
     assert joined.count() == (len(rows) if how == "left" else len(got))

@@ -180,8 +180,46 @@ def test_dictionary(spark):
     names = L.parse_names(lines(spark, "n2\tfox, red", " n1\tcat \n", "n3\tdog"))
     ids = spark.createDataFrame([("n1",), ("n3",)], "id string")
     assert dict(L.dictionary(ids, names).collect()) == {0: "background", 1: "cat", 2: "dog"}
-    with pytest.raises(KeyError):
-        L.dictionary(spark.createDataFrame([("n9",)], "id string"), names)
+    with pytest.raises(PySparkException):
+        L.dictionary(spark.createDataFrame([("n9",)], "id string"), names).collect()
+
+
+def test_dictionary_in_file_order(spark, fresh_dir):
+    spark.createDataFrame([("n2",), ("n1",), ("n3",)], "value string").coalesce(1).write.text(f"{fresh_dir}/ids")
+    names = spark.createDataFrame([("n1", "cat"), ("n2", "dog"), ("n3", "eel")], "id string, name string")
+    built = dict(L.dictionary(L.read_ids(spark, f"{fresh_dir}/ids"), names).collect())
+    assert built == {0: "background", 1: "dog", 2: "cat", 3: "eel"}
+
+
+def test_rows_without_a_class_keep_their_row(spark):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a"), (4, "b")], "id int, c string")
+    got = {r["id"]: r["class_id"] for r in L.with_class_id(df, "c").collect()}
+    assert got == {1: 1, 2: None, 3: 0, 4: 1}
+
+
+def test_unlabelled_rows_are_left_out_alike(spark):
+    rows = [([1.0, 0.0], 0), ([0.0, 2.0], 1), ([5.0, 5.0], -1), ([3.0, 1.0], 2), ([4.0, 4.0], None)]
+    df = spark.createDataFrame(rows, "features array<float>, label int")
+    params = R.random_params(2, 2, stddev=1.0)
+    some = R.mean_gradient(df, params)
+    known = R.mean_gradient(df.filter("label IN (0, 1)"), params)
+    assert some[2] == known[2] == 2 and some[1] == pytest.approx(known[1])
+    assert some[0]["weights"] == pytest.approx(known[0]["weights"])
+    scored = R.scored(df, params)
+    hits = M.precision_at_k(scored, "scores", "label", 2).first()
+    assert (hits["correct"], hits["rows"]) == (2, 2)
+    assert M.mean_score_loss(scored, "scores", "label").first()[0] == pytest.approx(known[1])
+    hit = scored.select(V.in_top_k(F.col("scores"), F.col("label"), 2)).collect()
+    assert [r[0] for r in hit] == [True, True, False, False, False]
+
+
+def test_a_sweep_does_not_carry_velocity_over(spark):
+    df, _, _ = rows_of(spark)
+    optimizer = R.Momentum({"default": {"learning_rate": 0.1, "momentum": 0.9}})
+    both = R.sweep(df, "id", R.zero_params(5, 3), [60, 60], epochs=1, optimizer=optimizer)
+    losses = [m[4] for m in both if m[3] == "loss"]
+    assert losses[: len(losses) // 2] == pytest.approx(losses[len(losses) // 2 :])
+    assert optimizer.velocity == {}
     with pytest.raises(PySparkException):
         L.parse_names(lines(spark, "n1\ta\tb")).collect()
 
@@ -203,12 +241,12 @@ def test_first_gradient_by_hand(spark):
     assert grads["biases"].tolist() == [0.0, 0.0]
 
 
-def test_shuffled_and_direct_sums_agree(spark):
+def test_sums_of_many_tasks(spark):
     df, x, labels = rows_of(spark)
     start = R.random_params(5, 3, stddev=0.5)
     dw, db, loss = plain_gradient(x, labels, start["weights"], start["biases"])
-    for bound in (None, 240):
-        grads, got, count = R.mean_gradient(df.repartition(5), start, max_rows=bound)
+    for tasks in (1, 9):
+        grads, got, count = R.mean_gradient(df.repartition(tasks), start)
         assert count == 240 and got == pytest.approx(loss)
         assert grads["weights"] == pytest.approx(dw) and grads["biases"] == pytest.approx(db)
 
@@ -326,10 +364,20 @@ def test_checkpoints(spark, fresh_dir):
     assert restored["weights"] == pytest.approx(run.params["weights"])
     assert restored["biases"] == pytest.approx(run.params["biases"])
     speed = R.restore_model(spark, path, velocity=True)
-    assert speed["weights"] == pytest.approx(optimizer.velocity["weights"])
+    assert speed["weights"] == pytest.approx(run.velocity["weights"])
     assert R.evaluate(df, restored) == pytest.approx(R.evaluate(df, run.params))
 
 
+def test_half_a_run_and_its_rest_equal_the_whole(spark):
+    df, _, _ = rows_of(spark)
+    optimizer = R.Momentum({"default": {"learning_rate": 0.2, "momentum": 0.9}})
+    whole = R.train(df, "id", R.zero_params(5, 3), 120, 2, optimizer)
+    half = R.train(df, "id", R.zero_params(5, 3), 120, 1, optimizer)
+    rest = R.train(df, "id", half.params, 120, 1, optimizer, first_step=half.steps, first_epoch=1, velocity=half.velocity)
+    assert rest.steps == whole.steps
+    assert rest.params["weights"] == pytest.approx(whole.params["weights"])
+
+
 def test_sweep(spark):
     df, _, _ = rows_of(spark, n=60)
     metrics = R.sweep(df, "id", R.zero_params(5, 3), [10, 30], epochs=1, test=df)
