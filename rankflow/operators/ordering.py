@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from rankflow.session import cut
+from rankflow.session import cut, cut_at, drop_scratch, scratch_path
 
 LOCAL_BITS = 33
 SELECTION_BUCKETS = 2048
@@ -45,6 +45,11 @@ class OrderedRows:
     table: DataFrame
     starts: list[int]
     total: int
+    path: str
+
+    def drop(self) -> None:
+        """Deletes the written table; nothing that reads it may be used afterwards."""
+        drop_scratch(self.table.sparkSession, self.path)
 
     def position(self) -> Column:
         return F.get(_constant(self.starts, "bigint"), F.col("_part")) + F.col("_row")
@@ -80,13 +85,14 @@ def ordered_rows(df: DataFrame, order_by: list[str | Column]) -> OrderedRows:
         .drop(*named)
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << LOCAL_BITS) - 1))
     )
-    table = cut(ranged, "ordered", partition_by=("_part",))
+    path = scratch_path(df.sparkSession, "ordered")
+    table = cut_at(ranged, path, partition_by=("_part",))
     counts = {row["_part"]: row["rows"] for row in _part_counts(table).collect()}
     starts, total = [], 0
     for part in range(max(counts, default=-1) + 1):
         starts.append(total)
         total += counts.get(part, 0)
-    return OrderedRows(table, starts, total)
+    return OrderedRows(table, starts, total, path)
 
 
 def _part_counts(table: DataFrame) -> DataFrame:

@@ -192,6 +192,10 @@ class EpochFeed:
             first = first.unionByName(other)
         return first
 
+    def drop(self) -> None:
+        for rows in self.rows:
+            rows.drop()
+
 
 def epoch_feed(
     df: DataFrame,
@@ -265,23 +269,29 @@ def train(
     if velocity and isinstance(optimizer, Momentum):
         optimizer.velocity = {name: value.copy() for name, value in velocity.items()}
     started, step, metrics, feed = time.monotonic(), first_step, [], None
-    for epoch in range(first_epoch, first_epoch + epochs):
-        if feed is None or reshuffle:
-            feed = epoch_feed(data, "id", batch_size, epoch, workers, shard_batches)
-        for local in range(feed.steps):
-            grads, loss, _ = mean_gradient(feed.step(local), params)
-            if weight_decay:
-                loss += weight_decay * float((params["weights"] ** 2).sum()) / 2
-                grads["weights"] = grads["weights"] + weight_decay * params["weights"]
-            params = optimizer.update(params, grads, step)
-            metrics.append((run, step, epoch, "loss", float(loss), time.monotonic() - started))
-            last = epoch == first_epoch + epochs - 1 and local == feed.steps - 1
-            if model_path and (step % save_every == 0 or last):
-                save_model(spark, params, step, model_path, getattr(optimizer, "velocity", None))
-            step += 1
-        if test is not None:
-            score = evaluate(test, params)
-            metrics.append((run, step - 1, epoch, "accuracy", score, time.monotonic() - started))
+    try:
+        for epoch in range(first_epoch, first_epoch + epochs):
+            if feed is None or reshuffle:
+                old, feed = feed, epoch_feed(data, "id", batch_size, epoch, workers, shard_batches)
+                if old is not None:
+                    old.drop()
+            for local in range(feed.steps):
+                grads, loss, _ = mean_gradient(feed.step(local), params)
+                if weight_decay:
+                    loss += weight_decay * float((params["weights"] ** 2).sum()) / 2
+                    grads["weights"] = grads["weights"] + weight_decay * params["weights"]
+                params = optimizer.update(params, grads, step)
+                metrics.append((run, step, epoch, "loss", float(loss), time.monotonic() - started))
+                last = epoch == first_epoch + epochs - 1 and local == feed.steps - 1
+                if model_path and (step % save_every == 0 or last):
+                    save_model(spark, params, step, model_path, getattr(optimizer, "velocity", None))
+                step += 1
+            if test is not None:
+                score = evaluate(test, params)
+                metrics.append((run, step - 1, epoch, "accuracy", score, time.monotonic() - started))
+    finally:
+        if feed is not None:
+            feed.drop()
     return Run(params, metrics, step, getattr(optimizer, "velocity", {}))
 
 
@@ -315,7 +325,10 @@ def train_local(
             .sortWithinPartitions("batch", "_part", "_row")
             .select("batch", "features", "label")
         )
-        params = _average(streams.mapInArrow(_walk(params, learning_rate), "params array<double>"), params)
+        try:
+            params = _average(streams.mapInArrow(_walk(params, learning_rate), "params array<double>"), params)
+        finally:
+            rows.drop()
         step += -(-batches // workers)
         if test is not None:
             score = evaluate(test, params)

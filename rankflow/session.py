@@ -78,10 +78,22 @@ def cut(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFra
     Preferred to a checkpoint for wide rows: columnar, compressed, and later reads prune
     columns and push filters down.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return cut_at(df, scratch_path(df.sparkSession, name), partition_by)
+
+
+def cut_at(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table that :func:`scratch_path` placed, once nothing reads it any more."""
+    folder = path.rstrip("/").rsplit("/", 1)[0]
+    if not folder.rsplit("/", 1)[-1].startswith("rankflow-"):
+        raise ValueError(f"{path} is no scratch table")
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(context.hadoopConfiguration()).delete(target, True)
 
 
 def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Vector expressions, metrics, labels and training."""
 
 import math
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from rankflow.functions import vectors as V
 from rankflow.operators import labels as L
 from rankflow.operators import metrics as M
 from rankflow.operators import training as R
+from rankflow.session import shared_dir
 
 
 def one(spark, column, **values):
@@ -378,6 +380,16 @@ def test_half_a_run_and_its_rest_equal_the_whole(spark):
     assert rest.params["weights"] == pytest.approx(whole.params["weights"])
 
 
+def test_training_leaves_no_epoch_tables(spark):
+    df, _, _ = rows_of(spark, n=60)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("rankflow-*"))
+    R.train(df, "id", R.zero_params(5, 3), 20, 3)
+    R.train_local(df, "id", R.zero_params(5, 3), 20, 2)
+    R.sweep(df, "id", R.zero_params(5, 3), [20, 30], epochs=2)
+    assert set(folder.glob("rankflow-*")) == before
+
+
 def test_sweep(spark):
     df, _, _ = rows_of(spark, n=60)
     metrics = R.sweep(df, "id", R.zero_params(5, 3), [10, 30], epochs=1, test=df)
