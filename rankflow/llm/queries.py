@@ -27,17 +27,21 @@ def _remainder(column: str, divisor: int):
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also ``near_others`` for ids divisible by 100: other fingerprints of the table within the radius."""
     rows = cut(edited.fingerprints_with_edits(table(spark, sf_dir, "documents")), "fingerprints")
-    asked = F.col("id") % 100 == 0
+    asked = F.coalesce(F.col("id") % 100 == 0, F.lit(False))
+    asking, others = rows.filter(asked), rows.filter(~asked)
     all_prints = rows.select(F.col("own").alias("fingerprint"))
-    near = simhash.find_near(rows.filter(asked).select(F.col("own").alias("fingerprint")), all_prints)
+    near = simhash.find_near(asking.select(F.col("own").alias("fingerprint")), all_prints)
     counts = near.groupBy("query").agg(F.count("*").alias("near_others"))
-    return rows.join(counts, F.when(asked, F.col("own")) == F.col("query"), "left").select(
+    counted = asking.join(counts, F.col("own") == F.col("query"), "left").drop("query")
+    counted = counted.withColumn("near_others", F.coalesce("near_others", F.lit(0)))
+    # Rows that do not ask have no part in the join.
+    whole = counted.unionByName(others.withColumn("near_others", F.lit(None).cast("bigint")))
+    return whole.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256",
         simhash.as_text(F.col("own")).alias("fingerprint"),
         simhash.as_text(F.col("edited")).alias("edited_fingerprint"),
         simhash.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-        simhash.likeness(F.col("own"), F.col("next")).alias("near_next"),
-        F.when(asked, F.coalesce("near_others", F.lit(0))).alias("near_others"),
+        simhash.likeness(F.col("own"), F.col("next")).alias("near_next"), "near_others",
     )
 
 
