@@ -24,20 +24,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import picked
-from rankflow.llm.lattice import SPACE_SIGN, TOKENIZER_PATH, load_vocabulary, log_marginals
+from rankflow.llm.lattice import SPACE_SIGN, TOKENIZER_PATH, blocks, load_vocabulary, log_marginals
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 SMOOTHING = 0.1
 # Memory of a task: words held at once, and words whose likelihoods are remembered.
 WORDS_HELD = 50_000
+LONG_TEXT = 500_000
 WORDS_KNOWN = 200_000
 
 
 def words_of(text: str) -> Iterator[list[str]]:
     """The text's words, a bounded number at a time."""
-    found = LETTERS.finditer(text.lower())
-    while held := [SPACE_SIGN + m[0] for m in itertools.islice(found, WORDS_HELD)]:
+    text = text.lower()
+    if len(text) <= LONG_TEXT:
+        if found := LETTERS.findall(text):
+            yield found
+        return
+    found = LETTERS.finditer(text)
+    while held := [m[0] for m in itertools.islice(found, WORDS_HELD)]:
         yield held
 
 
@@ -68,7 +74,7 @@ def piece_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
             for lang, counter in words.items():
                 pieces: Counter = Counter()
                 items = list(counter.items())
-                encoded = model.encode([w.removeprefix(SPACE_SIGN) for w, _ in items], num_threads=1)
+                encoded = model.encode([w for w, _ in items], num_threads=1)
                 for (_, n), ids in zip(items, encoded):
                     for i in ids:
                         pieces[i] += n
@@ -131,41 +137,45 @@ def predictor(spark: SparkSession, model: LanguageModel):
         languages, probabilities, log_prior, tokenizer = shared.value
         vocabulary = load_vocabulary(tokenizer)
         places: dict[str, int] = {}
-        values = np.zeros((0, len(languages)))
+        values = np.zeros((WORDS_KNOWN, len(languages)))
 
-        def likelihood(words: list[str]) -> np.ndarray:
+        def learn(words: set[str]) -> None:
+            """Remembers the words' likelihoods, forgetting all others where room runs out."""
             nonlocal values
-            fresh = list({w for w in words if w not in places})
-            if len(places) + len(fresh) > WORDS_KNOWN:
+            fresh = [w for w in words if w not in places]
+            if len(places) + len(fresh) > len(values):
                 places.clear()
-                values = values[:0]
-                fresh = list(set(words))
+                fresh = list(words)
+                if len(fresh) > len(values):
+                    values = np.zeros((len(fresh), len(languages)))
             if fresh:
-                new = log_marginals(vocabulary, fresh, probabilities)
-                places.update(zip(fresh, range(len(values), len(values) + len(fresh))))
-                values = np.concatenate([values, new])
+                low = len(places)
+                values[low : low + len(fresh)] = log_marginals(vocabulary, [SPACE_SIGN + w for w in fresh], probabilities)
+                places.update(zip(fresh, range(low, low + len(fresh))))
+
+        def total_of(words: list[str]) -> np.ndarray:
             return values[np.fromiter(map(places.__getitem__, words), np.int64, len(words))].sum(axis=0)
 
         for batch in batches:
             langs, scores = [], []
-            texts = list(batch)
-            for low in range(0, len(texts), 256):
-                group = texts[low : low + 256]
-                # Words of several short texts are scored together, long texts piece by piece.
-                if sum(len(t or "") for t in group) < 1_000_000:
-                    seen = [w for t in group for part in words_of(t or "") for w in part]
-                    if seen:
-                        likelihood(seen)
-                for text in group:
-                    total = log_prior.copy()
-                    any_word = False
-                    for part in words_of(text or ""):
-                        total += likelihood(part)
+            for group in blocks(batch, lambda t: len(t or "") + 1, LONG_TEXT):
+                # Words of several short texts are scored together, a long text part by part.
+                totals = []
+                if len(group) == 1:
+                    total, any_word = log_prior.copy(), False
+                    for part in words_of(group[0] or ""):
+                        learn(set(part))
+                        total += total_of(part)
                         any_word = True
-                    best = int(total.argmax())
-                    share = np.exp(total - total[best])
-                    langs.append(languages[best] if any_word else UNDETERMINED)
-                    scores.append(float(1.0 / share.sum()) if any_word else 0.0)
+                    totals.append(total if any_word else None)
+                else:
+                    split = [[w for part in words_of(t or "") for w in part] for t in group]
+                    learn(set().union(*split))
+                    totals += [log_prior + total_of(words) if words else None for words in split]
+                for total in totals:
+                    best = 0 if total is None else int(total.argmax())
+                    langs.append(UNDETERMINED if total is None else languages[best])
+                    scores.append(0.0 if total is None else float(1.0 / np.exp(total - total[best]).sum()))
             yield pd.DataFrame({"lang": langs, "score": scores})
 
     return predict

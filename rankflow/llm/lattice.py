@@ -168,28 +168,24 @@ def laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return codes, starts, lengths, room
 
 
-def forward(edges: Edges, nodes: int, firsts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward sums per node and model, scaled, and the logs of the scales per node.
+def forward(edges: Edges, nodes: int, weights: np.ndarray) -> np.ndarray:
+    """Logs of the forward sums per node and model.
 
-    ``firsts`` are the nodes before the texts. ``weights`` has a row per id and one for characters that are no
-    piece, a column per model. All texts advance together, a character at a time. A node's scale is
-    that of its text's node a character before times the sum there, so nothing vanishes in long texts.
+    ``weights`` has a row per id and one for characters that are no piece, a column per model. All texts
+    advance together, a character at a time. Sums are taken relative to the node before, so nothing
+    vanishes in long texts, however far the models differ.
     """
-    sums, logs = np.zeros((nodes, weights.shape[1])), np.zeros(nodes)
-    sums[firsts] = 1.0
+    logs = np.zeros((nodes, weights.shape[1]))
     for t in range(1, len(edges.bounds) - 1):
         low, high = edges.bounds[t], edges.bounds[t + 1]
         target, source = edges.target[low:high], edges.source[low:high]
         first = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
         here = target[first]
         base = logs[here - 1]
-        shift = np.exp(logs[source] - np.repeat(base, np.diff(np.append(first, len(target)))))
-        parts = sums[source] * weights[edges.piece[low:high]] * shift[:, None]
-        total = np.add.reduceat(parts, first, axis=0)
-        top = total.max(axis=1)
-        sums[here] = total / top[:, None]
-        logs[here] = base + np.log(top)
-    return sums, logs
+        shift = np.exp(logs[source] - np.repeat(base, np.diff(np.append(first, len(target))), axis=0))
+        total = np.add.reduceat(weights[edges.piece[low:high]] * shift, first, axis=0)
+        logs[here] = base + np.log(total)
+    return logs
 
 
 def log_marginals(vocabulary: Vocabulary, texts: list[str], weights: np.ndarray) -> np.ndarray:
@@ -197,8 +193,8 @@ def log_marginals(vocabulary: Vocabulary, texts: list[str], weights: np.ndarray)
     codes, starts, lengths, room = laid_out(texts)
     edges = vocabulary.edges(codes, starts, lengths, room)
     firsts = starts + np.arange(len(starts))
-    sums, logs = forward(edges, len(codes) + len(starts), firsts, weights)
-    return np.log(sums[firsts + lengths]) + logs[firsts + lengths, None]
+    logs = forward(edges, len(codes) + len(starts), weights)
+    return logs[firsts + lengths]
 
 
 def blocks(items: Iterable, size, limit: int) -> Iterator[list]:

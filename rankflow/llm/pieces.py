@@ -57,8 +57,8 @@ class Sampler:
         edges = self.vocabulary.edges(codes, starts, lengths, room)
         firsts = starts + np.arange(len(starts))
         nodes = len(codes) + len(starts)
-        sums, logs = forward(edges, nodes, firsts, self.weights)
-        share = sums[edges.source, 0] * self.weights[edges.piece, 0] * np.exp(logs[edges.source] - logs[edges.target])
+        logs = forward(edges, nodes, self.weights)[:, 0]
+        share = self.weights[edges.piece, 0] * np.exp(logs[edges.source] - logs[edges.target])
         order = np.lexsort((edges.length, edges.target))
         # Every node's shares sum to one, so a draw at a node lies among its own running totals.
         bounds = np.searchsorted(edges.target[order], np.arange(nodes + 1))
