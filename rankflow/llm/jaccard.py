@@ -50,7 +50,7 @@ HASHES_HELD = 2_000_000
 
 # The first round looks at one in so many groups.
 FIRST_ROUND = 8
-FINE_BITS = 8
+FINE_BITS = 4
 
 _LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -350,11 +350,19 @@ def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) ->
     own = large.withColumn("band", band(F.col("size"))).withColumn("upper", F.lit(False))
     below = own.withColumn("band", F.col("band") - 1).withColumn("upper", F.lit(True))
     placed = own.unionByName(below)
+    own_size = F.when(~F.col("upper"), F.col("size"))
     counts = placed.groupBy("token", "band").agg(
-        F.ceil(F.count("*") / TILE).cast("int").alias("parts"), (~F.bool_and("upper")).alias("used")
+        F.ceil(F.count("*") / TILE).cast("int").alias("parts"),
+        F.min(own_size).alias("least"), F.max(own_size).alias("most"),
+    )
+    # A row stays in a tile only if some size there leaves it a partner at its place.
+    partner = F.greatest(F.col("least"), F.ceil(F.col("size") * NUMERATOR / DENOMINATOR))
+    useful = (partner <= F.when(F.col("upper"), F.col("most")).otherwise(partner)) & linked(
+        F.col("size") - F.col("place"), F.col("size"), partner
     )
     part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    dealt = placed.join(counts.filter("used").drop("used"), ["token", "band"]).withColumn("part", part)
+    used = counts.filter("least IS NOT NULL")
+    dealt = placed.join(used, ["token", "band"]).filter(useful).withColumn("part", part)
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "token", "band", "cid", "size", "place", "label", "upper", "part",
         F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
