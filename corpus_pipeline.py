@@ -46,10 +46,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of a seeded segmentation, and whether they spell the text again."""
-    decoded = pieces.decode(pieces.encode(docs.select(*COLUMNS)))
-    return decoded.select(
-        "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_pieces"), "ids",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    encoded = pieces.encode(docs.select(*COLUMNS), check="lossless")
+    return encoded.select(
+        "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_pieces"), "ids", "lossless",
     )
 
 

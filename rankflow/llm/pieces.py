@@ -22,8 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from rankflow.llm.lattice import (
     SPACE_SIGN, TOKENIZER_PATH, Vocabulary, blocks, forward, laid_out, load_vocabulary, mix64,
@@ -31,7 +34,7 @@ from rankflow.llm.lattice import (
 
 SHARPNESS = 1.0
 RANK_OFFSET = 10.0
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 300_000
 STRETCH = re.compile(f"{SPACE_SIGN}*[^{SPACE_SIGN}]+|{SPACE_SIGN}+")
 # A literal space sign in a text must stay apart from a space: this character is no piece.
 LITERAL_SIGN = "\U0010ffff"
@@ -78,8 +81,8 @@ class Sampler:
                 at += len(stretch)
         if not known:
             return [np.zeros(0, dtype=np.int32) for _ in texts]
-        codes, firsts, lengths, sizes, pieces, bounds, totals = self._lattice(list(known))
         which, row, base = (np.array(x, dtype=np.int64) for x in (which, row, base))
+        codes, firsts, lengths, sizes, pieces, bounds, totals = self._lattice(list(known))
         salt = mix64(np.array(keys, dtype=np.int64).view(np.uint64))[row]
         left, drawn = lengths[which].copy(), []
         live = np.arange(len(which))
@@ -117,25 +120,61 @@ class Sampler:
         return np.split(ids, np.searchsorted(rows, np.arange(1, count)))
 
 
+def _speller(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes that each id stands for."""
+    spelt = [piece.replace(SPACE_SIGN, " ").encode("utf-8") for piece in vocabulary.pieces]
+    for byte, i in enumerate(vocabulary.byte_ids):
+        spelt[i] = bytes([byte])
+    return spelt
+
+
+def _lists(arrays: list[np.ndarray | None]) -> pa.ListArray:
+    sizes = [0 if x is None else len(x) for x in arrays]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    held = [x for x in arrays if x is not None and len(x)]
+    values = pa.array(np.concatenate(held).astype(np.int32) if held else np.zeros(0, dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in arrays]))
+
+
 def encode(
     docs: DataFrame, key_col: str = "doc_id", text_col: str = "text", out: str = "ids",
-    tokenizer: str = TOKENIZER_PATH, sharpness: float = SHARPNESS, seed: int = 0,
+    tokenizer: str = TOKENIZER_PATH, sharpness: float = SHARPNESS, seed: int = 0, check: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the piece ids of one sampled segmentation per row."""
-
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """``docs`` with the piece ids ``out`` of one sampled segmentation per row.
+
+    ``check`` names a further column: whether the ids spell the text again. Rows go through a task in blocks of
+    about ``BLOCK_CHARS`` characters, so its memory does not grow with their number.
+    """
+    names = docs.columns
+    place, hashed = names.index(text_col), "_" + "_".join(names)
+    fields = [*docs.schema.fields, StructField(out, ArrayType(IntegerType()))]
+    if check:
+        fields.append(StructField(check, BooleanType()))
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(tokenizer, sharpness)
-        for texts, keys in batches:
-            result: list = [None] * len(texts)
-            present = [(i, t, k) for i, (t, k) in enumerate(zip(texts, keys)) if t is not None]
-            for block in blocks(present, lambda item: len(item[1]), BLOCK_CHARS):
-                ids = sampler.encode_block([t for _, t, _ in block], [k for _, _, k in block])
-                for (i, _, _), own in zip(block, ids):
-                    result[i] = own
-            yield pd.Series(result, dtype=object)
-
-    return docs.withColumn(out, encoded(F.col(f"`{text_col}`"), F.xxhash64(F.lit(seed), f"`{key_col}`")))
+        spelt = _speller(sampler.vocabulary)
+        for batch in batches:
+            sizes = pc.fill_null(pc.utf8_length(batch.column(place)), 0).to_pylist()
+            low = 0
+            for block in blocks(sizes, lambda n: n + 1, BLOCK_CHARS):
+                part = batch.slice(low, len(block))
+                low += len(block)
+                texts, keys = part.column(place).to_pylist(), part.column(len(names)).to_pylist()
+                present = [i for i, t in enumerate(texts) if t is not None]
+                ids: list[np.ndarray | None] = [None] * len(texts)
+                for i, own in zip(present, sampler.encode_block([texts[i] for i in present], [keys[i] for i in present])):
+                    ids[i] = own
+                columns = [*part.columns[: len(names)], _lists(ids)]
+                if check:
+                    columns.append(pa.array([
+                        x is None or b"".join(map(spelt.__getitem__, x.tolist())).decode("utf-8") == t
+                        for x, t in zip(ids, texts)
+                    ], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    keyed = docs.withColumn(hashed, F.xxhash64(F.lit(seed), f"`{key_col}`"))
+    return keyed.mapInArrow(encoded, StructType(fields))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", tokenizer: str = TOKENIZER_PATH) -> DataFrame:
@@ -143,10 +182,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out: str = "decoded", token
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = load_vocabulary(tokenizer)
-        spelt = [piece.replace(SPACE_SIGN, " ").encode("utf-8") for piece in vocabulary.pieces]
-        for byte, i in enumerate(vocabulary.byte_ids):
-            spelt[i] = bytes([byte])
+        spelt = _speller(load_vocabulary(tokenizer))
         for batch in batches:
             yield pd.Series([
                 None if ids is None else b"".join(map(spelt.__getitem__, ids)).decode("utf-8") for ids in batch
