@@ -2,19 +2,23 @@
 
 Centroids come from a balanced bisection of a bounded sample, so lists hold about the same number of
 vectors. Every vector goes into its nearest list, and into further ones whose centroids are hardly farther away:
-vectors at a border are found from either side. Centroids are searched through a graph held in memory. A
-query reads the lists whose centroid distance is within a ratio of the nearest one's. Candidates are
-scored exactly, in double precision, on the original vectors.
+vectors at a border are found from either side. A vector's lists are found through a graph of the centroids,
+held in memory. A query is compared with all centroids and reads every list whose centroid distance is within a
+ratio of the nearest one's, however many, and further ones in order of distance until they are home to ``k`` other
+vectors. Candidates are scored exactly, in double precision, on the original vectors.
+
+Neighbouring lists are stored together on at most ``SHELVES`` shelves. A query reads whole shelves, so it is copied
+once per shelf and not per list.
 
 Equal vectors are one entry with the smallest ids that any answer can need, so a vector that very many rows share is
-no hot list. Lists that grow beyond a tile are split into tiles, by vectors and by queries, so that a task holds
+no hot list. Shelves that grow beyond a tile are split into tiles, by vectors and by queries, so that a task holds
 one tile of each whatever the size of the table. Every vector is indexed; only the centroids are fitted on a
 sample of ``FIT_ROWS``, and their number is at most ``MAX_LISTS``.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component take no part, as query
 or candidate, nor do rows with a null id or, where lengths differ, with another length than most. Rows that
-repeat an id with another vector are candidates of their own. A query with fewer candidates than ``k`` gets
-all that its lists hold. Ties go to the smaller id.
+repeat an id with another vector are candidates of their own. A query with fewer than ``k`` others in the
+whole table gets all of them. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ BLOCK_SCORES = 1_000_000
 REPLICATE_RATIO = 1.06
 REPLICAS = 4
 SEARCH_RATIO = 1.2
-SEARCH_LISTS = 512
+SHELVES = 256
 
 
 @dataclass(frozen=True)
@@ -57,12 +61,12 @@ class Index:
 def bisect(sample: np.ndarray, leaves: int, seed: int = 0) -> np.ndarray:
     """Centroids of ``leaves`` groups of equal size: each group is cut at the median along its two means' line."""
     rng = np.random.default_rng(seed)
-    groups = [np.arange(len(sample))]
+    groups = [("", np.arange(len(sample)))]
     while len(groups) < min(leaves, len(sample)):
-        groups.sort(key=len)
-        own = groups.pop()
+        groups.sort(key=lambda group: len(group[1]))
+        path, own = groups.pop()
         if len(own) < 2:
-            groups.append(own)
+            groups.append((path, own))
             break
         x = sample[own]
         a, b = x[rng.choice(len(own), 2, replace=False)]
@@ -73,8 +77,9 @@ def bisect(sample: np.ndarray, leaves: int, seed: int = 0) -> np.ndarray:
             a, b = x[side].mean(axis=0), x[~side].mean(axis=0)
         order = np.argsort(x @ (a - b), kind="stable")
         half = len(own) // 2
-        groups += [own[order[:half]], own[order[half:]]]
-    means = np.stack([sample[g].mean(axis=0) for g in groups])
+        groups += [(path + "0", own[order[:half]]), (path + "1", own[order[half:]])]
+    # In the order of the cuts, neighbours come next to each other.
+    means = np.stack([sample[own].mean(axis=0) for _, own in sorted(groups, key=lambda group: group[0])])
     return means / np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-12)
 
 
@@ -145,6 +150,18 @@ def list_choice(index: Index, x: np.ndarray, ratio: float, most: int) -> tuple[n
     return rows, ids[rows, places]
 
 
+def lists_to_read(index: Index, x: np.ndarray, ratio: float, homes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and lists: all within ``ratio`` of the nearest centroid's distance, and more until ``least`` vectors
+    have their home there, of which list ``i`` has ``homes[i]``."""
+    score = x @ index.centroids.T
+    order = np.argsort(-score, axis=1, kind="stable")
+    distance = np.sqrt(np.maximum(0.0, 2 - 2 * np.take_along_axis(score, order, axis=1)))
+    held = homes[order]
+    before = np.cumsum(held, axis=1) - held
+    rows, places = np.nonzero((distance <= np.maximum(distance[:, :1] * ratio, 1e-9)) | (before < least))
+    return rows, order[rows, places]
+
+
 # --- tables ------------------------------------------------------------------------------------
 
 
@@ -172,36 +189,44 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _placed(entries: DataFrame, shared, ratio: float, most: int) -> DataFrame:
-    """``(list, uid, vector, low)``: a row for each list that an entry goes to; ``low`` is its smallest id."""
+def _placed(entries: DataFrame, shared, lists_of, per_shelf: int) -> DataFrame:
+    """``(shelf, uid, vector, low, home)``: a row for each shelf with one of the lists that ``lists_of`` gives an entry.
+
+    ``low`` is the entry's smallest id; one of its rows has its nearest list as ``home``, the others -1.
+    """
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(*shared.value)
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                rows, lists = list_choice(index, _unit(_matrix(part.column(1))), ratio, most)
-                taken = part.take(pa.array(rows))
+                rows, lists = lists_of(index, _unit(_matrix(part.column(1))))
+                first = np.diff(rows, prepend=-1) > 0
+                shelf = lists // per_shelf
+                _, once = np.unique(rows * (len(index.centroids) + 1) + shelf, return_index=True)
+                taken = part.take(pa.array(rows[once]))
+                home = np.where(first, lists, -1)[once]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.astype(np.int32)), *taken.columns], names=["list", "uid", "vector", "low"]
+                    [pa.array(shelf[once].astype(np.int32)), *taken.columns, pa.array(home.astype(np.int32))],
+                    names=["shelf", "uid", "vector", "low", "home"],
                 )
 
     kind = dict(entries.dtypes)
     chosen = entries.select("uid", "vector", F.get("ids", F.lit(0)).alias("low"))
-    return chosen.mapInArrow(place, f"list int, uid bigint, vector {kind['vector']}, low bigint")
+    return chosen.mapInArrow(place, f"shelf int, uid bigint, vector {kind['vector']}, low bigint, home int")
 
 
 def _tiles(placed: DataFrame, own: str, other: str, parts: DataFrame) -> DataFrame:
-    """Deals a list's rows over its ``own`` parts and copies them to all of the ``other`` side's parts."""
-    return placed.join(parts, "list").select(
-        "list", F.pmod(F.xxhash64("uid"), F.col(own)).cast("int").alias(own),
+    """Deals a shelf's rows over its ``own`` parts and copies them to all of the ``other`` side's parts."""
+    return placed.join(parts, "shelf").select(
+        "shelf", F.pmod(F.xxhash64("uid"), F.col(own)).cast("int").alias(own),
         F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), "uid", "vector", "low",
     )
 
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    list_rows: int = LIST_ROWS, search_ratio: float = SEARCH_RATIO, search_lists: int = SEARCH_LISTS,
+    list_rows: int = LIST_ROWS, search_ratio: float = SEARCH_RATIO,
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: up to ``k`` nearest others of each row for which ``is_query``.
 
@@ -227,12 +252,18 @@ def nearest(
         asking.join(entries.select("uid", "vector"), F.col("asked") == F.col("vector")).select("query_id", "uid"),
         "queries",
     )
-    stored = cut(_placed(entries, shared, REPLICATE_RATIO, REPLICAS), "lists")
+    per_shelf = -(-len(index.centroids) // SHELVES)
+    replicas = lambda own, x: list_choice(own, x, REPLICATE_RATIO, REPLICAS)
+    stored = cut(_placed(entries, shared, replicas, per_shelf), "lists")
+    homes = np.zeros(len(index.centroids), dtype=np.int64)
+    for row in stored.filter("home >= 0").groupBy("home").count().collect():
+        homes[row["home"]] = row["count"]
     asked = entries.join(queries.select("uid").distinct(), "uid", "left_semi")
-    asked = cut(_placed(asked, shared, search_ratio, search_lists), "asked")
-    count = lambda rows, name: rows.groupBy("list").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias(name))
-    parts = cut(count(stored, "part").join(count(asked, "query_part"), "list"), "parts")
-    keys = ["list", "part", "query_part"]
+    reading = lambda own, x: lists_to_read(own, x, search_ratio, homes, k + 1)
+    asked = cut(_placed(asked, shared, reading, per_shelf), "asked")
+    count = lambda rows, name: rows.groupBy("shelf").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias(name))
+    parts = cut(count(stored, "part").join(count(asked, "query_part"), "shelf"), "parts")
+    keys = ["shelf", "part", "query_part"]
     left = _tiles(stored, "part", "query_part", parts).groupBy(*keys)
     right = _tiles(asked, "query_part", "part", parts).groupBy(*keys)
 

@@ -66,3 +66,19 @@ def test_graph_search_finds_near_centroids():
     exact = np.argsort(-(sample[:200] @ index.centroids.T), axis=1)[:, :10]
     assert (np.diff(distance, axis=1) >= 0).all()
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids.tolist(), exact.tolist())]) > 0.9
+
+
+def test_queries_read_all_lists_within_the_ratio_and_enough_of_them(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(1600)]
+    want = brute(rows, set(range(0, 1600, 20)))
+
+    def answers(**settings):
+        got = tuples(ann.nearest(table(spark, rows), F.col("id") % 20 == 0, list_rows=1, **settings), "query_id", "rank", "id")
+        return {q: [i for _, i in sorted((rank, i) for query, rank, i in got if query == q)] for q in want}
+
+    exact = {q: [i for _, i in found] for q, found in want.items()}
+    assert answers(search_ratio=1e9) == exact
+    # Lists of one vector each: a query's own list alone would give none.
+    monkeypatch.setattr(ann, "SHELVES", 4096, raising=False)
+    assert all(len(found) == 5 for found in answers(search_ratio=1.0).values())
