@@ -25,15 +25,16 @@ def _remainder(column: str, divisor: int):
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``near_others`` for ids divisible by 100: other fingerprints of the table within the radius."""
+    """Also ``near_others`` for ids divisible by 100: other documents of the table whose fingerprints are within the
+    radius, equal ones included."""
     rows = cut(edited.fingerprints_with_edits(table(spark, sf_dir, "documents")), "fingerprints")
     asked = F.coalesce(F.col("id") % 100 == 0, F.lit(False))
     asking, others = rows.filter(asked), rows.filter(~asked)
     all_prints = rows.select(F.col("own").alias("fingerprint"))
-    near = simhash.find_near(asking.select(F.col("own").alias("fingerprint")), all_prints)
-    counts = near.groupBy("query").agg(F.count("*").alias("near_others"))
-    counted = asking.join(counts, F.col("own") == F.col("query"), "left").drop("query")
-    counted = counted.withColumn("near_others", F.coalesce("near_others", F.lit(0)))
+    near = simhash.count_near(asking.select(F.col("own").alias("fingerprint")), all_prints)
+    counted = asking.join(near, F.col("own") == F.col("query"), "left")
+    # The document itself is one of the rows.
+    counted = counted.withColumn("near_others", F.col("rows") - 1).drop("query", "rows")
     # Rows that do not ask have no part in the join.
     whole = counted.unionByName(others.withColumn("near_others", F.lit(None).cast("bigint")))
     return whole.select(

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from rankflow.llm.common import LOWER, UPPER, WORD, picked
+from rankflow.session import cut
 
 BITS = 64
 TERM_WORDS = 2
@@ -118,3 +119,19 @@ def find_near(
     first = F.array_position(F.transform(masks, lambda m: differ.bitwiseAND(m) == 0), True) - 1
     near = met.filter((F.bit_count(differ) <= radius) & (differ != 0)).filter(first == F.col("table"))
     return near.select("query", "fingerprint", F.bit_count(differ).alias("distance"))
+
+
+def count_near(
+    queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS, agreeing: int = AGREEING
+) -> DataFrame:
+    """``(query, rows)``: for each distinct query the rows of ``fingerprints`` within ``radius``, equal ones included.
+
+    Rows are counted per fingerprint before the tables meet, so copies make no pairs.
+    """
+    named = picked(fingerprints, fingerprint="fingerprint").filter("fingerprint IS NOT NULL")
+    counts = cut(named.groupBy("fingerprint").agg(F.count("*").alias("rows")), "prints")
+    near = find_near(queries, counts, radius, agreeing).select("query", "fingerprint")
+    own = picked(queries, query="fingerprint").filter("query IS NOT NULL").distinct()
+    same = own.withColumn("fingerprint", F.col("query"))
+    met = near.unionByName(same).join(counts, "fingerprint", "left")
+    return met.groupBy("query").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))

@@ -1,8 +1,8 @@
 import hashlib
 import random
 
-from cases import ROWS, documents, tuples
-from rankflow.llm import edited, simhash
+from cases import ROWS, documents, prose, tuples
+from rankflow.llm import edited, queries, simhash
 
 
 def test_rows_next_to_their_neighbours(spark):
@@ -54,3 +54,19 @@ def test_block_tables_find_all_within_the_radius(spark):
             for a in prints for b in prints if 0 < bin(a ^ b).count("1") <= radius
         ]
         assert sorted(got) == sorted(set(want)) and len(got) == len(set(got))
+
+
+def test_near_others_counts_documents_that_share_a_print(spark, fresh_dir):
+    texts = [f"{prose(7, 300)} end{i}" for i in range(12)]
+    rows = [(i, texts[i % 12] if i % 2 else texts[i % 12].upper(), "en", "a", None) for i in range(0, 260, 10)]
+    rows += [(i, prose(i, 80), "en", "a", None) for i in (500, 501, 600)] + [(700, "", "en", "a", 0), (701, None, "en", "a", 0)]
+    rows += [(None, texts[0], "en", "a", None), (100, texts[1], "en", "a", None)]
+    documents(spark, rows).write.parquet(f"{fresh_dir}/documents.parquet")
+    got = tuples(queries.op1_simhash(spark, fresh_dir), "doc_id", "near_others")
+    prints = [simhash.fingerprint(text) for _, text, *_ in rows]
+    want = [
+        (row[0], sum(bin(p ^ q).count("1") <= simhash.RADIUS for q in prints) - 1 if row[0] is not None and row[0] % 100 == 0 else None)
+        for row, p in zip(rows, prints)
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert dict(got)[700] == 1 and dict(got)[200] > 2
