@@ -309,7 +309,7 @@ def train_local(
     """Workers step on their own batches and the models are averaged after every epoch.
 
     Batch ``b`` goes to worker ``b mod workers``. A task streams its batches in order and holds
-    one at a time, so an epoch is one job whatever the number of steps.
+    one Arrow block at a time, however large a batch, so an epoch is one job whatever the number of steps.
     """
     data = df.select(F.col(id_col).alias("id"), "features", "label")
     started, step, metrics = time.monotonic(), 0, []
@@ -342,16 +342,15 @@ def _walk(params: Params, rate: float):
 
     def walk(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = start_w.copy(), start_b.copy()
-        held: list[tuple] = []
+        # The model stays the same within a batch, so its gradient is summed block by block.
+        dw, db, rows = np.zeros_like(w), np.zeros_like(b), 0
         current, moved = None, False
 
         def apply() -> None:
-            nonlocal w, b, moved
-            x = np.concatenate([rows for rows, _ in held])
-            labels = np.concatenate([labels for _, labels in held])
-            _, dw, db, rows = _batch_gradient(x, labels, w, b)
+            nonlocal w, b, dw, db, rows, moved
             if rows:
                 w, b, moved = w - rate * dw / rows, b - rate * db / rows, True
+            dw, db, rows = np.zeros_like(w), np.zeros_like(b), 0
 
         for block in blocks:
             if not block.num_rows:
@@ -361,13 +360,12 @@ def _walk(params: Params, rate: float):
             labels = _labels(block.column(2))
             edges = np.flatnonzero(np.diff(batch)) + 1
             for low, high in zip([0, *edges], [*edges, len(batch)]):
-                if held and batch[low] != current:
+                if batch[low] != current:
                     apply()
-                    held.clear()
                 current = batch[low]
-                held.append((x[low:high], labels[low:high]))
-        if held:
-            apply()
+                _, more_w, more_b, more = _batch_gradient(x[low:high], labels[low:high], w, b)
+                dw, db, rows = dw + more_w, db + more_b, rows + more
+        apply()
         if moved:
             values = np.concatenate([w.ravel(), b]).tolist()
             yield pa.RecordBatch.from_arrays([pa.array([values])], names=["params"])

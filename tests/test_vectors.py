@@ -1,9 +1,11 @@
 """Vector expressions, metrics, labels and training."""
 
 import math
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -394,3 +396,20 @@ def test_sweep(spark):
     df, _, _ = rows_of(spark, n=60)
     metrics = R.sweep(df, "id", R.zero_params(5, 3), [10, 30], epochs=1, test=df)
     assert [sum(m[0] == f"batch_{b}" and m[3] == "loss" for m in metrics) for b in (10, 30)] == [6, 2]
+
+
+def test_local_descent_holds_no_whole_batch():
+    rng = np.random.default_rng(0)
+
+    def blocks():
+        for _ in range(60):
+            x = pa.FixedSizeListArray.from_arrays(pa.array(rng.normal(size=1000 * 64)), 64).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([0] * 1000), x, pa.array([1] * 1000)], names=["batch", "x", "label"])
+
+    tracemalloc.start()
+    try:
+        models = list(R._walk(R.zero_params(64, 3), 0.5)(blocks()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(models) == 1 and peak < 12_000_000
