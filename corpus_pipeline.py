@@ -14,12 +14,16 @@ from rankflow.llm import jaccard, langid, mixing, pieces, pii
 from rankflow.session import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# A document whose language is less likely than this is rejected, as is one without a letter.
+# A document whose language is less likely than this among the learned ones is rejected, as is one without a letter.
+# The likelihoods of four languages sum to one, so this hardly ever rejects a text with letters.
 MIN_LANGUAGE_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter, null ones among them, and those in no language that was learned."""
+    """Rejects documents without a letter, null ones among them, and those that fit several learned languages alike.
+
+    A text in a language or script that was not learned goes to the nearest learned one and is kept.
+    """
     docs = docs.select(*COLUMNS)
     predict = langid.predictor(spark, langid.fit(docs))
     lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
