@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,8 +53,71 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/rankflow-{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder, which the innermost open :func:`scratch` scope owns."""
+    folder = f"rankflow-{uuid.uuid4().hex}"
+    if _scopes.get():
+        _scopes.get()[-1].folders.append(folder)
+    return f"{shared_dir(spark).rstrip('/')}/{folder}/{name}"
+
+
+def _folders_of(df: DataFrame) -> set[str]:
+    """The scratch folders that ``df`` reads."""
+    return {folder for file in df.inputFiles() for folder in re.findall(r"rankflow-[0-9a-f]{32}", file)}
+
+
+class Scope:
+    """The scratch tables that one piece of work writes."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders, self._kept = spark, [], set()
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df`` itself; the tables it reads outlive the scope."""
+        self._kept |= _folders_of(df)
+        return df
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes written tables that nothing will read any more, before the scope ends."""
+        gone = set().union(*map(_folders_of, tables)) & set(self.folders)
+        self.folders = [folder for folder in self.folders if folder not in gone]
+        for folder in gone:
+            _delete(self.spark, folder)
+
+    def close(self) -> list[str]:
+        """Deletes all tables but those of results, whose folders are returned."""
+        for folder in self.folders:
+            if folder not in self._kept:
+                _delete(self.spark, folder)
+        return [folder for folder in self.folders if folder in self._kept]
+
+
+_scopes: ContextVar[tuple[Scope, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, on failure too, but for those that a ``result`` reads.
+
+    What a nested scope leaves belongs to the scope around it.
+    """
+    scope = Scope(spark)
+    token = _scopes.set((*_scopes.get(), scope))
+    try:
+        yield scope
+    except BaseException:
+        scope._kept.clear()
+        raise
+    finally:
+        _scopes.reset(token)
+        left = scope.close()
+        if _scopes.get():
+            _scopes.get()[-1].folders.extend(left)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{folder}")
+    target.getFileSystem(context.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
@@ -88,12 +153,10 @@ def cut_at(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> Data
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table that :func:`scratch_path` placed, once nothing reads it any more."""
-    folder = path.rstrip("/").rsplit("/", 1)[0]
-    if not folder.rsplit("/", 1)[-1].startswith("rankflow-"):
+    folder = path.rstrip("/").rsplit("/", 2)[-2]
+    if not folder.startswith("rankflow-"):
         raise ValueError(f"{path} is no scratch table")
-    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(context.hadoopConfiguration()).delete(target, True)
+    _delete(spark, folder)
 
 
 def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
