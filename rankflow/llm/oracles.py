@@ -36,4 +36,16 @@ WITH p AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM hits
 """
 
-SQL = {"op6_warc": OP6, "op9_urls": OP9}
+OP13 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id != c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+SQL = {"op6_warc": OP6, "op9_urls": OP9, "op13_exact_products": OP13}
