@@ -36,6 +36,33 @@ WITH p AS (
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM hits
 """
 
+OP11 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), g AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_words FROM d WHERE len(terms) > 0),
+p AS (
+    SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+    FROM (SELECT r, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d) GROUP BY ALL
+), f AS (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term),
+q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), w AS (
+    SELECT item_id, term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM q JOIN f USING (term), g
+), s AS (
+    SELECT item_id, r, doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_words))))::BIGINT AS score
+    FROM w JOIN p USING (term), g GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
+"""
+
 OP13 = """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
@@ -48,4 +75,4 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 20
 """
 
-SQL = {"op6_warc": OP6, "op9_urls": OP9, "op13_exact_products": OP13}
+SQL = {"op6_warc": OP6, "op9_urls": OP9, "op11_lexical_search": OP11, "op13_exact_products": OP13}
