@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankflow.llm import ann, edited, jaccard, kdtree, langid, lexical, mixing, pieces, pii, quality, simhash, urls, warc
+from rankflow.llm import (
+    ann, edited, jaccard, kdtree, langid, lexical, mixing, pieces, pii, quality, repair, simhash, urls, warc,
+)
 from rankflow.llm.common import table
 from rankflow.session import cut
 
@@ -126,6 +128,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_exact_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = kdtree.largest_products(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
     return found.withColumnRenamed("id", "vec_id")
@@ -143,5 +149,6 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op10_nearest": op10_nearest,
     "op11_lexical_search": op11_lexical_search,
+    "op12_repair": op12_repair,
     "op13_exact_products": op13_exact_products,
 }
