@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions.hashing import MODULUS, shuffle_key
+from rankflow.operators.feed import feed
 from rankflow.operators.lookups import lookup_join
-from rankflow.operators.ordering import global_index, nth_key, ordered_rows
+from rankflow.operators.ordering import global_index, nth_key
 
 # The dataset conversion's hold-out size, seed, shard count and file name.
 VALIDATION_ROWS = 350
@@ -44,14 +45,13 @@ def assign_batches(df: DataFrame, id_col: str, batch_size: int, epoch: int = 0)
 
     An epoch has ``floor(n / batch_size)`` batches; the rows left over are dropped.
     """
-    rows = ordered_rows(df, [shuffle_key(F.col(id_col), epoch), F.col(id_col)])
-    indexed = rows.table.withColumn("position", rows.position()).drop("_part", "_row")
-    used = rows.total // batch_size * batch_size
-    return _with_batch(indexed, batch_size).filter(F.col("position") < used)
+    rows = feed(df, id_col)
+    return _with_batch(rows.placed([epoch]), batch_size, rows.total)
 
 
-def _with_batch(df: DataFrame, batch_size: int) -> DataFrame:
-    return df.withColumn("batch", F.floor(F.col("position") / batch_size))
+def _with_batch(placed: DataFrame, batch_size: int, total: int) -> DataFrame:
+    batched = placed.withColumnRenamed("place", "position").withColumn("batch", F.floor(F.col("position") / batch_size))
+    return batched.filter(F.col("batch") < total // batch_size)
 
 
 def epochs_needed(batch_num: int, batch_size: int, n_rows: int) -> int:
@@ -62,16 +62,13 @@ def epochs_needed(batch_num: int, batch_size: int, n_rows: int) -> int:
 def epoch_batches(df: DataFrame, id_col: str, batch_size: int, n_epochs: int) -> DataFrame:
     """``epoch``, ``position`` and ``batch`` for several epochs, each in an order of its own.
 
-    Every epoch has the same number of rows, so one global order serves all of them.
+    Rows are sorted and written once, whatever the number of epochs; an epoch's order is arithmetic on
+    their numbers, so repeating them shuffles nothing.
     """
-    n_rows = df.count()
-    repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))
-    order = ["epoch", shuffle_key(F.col(id_col), F.col("epoch")), id_col]
-    indexed = global_index(repeated, order, "_place")
-    placed = indexed.withColumn("position", F.col("_place") - F.col("epoch") * F.lit(n_rows))
-    return _with_batch(placed.drop("_place"), batch_size).filter(
-        F.col("batch") < n_rows // batch_size
-    )
+    rows = feed(df, id_col)
+    numbered = rows.rows.table.withColumn("_number", rows.rows.position())
+    repeated = numbered.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))
+    return _with_batch(rows.with_places(repeated, list(range(n_epochs)), "epoch"), batch_size, rows.total)
 
 
 def shard_batches(df: DataFrame, n_workers: int, n_batches: int, truncate: bool = False) -> DataFrame:

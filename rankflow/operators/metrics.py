@@ -6,13 +6,28 @@ precision and gradients are over labelled rows, so that all of them are means ov
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.functions.vectors import argmax, cross_entropy, has_label, in_top_k, score_cross_entropy
 from rankflow.operators.ordering import running_totals
 
-METRICS_SCHEMA = "run string, step bigint, epoch int, name string, value double, elapsed_s double"
+# A metric of a step, or the rows in one bucket of a step's histogram.
+METRICS_SCHEMA = "run string, step bigint, epoch int, name string, value double, elapsed_s double, bucket int"
+
+# Predicted probabilities fall into exponential buckets: each is ``PREDICTION_GROWTH`` times as wide as the one before, the first
+# one also holds what is smaller, so histograms of any parts add up bucket by bucket.
+PREDICTION = "prediction"
+PREDICTION_LEAST, PREDICTION_GROWTH = 1e-12, 1.1
+PREDICTION_BUCKETS = 1 + int(math.log(1 / PREDICTION_LEAST) / math.log(PREDICTION_GROWTH))
+
+
+def prediction_buckets(p: np.ndarray) -> np.ndarray:
+    steps = np.log(np.maximum(p, PREDICTION_LEAST) / PREDICTION_LEAST) / math.log(PREDICTION_GROWTH)
+    return np.clip(np.floor(steps), 0, PREDICTION_BUCKETS - 1).astype(np.int64)
 
 
 def labelled(df: DataFrame, values: str, label: str) -> DataFrame:
@@ -99,5 +114,6 @@ def epoch_report(df: DataFrame) -> DataFrame:
 
 
 def append_metrics(spark: SparkSession, rows: list[tuple], path: str) -> None:
-    """Append one epoch's metrics to the metrics table."""
-    spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """Append one epoch's metrics to the metrics table; rows without a bucket may leave it out."""
+    whole = [(*row, None)[:7] for row in rows]
+    spark.createDataFrame(whole, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(path)

@@ -7,6 +7,7 @@ per partition, then turns these local places into global ones.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -56,17 +57,31 @@ class OrderedRows:
 
     def slice(self, low: int, high: int) -> DataFrame:
         """The rows at positions ``low`` up to ``high``; other partitions are not read."""
-        ends = [*self.starts[1:], self.total]
-        touched = [p for p, (a, b) in enumerate(zip(self.starts, ends)) if a < high and b > low]
-        ranges = []
-        for part in touched:
-            low_row, high_row = max(low - self.starts[part], 0), high - self.starts[part]
-            ranges.append(f"(_part = {part} AND _row >= {low_row} AND _row < {high_row})")
+        return self.slices([(low, high)])
+
+    def slices(self, ranges: list[tuple[int, int]]) -> DataFrame:
+        """The rows at positions ``low`` up to ``high`` of several ranges that do not overlap."""
         # One text instead of many column objects: a training loop builds this every step.
-        if not touched:
+        by_part: dict[int, list[tuple[int, int]]] = {}
+        ends = [*self.starts[1:], self.total]
+        for low, high in ranges:
+            part = max(bisect_right(self.starts, low) - 1, 0)
+            while part < len(self.starts) and self.starts[part] < high:
+                first, last = max(low, self.starts[part]), min(high, ends[part])
+                if first < last:
+                    by_part.setdefault(part, []).append((first - self.starts[part], last - self.starts[part]))
+                part += 1
+        if not by_part:
             return self.table.filter("false")
-        parts = ", ".join(map(str, touched))
-        return self.table.filter(f"_part IN ({parts}) AND ({' OR '.join(ranges)})")
+        parts = ", ".join(map(str, by_part))
+        clauses = [f"(_part = {part} AND ({_row_filter(rows)}))" for part, rows in by_part.items()]
+        return self.table.filter(f"_part IN ({parts}) AND ({' OR '.join(clauses)})")
+
+
+def _row_filter(rows: list[tuple[int, int]]) -> str:
+    single = ", ".join(str(low) for low, high in rows if high - low == 1)
+    wider = [f"_row >= {low} AND _row < {high}" for low, high in rows if high - low > 1]
+    return " OR ".join([*([f"_row IN ({single})"] if single else []), *wider])
 
 
 def ordered_rows(df: DataFrame, order_by: list[str | Column]) -> OrderedRows:

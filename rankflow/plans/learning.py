@@ -18,6 +18,12 @@ from rankflow.sources.labels import load_or_build, read_label_map, write_label_m
 DECAY = 0.0005
 LEARNING_RATE = 0.5
 QUERY_STEPS = 4
+LOCAL_WORKERS, LOCAL_STEPS = 4, 3
+DELAY = 2
+SWEEP_FACTORS = (1, 2)
+INIT_STDDEV, INIT_SEED = 0.01, 3
+# Start, factor and stairs of the two learning rates' schedules.
+WEIGHTS_SCHEDULE, BIASES_SCHEDULE = (0.001, 250, 4), (0.002, 10, 2)
 PRECISION_K = 3
 PRECISION_BATCH = 50
 HISTOGRAM_BUCKETS = 30
@@ -245,8 +251,8 @@ def train_momentum(spark, sf_dir):
         return lambda step: V.staircase_rate(step, start, factor, stairs, QUERY_STEPS)
 
     groups = {
-        "weights": {"learning_rate": rate(0.5, 250, 4), "momentum": 0.9},
-        "biases": {"learning_rate": rate(1.0, 10, 2), "momentum": 0.9},
+        "weights": {"learning_rate": rate(LEARNING_RATE, *WEIGHTS_SCHEDULE[1:]), "momentum": 0.9},
+        "biases": {"learning_rate": rate(2 * LEARNING_RATE, *BIASES_SCHEDULE[1:]), "momentum": 0.9},
     }
     return _trained(spark, sf_dir, 1, R.Momentum(groups), weight_decay=DECAY)
 
@@ -255,11 +261,44 @@ def train_local_sgd(spark, sf_dir):
     data = T.vectors(spark, sf_dir)
     run = R.train_local(
         data, "vec_id", R.zero_params(T.WIDTH, T.CLASSES),
-        batch_size=data.count() // (2 * QUERY_STEPS), epochs=1, learning_rate=LEARNING_RATE, workers=2,
+        batch_size=data.count() // (LOCAL_STEPS * LOCAL_WORKERS), epochs=1, learning_rate=LEARNING_RATE,
+        workers=LOCAL_WORKERS,
     )
     return _model(spark, run.params)
 
 
+def train_delayed(spark, sf_dir):
+    """Stale updates: every gradient is two models old when it is applied."""
+    data = T.vectors(spark, sf_dir)
+    run = R.train(
+        data, "vec_id", R.zero_params(T.WIDTH, T.CLASSES), batch_size=data.count() // (2 * QUERY_STEPS), epochs=1,
+        optimizer=R.GradientDescent(LEARNING_RATE), delay=DELAY,
+    )
+    return _model(spark, run.params)
+
+
+def train_sweep(spark, sf_dir):
+    """The models of two batch sizes, trained in one pass."""
+    data = T.vectors(spark, sf_dir)
+    size = data.count() // QUERY_STEPS
+    runs = R.sweep(
+        data, "vec_id", R.zero_params(T.WIDTH, T.CLASSES), [factor * size for factor in SWEEP_FACTORS], epochs=1,
+        optimizer=R.GradientDescent(LEARNING_RATE), stripe=R.stripe_rows(size),
+    )
+    models = [
+        _model(spark, run.params).withColumn("run", F.lit(f"batch_{factor * size}"))
+        for factor, run in zip(SWEEP_FACTORS, runs)
+    ]
+    return models[0].unionByName(models[1])
+
+
+def random_init(spark, sf_dir):
+    """A weight for every dimension of the vectors and every label that occurs."""
+    cells = T.vectors(spark, sf_dir).select(F.posexplode("features").alias("row", "cell"), F.col("label").alias("col"))
+    cells = cells.select("row", "col").distinct()
+    return R.with_initial_weights(cells, "row", "col", T.CLASSES, INIT_STDDEV, INIT_SEED).select("row", "col", _round("value"))
+
+
 # --- unlabelled rows, saved models and files ---
 
 
@@ -304,14 +343,13 @@ def checkpoint_precision(spark, sf_dir):
 
 
 def metrics_table(spark, sf_dir):
-    """The step numbers and names that a run appends to its metrics table."""
+    """What a run appends for each step: loss, accuracy and the histogram of its predicted probabilities."""
     data, path = T.vectors(spark, sf_dir), scratch_path(spark, "metrics")
-    run = R.train(
+    R.train(
         data, "vec_id", R.zero_params(T.WIDTH, T.CLASSES), batch_size=data.count() // QUERY_STEPS, epochs=1,
-        optimizer=R.GradientDescent(LEARNING_RATE),
+        optimizer=R.GradientDescent(LEARNING_RATE), metrics_path=path,
     )
-    M.append_metrics(spark, run.metrics, path)
-    return spark.read.parquet(path).filter("name = 'loss'").select("step", "epoch", _round("value"))
+    return spark.read.parquet(path).select("step", "epoch", "name", "bucket", _round("value"))
 
 
 def label_map_fallback(spark, sf_dir):
@@ -340,8 +378,8 @@ def lr_schedule(spark, sf_dir):
     steps = events.count()
     rates = events.select(
         "step",
-        V.staircase_decay(F.col("step"), 0.001, 250, 4, steps).alias("weights_rate"),
-        V.staircase_decay(F.col("step"), 0.002, 10, 2, steps).alias("biases_rate"),
+        V.staircase_decay(F.col("step"), *WEIGHTS_SCHEDULE, steps).alias("weights_rate"),
+        V.staircase_decay(F.col("step"), *BIASES_SCHEDULE, steps).alias("biases_rate"),
     )
     return rates.select("step", _round("weights_rate", 9), _round("biases_rate", 9))
 
@@ -375,7 +413,7 @@ QUERIES = {
         predict, softmax_loss, softmax_loss_l2, accuracy, precision_at_k, running_precision,
         gradient_step, train_minibatch, train_sync, train_sync_full_pass, train_momentum,
         unlabelled_metrics, unlabelled_gradient, class_ids_null, checkpoint_precision, metrics_table,
-        label_map_fallback, class_folders,
+        label_map_fallback, class_folders, random_init, train_sweep, train_delayed,
         train_local_sgd, lr_schedule, throughput, epoch_report, latest_checkpoint,
     )
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from rankflow.functions.hashing import INCREMENT, MODULUS, MULTIPLIER
+from rankflow.functions.hashing import INCREMENT, MIXERS, MODULUS, MULTIPLIER
+from rankflow.functions.permutation import HALF_ROUNDS, SHIFT, round_key
+from rankflow.operators.metrics import PREDICTION_BUCKETS, PREDICTION_GROWTH, PREDICTION_LEAST
 from rankflow.operators.pagerank import DAMPING, ITERATIONS
 from rankflow.plans import graph as G
 from rankflow.plans import learning as N
@@ -11,7 +13,42 @@ from rankflow.plans.tables import CLASSES, RAW_LINK_SQL, SIDE, WIDTH
 
 def _key(column: str, seed: str = "0") -> str:
     factor = f"(({MULTIPLIER} * (2 * ({seed})::BIGINT + 1)) % {MODULUS})"
-    return f"((({column}::BIGINT % {MODULUS}) * {factor} + {INCREMENT}) % {MODULUS})"
+    key = f"((({column}::BIGINT % {MODULUS}) * {factor} + {INCREMENT}) % {MODULUS})"
+    for mixer in MIXERS:
+        key = f"((xor({key}, {key} >> 16) * {mixer}) % {MODULUS})"
+    return f"xor({key}, {key} >> 15)"
+
+
+def _feed(table: str, key: str, batch: str, seeds: list[int], columns: str = "") -> list[str]:
+    """CTEs up to ``o<seed>(key, columns, pos)``: the place of each row in an epoch's order, stripe by stripe.
+
+    ``batch`` is an expression over ``n``, the number of rows; stripes cut it into at least 64 equal parts.
+    """
+    parts = [
+        f"fn AS MATERIALIZED (SELECT n, {batch} AS batch FROM (SELECT count(*) AS n FROM {table}))",
+        """fs AS MATERIALIZED (SELECT n, coalesce((SELECT max(d) FROM (SELECT unnest(range(1, batch // 64 + 1)) AS d, batch FROM fn)
+          WHERE batch % d = 0), 1) AS s FROM fn)""",
+        """fg AS MATERIALIZED (SELECT m, s, a, (m + a - 1) // a AS b FROM (SELECT m, s, unnest(range(
+            greatest(1, least(2, m), floor(sqrt(m))::BIGINT // 2), 2 * floor(sqrt(m))::BIGINT + 2)) AS a
+            FROM (SELECT n // s AS m, s FROM fs))
+          ORDER BY a * ((m + a - 1) // a) - m, a LIMIT 1)""",
+        f"""base AS MATERIALIZED (SELECT {key}{columns}, row_number() OVER (ORDER BY {_key(key)}, {key}) - 1 AS p FROM {table})""",
+    ]
+    for seed in seeds:
+        cells = "SELECT m, s, a, b, v, v // b AS l, v % b AS r FROM (SELECT *, unnest(range(0, a * b)) AS v FROM fg)"
+        for i in range(HALF_ROUNDS):
+            fixed, left, right = ("r", f"(l + ((y * y) >> {SHIFT})) % a", "r") if i % 2 == 0 else (
+                "l", "l", f"(r + ((y * y) >> {SHIFT})) % b")
+            cells = f"""SELECT m, s, a, b, v, {left} AS l, {right} AS r FROM (
+              SELECT *, ({fixed} * {MULTIPLIER} + {round_key(seed, i)}) % {MODULUS} AS y FROM ({cells}))"""
+        parts += [
+            f"e{seed} AS MATERIALIZED (SELECT m, s, v, l * b + r AS e FROM ({cells}))",
+            f"""k{seed} AS (SELECT m, s, v, e FROM e{seed} WHERE v < m
+              UNION ALL SELECT k.m, k.s, k.v, x.e FROM k{seed} k JOIN e{seed} x ON x.v = k.e WHERE k.e >= k.m)""",
+            f"""o{seed} AS MATERIALIZED (SELECT {key}{columns}, e * s + p % s AS pos
+              FROM base JOIN (SELECT * FROM k{seed} WHERE e < m) ON v = p // (SELECT s FROM fs))""",
+        ]
+    return parts
 
 
 # --- graph -----------------------------------------------------------------------------------
@@ -135,18 +172,17 @@ RECORDS = """(SELECT doc_id, source AS content, nullif(lang, 'en') AS format,
 
 
 def _splits() -> dict[str, str]:
-    place = f"row_number() OVER (PARTITION BY epoch ORDER BY {_key('vec_id', 'epoch')}, vec_id) - 1"
+    epochs = " UNION ALL ".join(f"SELECT vec_id, {epoch} AS epoch, pos AS position FROM o{epoch}" for epoch in range(3))
     return {
         "train_valid_split": _split("labels", "doc_id"),
         "epoch_batches": f"""
-            SELECT vec_id, epoch, position, position // 64 AS batch FROM (
-              SELECT vec_id, epoch, {place} AS position FROM embeddings, range(3) AS t(epoch))
+            WITH RECURSIVE {', '.join(_feed('embeddings', 'vec_id', '1', [0, 1, 2]))}
+            SELECT vec_id, epoch, position, position // 64 AS batch FROM ({epochs})
             WHERE position // 64 < (SELECT count(*) // 64 FROM embeddings)""",
         "batch_shard": f"""
-            SELECT doc_id, position, position // 64 AS batch, (position // 64) % 4 AS worker,
-              (position % 64) // 16 AS replica FROM (
-              SELECT doc_id, row_number() OVER (ORDER BY {_key('doc_id')}, doc_id) - 1 AS position FROM documents)
-            WHERE position // 64 < (SELECT count(*) // 64 // 4 * 4 FROM documents)""",
+            WITH RECURSIVE {', '.join(_feed('documents', 'doc_id', '1', [0]))}
+            SELECT doc_id, pos AS position, pos // 64 AS batch, (pos // 64) % 4 AS worker, (pos % 64) // 16 AS replica FROM o0
+            WHERE pos // 64 < (SELECT count(*) // 64 // 4 * 4 FROM documents)""",
         "shard_assign": f"""
             SELECT *, printf('flowers_%s_%05d-of-%05d', split, shard, 5) AS shard_file
             FROM ({_sharded('documents', 'doc_id')})""",
@@ -301,39 +337,64 @@ def _gradient(tag: str, params: str, rows: str) -> list[str]:
     ]
 
 
-def _positions(order: int = 0) -> str:
-    return f"""SELECT vec_id, label, row_number() OVER (ORDER BY {_key('vec_id', str(order))}, vec_id) - 1 AS pos
-      FROM embeddings"""
+def _vectors_feed(parts: int, seeds: tuple[int, ...] = (0,)) -> list[str]:
+    """Orders of the vectors for batches of ``n // parts`` rows."""
+    return _feed("embeddings", "vec_id", f"n // {parts}", list(seeds), ", label")
 
 
-def _descent(step_rows: list[str]) -> str:
-    """Plain descent with one query of rows per step."""
-    parts = [INPUTS, f"o0 AS MATERIALIZED ({_positions()})", f"w0 AS MATERIALIZED ({START})"]
+def _steps(step_rows: list[str], delay: int = 0, prefix: str = "") -> list[str]:
+    """CTEs of plain descent with one query of rows per step; a gradient is taken ``delay`` models ago."""
+    parts = [f"{prefix}w0 AS MATERIALIZED ({START})"]
     for step, rows in enumerate(step_rows):
-        parts += _gradient(str(step), f"w{step}", rows)
+        parts += _gradient(f"{prefix}{step}", f"{prefix}w{max(0, step - delay)}", rows)
         parts.append(
-            f"""w{step + 1} AS MATERIALIZED (SELECT w.j, w.k, w.w - {N.LEARNING_RATE} * g.g AS w
-              FROM w{step} w JOIN g_{step} g ON g.j = w.j AND g.k = w.k)"""
+            f"""{prefix}w{step + 1} AS MATERIALIZED (SELECT w.j, w.k, w.w - {N.LEARNING_RATE} * g.g AS w
+              FROM {prefix}w{step} w JOIN g_{prefix}{step} g ON g.j = w.j AND g.k = w.k)"""
         )
-    return f"WITH {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{len(step_rows)}"
-
-
-def _losses(step_rows: list[str]) -> str:
-    """The mean loss of each step of plain descent."""
-    parts = [INPUTS, f"o0 AS MATERIALIZED ({_positions()})", f"w0 AS MATERIALIZED ({START})"]
-    rows = []
-    for step, chosen in enumerate(step_rows):
-        parts += _gradient(str(step), f"w{step}", chosen)
-        parts.append(
-            f"""w{step + 1} AS MATERIALIZED (SELECT w.j, w.k, w.w - {N.LEARNING_RATE} * g.g AS w
-              FROM w{step} w JOIN g_{step} g ON g.j = w.j AND g.k = w.k)"""
-        )
-        rows.append(
-            f"""SELECT {step}::BIGINT AS step, 0 AS epoch, round(avg(ln(t.total) - z.z), 6) + 0.0 AS value
-              FROM rows_{step} r JOIN z_{step} z ON z.vec_id = r.vec_id AND z.k = r.label
-              JOIN t_{step} t ON t.vec_id = r.vec_id"""
-        )
-    return f"WITH {', '.join(parts)} {' UNION ALL '.join(rows)}"
+    return parts
+
+
+def _descent(batches: int, step_rows: list[str], delay: int = 0) -> str:
+    parts = [INPUTS, *_vectors_feed(batches), *_steps(step_rows, delay)]
+    return f"WITH RECURSIVE {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{len(step_rows)}"
+
+
+def _step_metrics(batches: int, step_rows: list[str]) -> str:
+    """The mean loss, accuracy and histogram of probabilities in each step of plain descent."""
+    parts, rows = [INPUTS, *_vectors_feed(batches), *_steps(step_rows)], []
+    bucket = f"floor(ln(greatest(exp(z.z) / t.total, {PREDICTION_LEAST}) / {PREDICTION_LEAST}) / ln({PREDICTION_GROWTH}))"
+    for step in range(len(step_rows)):
+        own = f"""rows_{step} r JOIN z_{step} z ON z.vec_id = r.vec_id JOIN t_{step} t ON t.vec_id = r.vec_id"""
+        rows += [
+            f"""SELECT {step}::BIGINT AS step, 0 AS epoch, 'loss' AS name, NULL::INT AS bucket,
+              round(avg(ln(t.total) - z.z), 6) + 0.0 AS value FROM {own} WHERE z.k = r.label""",
+            f"""SELECT {step}, 0, 'accuracy', NULL, round(avg((best = label)::INT), 6) + 0.0
+              FROM (SELECT r.vec_id, r.label, min(z.k) FILTER (WHERE z.z = top.z) AS best FROM {own}
+                JOIN (SELECT vec_id, max(z) AS z FROM z_{step} GROUP BY vec_id) top ON top.vec_id = r.vec_id
+                GROUP BY r.vec_id, r.label)""",
+            f"""SELECT {step}, 0, 'prediction', bucket, count(*)::DOUBLE
+              FROM (SELECT least({bucket}, {PREDICTION_BUCKETS - 1})::INT AS bucket FROM {own}) GROUP BY bucket""",
+        ]
+    return f"WITH RECURSIVE {', '.join(parts)} {' UNION ALL '.join(rows)}"
+
+
+def _sweep() -> str:
+    """Two runs of plain descent, with batches of one and of two parts of the rows."""
+    steps, parts, ends = N.QUERY_STEPS, [INPUTS, *_vectors_feed(N.QUERY_STEPS)], []
+    for run, factor in enumerate(N.SWEEP_FACTORS):
+        size = f"({factor} * {_size(steps)})"
+        rows = [f"SELECT vec_id, label FROM o0 WHERE pos // {size} = {step}" for step in range(steps // factor)]
+        parts += _steps(rows, prefix=f"r{run}_")
+        ends.append(f"""SELECT 'batch_' || {size} AS run, {NAMED}, round(w, 6) + 0.0 AS value FROM r{run}_w{len(rows)}""")
+    return f"WITH RECURSIVE {', '.join(parts)} {' UNION ALL '.join(ends)}"
+
+
+RANDOM_INIT = f"""
+WITH c AS (SELECT DISTINCT j AS row, label AS col FROM {VALUES}),
+h AS (SELECT row, col, (row * {CLASSES} + col)::BIGINT AS cell FROM c),
+u AS (SELECT row, col, ({_key('cell', str(2 * N.INIT_SEED))} + 1) / {MODULUS}.0 AS a,
+  ({_key('cell', str(2 * N.INIT_SEED + 1))} + 1) / {MODULUS}.0 AS b FROM h)
+SELECT row, col, round({N.INIT_STDDEV} * sqrt(-2 * ln(a)) * cos(2 * pi() * b), 6) + 0.0 AS value FROM u"""
 
 
 def _size(parts: int) -> str:
@@ -346,7 +407,7 @@ def _range_rows(step: int, size: str, order: int = 0) -> str:
 
 def _momentum() -> str:
     steps = N.QUERY_STEPS
-    parts = [INPUTS, f"o0 AS MATERIALIZED ({_positions()})"]
+    parts = [INPUTS, *_vectors_feed(steps)]
     parts.append(f"w0 AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS v FROM ({START}))")
     for step in range(steps):
         parts += _gradient(str(step), f"w{step}", _range_rows(step, _size(steps)))
@@ -361,12 +422,12 @@ def _momentum() -> str:
             f"""w{step + 1} AS MATERIALIZED (SELECT j, k,
                 w - CASE WHEN j < {WIDTH} THEN {weights} ELSE {biases} END * v AS w, v FROM v{step})"""
         )
-    return f"WITH {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{steps}"
+    return f"WITH RECURSIVE {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{steps}"
 
 
 def _local() -> str:
-    steps, workers = N.QUERY_STEPS, 2
-    parts = [INPUTS, f"o0 AS MATERIALIZED ({_positions()})"]
+    steps, workers = N.LOCAL_STEPS, N.LOCAL_WORKERS
+    parts = [INPUTS, *_vectors_feed(steps * workers)]
     for worker in range(workers):
         parts.append(f"w_{worker}_0 AS MATERIALIZED ({START})")
         for step in range(steps):
@@ -378,7 +439,7 @@ def _local() -> str:
                   FROM w_{tag} w JOIN g_{tag} g ON g.j = w.j AND g.k = w.k)"""
             )
     ends = " UNION ALL ".join(f"SELECT * FROM w_{worker}_{steps}" for worker in range(workers))
-    return f"""WITH {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value
+    return f"""WITH RECURSIVE {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value
       FROM (SELECT j, k, avg(w) AS w FROM ({ends}) GROUP BY j, k)"""
 
 
@@ -391,14 +452,18 @@ def _training() -> dict[str, str]:
     known_step = ", ".join([INPUTS, fixed, *_gradient("0", "f", known)])
     return {
         "unlabelled_gradient": f"WITH {known_step} SELECT {NAMED}, round(g, 6) + 0.0 AS value FROM g_0",
-        "metrics_table": _losses([_range_rows(s, _size(steps)) for s in range(steps)]),
+        "metrics_table": _step_metrics(steps, [_range_rows(s, _size(steps)) for s in range(steps)]),
+        "random_init": RANDOM_INIT,
+        "train_sweep": _sweep(),
+        "train_delayed": _descent(2 * steps, [_range_rows(s, _size(2 * steps)) for s in range(2 * steps)], N.DELAY),
         "gradient_step": f"WITH {step} SELECT {NAMED}, round(g, 6) + 0.0 AS value FROM g_0",
-        "train_minibatch": _descent([_range_rows(s, _size(steps)) for s in range(steps)]),
+        "train_minibatch": _descent(steps, [_range_rows(s, _size(steps)) for s in range(steps)]),
         "train_sync": _descent(
+            2 * steps,
             [
                 f"SELECT vec_id, label FROM o0 WHERE pos // {_size(2 * steps)} // 2 = {s}"
                 for s in range(steps)
-            ]
+            ],
         ),
         "train_sync_full_pass": _full_pass(),
         "train_momentum": _momentum(),
@@ -409,7 +474,7 @@ def _training() -> dict[str, str]:
 def _full_pass() -> str:
     """Each step averages the gradients of two workers, each on a batch of its own order."""
     steps, workers = N.QUERY_STEPS, 2
-    parts = [INPUTS] + [f"o{i} AS MATERIALIZED ({_positions(i)})" for i in range(workers)]
+    parts = [INPUTS, *_vectors_feed(steps, tuple(range(workers)))]
     parts.append(f"w0 AS MATERIALIZED ({START})")
     for step in range(steps):
         for worker in range(workers):
@@ -420,7 +485,7 @@ def _full_pass() -> str:
               FROM w{step} w JOIN g_{step}_0 a ON a.j = w.j AND a.k = w.k
               JOIN g_{step}_1 b ON b.j = w.j AND b.k = w.k)"""
         )
-    return f"WITH {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{steps}"
+    return f"WITH RECURSIVE {', '.join(parts)} SELECT {NAMED}, round(w, 6) + 0.0 AS value FROM w{steps}"
 
 
 # --- schedules and reports -------------------------------------------------------------------

@@ -3,10 +3,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankflow.functions.hashing import INCREMENT, MODULUS, MULTIPLIER, shuffle_key
+from rankflow.functions.hashing import INCREMENT, MIXERS, MODULUS, MULTIPLIER, shuffle_key
+from rankflow.functions.permutation import Permutation
 from rankflow.operators import batching as B
 from rankflow.operators.lookups import lookup_join
 from rankflow.operators.ordering import (
@@ -20,7 +22,10 @@ from rankflow.operators.ordering import (
 
 
 def key_of(value, seed=0):
-    return (value % MODULUS * (MULTIPLIER * (2 * seed + 1) % MODULUS) + INCREMENT) % MODULUS
+    key = (value % MODULUS * (MULTIPLIER * (2 * seed + 1) % MODULUS) + INCREMENT) % MODULUS
+    for mixer in MIXERS:
+        key = ((key ^ (key >> 16)) * mixer) % MODULUS
+    return key ^ (key >> 15)
 
 
 def skewed(spark, n=3000):
@@ -133,13 +138,38 @@ def test_epochs_have_their_own_order(spark):
     df = spark.range(11).withColumnRenamed("id", "i")
     rows = B.epoch_batches(df, "i", 4, 3).collect()
     for epoch in range(3):
-        order = sorted(range(11), key=lambda i: (key_of(i, epoch), i))
+        base = sorted(range(11), key=lambda i: (key_of(i), i))
+        order = [base[i] for i in Permutation.of(11).numbers(np.arange(11), epoch)]
         got = {r["position"]: r["i"] for r in rows if r["epoch"] == epoch}
         assert got == dict(enumerate(order[:8]))
         assert all(r["batch"] == r["position"] // 4 for r in rows)
     assert B.epochs_needed(7, 100, 350) == 2 and B.epochs_needed(8, 100, 400) == 2
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 500, 997, 4099])
+def test_permutations_by_arithmetic(spark, n):
+    order = Permutation.of(n)
+    df = spark.range(n).repartition(3).withColumn("epoch", F.explode(F.array(F.lit(2), F.lit(9))))
+    rows = order.with_places(df, "id", "place", [2, 9], "epoch").collect()
+    for seed in (2, 9):
+        places = [r["place"] for r in sorted((r for r in rows if r["epoch"] == seed), key=lambda r: r["id"])]
+        assert places == order.places(np.arange(n), seed).tolist() and sorted(places) == list(range(n))
+        assert order.numbers(np.array(places), seed).tolist() == list(range(n))
+    single = order.with_places(spark.range(n), "id", "place", [9]).collect()
+    assert [r["place"] for r in sorted(single)] == order.places(np.arange(n), 9).tolist()
+
+
+def test_shuffled_ids_have_no_stride(spark):
+    keys = [key_of(i, 3) for i in range(2000)]
+    got = [r[0] for r in spark.range(2000).select(shuffle_key(F.col("id"), 3)).collect()]
+    assert got == keys and len(set(keys)) == 2000
+    # A batch of consecutive places holds each remainder of the id about equally often.
+    batch = sorted(range(2000), key=keys.__getitem__)[:200]
+    steps = np.diff(sorted(batch))
+    assert len(np.unique(steps)) > 15
+    assert max(np.bincount(np.array(batch) % 8)) < 45
+
+
 def test_replicas_take_equal_parts(spark):
     df = B.assign_batches(spark.range(24).withColumnRenamed("id", "i"), "i", 12)
     counts = B.split_over_replicas(df, 12, 3).groupBy("batch", "replica").count().collect()

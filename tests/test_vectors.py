@@ -11,6 +11,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rankflow.functions import vectors as V
+from rankflow.functions.permutation import Permutation
+from rankflow.operators import feed as FD
 from rankflow.operators import labels as L
 from rankflow.operators import metrics as M
 from rankflow.operators import training as R
@@ -40,10 +42,12 @@ def plain_gradient(x, labels, w, b):
     return x.T @ d / len(x), d.mean(axis=0), loss
 
 
-def shuffled(n, seed):
+def shuffled(n, seed, stripe=1):
     from test_ordering import key_of
 
-    return sorted(range(n), key=lambda i: (key_of(i, seed), i))
+    base = sorted(range(n), key=lambda i: (key_of(i), i))
+    stripes = Permutation.of(n // stripe).numbers(np.arange(n // stripe), seed)
+    return [i for stripe_number in stripes for i in base[stripe_number * stripe : (stripe_number + 1) * stripe]]
 
 
 def plain_run(x, labels, batches, rate, classes=3):
@@ -204,7 +208,7 @@ def test_rows_without_a_class_keep_their_row(spark):
 def test_unlabelled_rows_are_left_out_alike(spark):
     rows = [([1.0, 0.0], 0), ([0.0, 2.0], 1), ([5.0, 5.0], -1), ([3.0, 1.0], 2), ([4.0, 4.0], None)]
     df = spark.createDataFrame(rows, "features array<float>, label int")
-    params = R.random_params(2, 2, stddev=1.0)
+    params = R.random_params(spark, 2, 2, stddev=1.0)
     some = R.mean_gradient(df, params)
     known = R.mean_gradient(df.filter("label IN (0, 1)"), params)
     assert some[2] == known[2] == 2 and some[1] == pytest.approx(known[1])
@@ -221,8 +225,8 @@ def test_a_sweep_does_not_carry_velocity_over(spark):
     df, _, _ = rows_of(spark)
     optimizer = R.Momentum({"default": {"learning_rate": 0.1, "momentum": 0.9}})
     both = R.sweep(df, "id", R.zero_params(5, 3), [60, 60], epochs=1, optimizer=optimizer)
-    losses = [m[4] for m in both if m[3] == "loss"]
-    assert losses[: len(losses) // 2] == pytest.approx(losses[len(losses) // 2 :])
+    losses = [[m[4] for m in run.metrics if m[3] == "loss"] for run in both]
+    assert losses[0] == pytest.approx(losses[1])
     assert optimizer.velocity == {}
     with pytest.raises(PySparkException):
         L.parse_names(lines(spark, "n1\ta\tb")).collect()
@@ -247,7 +251,7 @@ def test_first_gradient_by_hand(spark):
 
 def test_sums_of_many_tasks(spark):
     df, x, labels = rows_of(spark)
-    start = R.random_params(5, 3, stddev=0.5)
+    start = R.random_params(spark, 5, 3, stddev=0.5)
     dw, db, loss = plain_gradient(x, labels, start["weights"], start["biases"])
     for tasks in (1, 9):
         grads, got, count = R.mean_gradient(df.repartition(tasks), start)
@@ -274,7 +278,7 @@ def test_minibatch_run(spark):
     w, b = plain_run(x, labels, batches, 0.5)
     assert run.steps == 6
     assert run.params["weights"] == pytest.approx(w) and run.params["biases"] == pytest.approx(b)
-    accuracy = [m[4] for m in run.metrics if m[3] == "accuracy"]
+    accuracy = [m[4] for m in run.metrics if m[3] == "test_accuracy"]
     losses = [m[4] for m in run.metrics if m[3] == "loss"]
     assert accuracy[-1] > np.bincount(labels).max() / len(labels) and losses[-1] < losses[0]
 
@@ -348,7 +352,7 @@ def test_rates_by_exact_name_then_pattern_then_default():
 
 def test_weight_decay_counts_once(spark):
     df, x, labels = rows_of(spark)
-    start = R.random_params(5, 3, stddev=0.5, bias=0.25, seed=7)
+    start = R.random_params(spark, 5, 3, stddev=0.5, bias=0.25, seed=7)
     assert start["biases"].tolist() == [0.25] * 3
     run = R.train(df, "id", start, 240, 1, R.GradientDescent(0.5), weight_decay=0.1)
     dw, db, loss = plain_gradient(x, labels, start["weights"], start["biases"])
@@ -392,10 +396,99 @@ def test_training_leaves_no_epoch_tables(spark):
     assert set(folder.glob("rankflow-*")) == before
 
 
-def test_sweep(spark):
-    df, _, _ = rows_of(spark, n=60)
-    metrics = R.sweep(df, "id", R.zero_params(5, 3), [10, 30], epochs=1, test=df)
-    assert [sum(m[0] == f"batch_{b}" and m[3] == "loss" for m in metrics) for b in (10, 30)] == [6, 2]
+@pytest.mark.parametrize("sizes", [[10, 30], [20, 50, 7]])
+def test_a_sweep_in_one_pass_equals_separate_runs(spark, sizes):
+    df, _, _ = rows_of(spark, n=62)
+    optimizer = R.Momentum({"default": {"learning_rate": 0.3, "momentum": 0.5}})
+    runs = R.sweep(df, "id", R.zero_params(5, 3), sizes, epochs=2, optimizer=optimizer, weight_decay=0.1, test=df)
+    for size, run in zip(sizes, runs):
+        alone = R.train(
+            df, "id", R.zero_params(5, 3), size, 2, optimizer, weight_decay=0.1, test=df, run=f"batch_{size}", stripe=1
+        )
+        assert run.steps == alone.steps == 2 * (62 // size)
+        assert run.params["weights"] == pytest.approx(alone.params["weights"])
+        assert run.velocity["biases"] == pytest.approx(alone.velocity["biases"])
+        assert [m[:4] for m in run.metrics] == [m[:4] for m in alone.metrics]
+        assert [m[4] for m in run.metrics] == pytest.approx([m[4] for m in alone.metrics])
+
+
+@pytest.mark.parametrize("delay", [1, 3, 50])
+def test_delayed_updates_use_old_models_in_order(spark, delay):
+    df, x, labels = rows_of(spark)
+    run = R.train(df, "id", R.zero_params(5, 3), 40, 2, R.GradientDescent(0.5), delay=delay)
+    models, step = [(np.zeros((5, 3)), np.zeros(3))], 0
+    for epoch in range(2):
+        order = shuffled(240, epoch)
+        for i in range(6):
+            own = order[i * 40 : (i + 1) * 40]
+            dw, db, _ = plain_gradient(x[own], labels[own], *models[max(0, step - delay)])
+            models.append((models[-1][0] - 0.5 * dw, models[-1][1] - 0.5 * db))
+            step += 1
+    assert run.steps == 12 and run.params["weights"] == pytest.approx(models[-1][0])
+    assert run.params["biases"] == pytest.approx(models[-1][1])
+
+
+def test_metrics_of_a_run_are_appended_each_epoch(spark, fresh_dir):
+    df, x, labels = rows_of(spark)
+    path = fresh_dir + "/metrics"
+    run = R.train(df, "id", R.zero_params(5, 3), 80, 2, R.GradientDescent(0.5), test=df, metrics_path=path)
+    table = spark.read.parquet(path)
+    assert sorted(map(str, map(tuple, table.collect()))) == sorted(map(str, run.metrics))
+    order = shuffled(240, 0)
+    w, b = plain_run(x, labels, [order[:80]], 0.5)
+    own = order[80:160]
+    z = x[own] @ w + b
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    rows = {(m[3], m[6]): m[4] for m in run.metrics if m[1] == 1 and m[2] == 0}
+    assert rows["accuracy", None] == pytest.approx((z.argmax(axis=1) == labels[own]).mean())
+    counts = np.bincount(M.prediction_buckets(p.ravel()))
+    assert {key[1]: value for key, value in rows.items() if key[0] == "prediction"} == {
+        int(i): counts[i] for i in np.flatnonzero(counts)
+    }
+    assert sum(counts) == 240
+
+
+def test_buckets_grow_and_hold_everything():
+    p = np.array([0.0, 1e-300, 1e-12, 2e-12, 0.1, 0.5, 1.0])
+    buckets = M.prediction_buckets(p)
+    assert buckets[0] == buckets[1] == buckets[2] == 0 and buckets[-1] == M.PREDICTION_BUCKETS - 1
+    assert (np.diff(buckets) >= 0).all() and buckets[3] == int(math.log(2) / math.log(1.1))
+
+
+def test_epochs_share_one_table_and_read_few_ranges(spark):
+    df, _, _ = rows_of(spark, n=1000)
+    rows = FD.feed(df.select("id", "label"), "id", stripe=8)
+    assert rows.total == 1000 and FD.stripe_rows(640) == 10 and FD.stripe_rows(10) == 1
+    for epoch in (0, 5):
+        order = shuffled(1000, epoch, 8)
+        steps = [rows.slice(low, low + 200, epoch) for low in range(0, 1000, 200)]
+        for i, step in enumerate(steps):
+            assert sorted(r["id"] for r in step.collect()) == sorted(order[i * 200 : (i + 1) * 200])
+        placed = {r["place"]: r["id"] for r in rows.placed([epoch]).collect()}
+        assert placed == dict(enumerate(order))
+    assert steps[0].inputFiles() == steps[1].inputFiles()
+    text = steps[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "_row" in text
+    rows.drop()
+
+
+def test_small_steps_are_one_stage(spark):
+    assert R.step_tasks(100, R.zero_params(784, 10)) == 1
+    assert R.step_tasks(10**9, R.zero_params(784, 10)) is None
+    df, x, labels = rows_of(spark)
+    whole, _, _ = R.mean_gradient(df, R.zero_params(5, 3))
+    few, _, _ = R.mean_gradient(df.repartition(9), R.zero_params(5, 3), tasks=2)
+    assert few["weights"] == pytest.approx(whole["weights"])
+
+
+def test_initial_weights_are_normal_and_repeatable(spark):
+    params = R.random_params(spark, 200, 50, stddev=0.5, bias=0.1, seed=4)
+    values = params["weights"].ravel()
+    assert abs(values.mean()) < 0.02 and values.std() == pytest.approx(0.5, rel=0.03)
+    assert (np.abs(values) < 0.5).mean() == pytest.approx(0.683, abs=0.02) and params["biases"].tolist() == [0.1] * 50
+    again = R.random_params(spark, 200, 50, stddev=0.5, bias=0.1, seed=4)
+    other = R.random_params(spark, 200, 50, stddev=0.5, seed=5)
+    assert (again["weights"] == params["weights"]).all() and abs(np.corrcoef(values, other["weights"].ravel())[0, 1]) < 0.05
 
 
 def test_local_descent_holds_no_whole_batch():
