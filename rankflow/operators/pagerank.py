@@ -8,8 +8,12 @@ vanishes together with everything it alone kept alive, unless such sources are k
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from dataclasses import dataclass, replace
+
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.operators.edges import (
@@ -20,7 +24,7 @@ from rankflow.operators.edges import (
     copy_to_salts,
     split_adjacency,
 )
-from rankflow.session import checkpointed, cut, cut_bucketed, shuffle_partitions
+from rankflow.session import SHUFFLE_PARTITIONS, cut, cut_bucketed, scratch, session_settings
 
 # Defaults of the ranking programs.
 ITERATIONS = 10
@@ -47,55 +51,116 @@ def pagerank(
     """``(node, rank)`` after ``n_iter`` iterations.
 
     Links are bucketed by source once, after which an iteration shuffles nothing but contributions,
-    combined map-side. Only ``partitioning="range"`` shuffles them in each iteration: a stored range
-    placement is not known to the optimizer. ``num_partitions`` follows from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source; ``ignore_zero_incoming=False``
-    keeps sources that nothing links to.
+    combined map-side, and ranks. With ``partitioning="range"`` the buckets are ranges of sources, so that neighbouring names lie
+    together; links carry the range of their target, with which a rank finds its way back. ``num_partitions`` follows
+    from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source;
+    ``ignore_zero_incoming=False`` keeps sources that nothing links to.
     """
     if layout not in LAYOUTS or partitioning not in PARTITIONINGS:
         raise ValueError(f"layout must be in {LAYOUTS} and partitioning in {PARTITIONINGS}")
-    graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
-    placed = partitioning != "range"
-    ranks = None
-    with shuffle_partitions(edges.sparkSession, graph.partitions):
-        links = _place(_links(graph, layout, row_entries), graph, partitioning, cache)
-        try:
-            for step in range(1, n_iter + 1):
-                ranks = _iterate(ranks, links, graph, layout, damping, placed)
-                if step % checkpoint_every == 0 or step == n_iter:
-                    ranks = checkpointed(ranks)
-        finally:
-            if cache:
-                links.unpersist()
-    sources = graph.sources.select(F.col("src").alias("node"))
-    if ranks is None:
-        ranks = sources.withColumn("rank", F.lit(1.0))
-    if only_left:
-        ranks = ranks.join(sources, "node", "left_semi")
-    return ranks
-
+    spark = edges.sparkSession
+    with scratch(spark) as own:
+        graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
+        settings = {SHUFFLE_PARTITIONS: str(graph.partitions)}
+        ranges = None
+        if partitioning == "range":
+            ranges = Ranges.of(graph)
+            settings[CO_PARTITION] = "false"
+        ranks = None
+        with session_settings(spark, settings):
+            links = _place(_links(graph, layout, row_entries, ranges), graph, cache, ranges)
+            try:
+                for step in range(1, n_iter + 1):
+                    ranks = _iterate(ranks, links, graph, layout, damping, ranges)
+                    if step % checkpoint_every == 0 or step == n_iter:
+                        ranks = cut(ranks, "ranks")
+            finally:
+                if cache:
+                    links.unpersist()
+        sources = graph.sources.select(F.col("src").alias("node"))
+        if ranks is None:
+            ranks = sources.withColumn("rank", F.lit(1.0))
+        if only_left:
+            ranks = ranks.join(sources, "node", "left_semi")
+        return own.result(ranks.select("node", "rank"))
+
+
+# Joins on a place and a name may use a placement by the place alone.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+# Names sampled for each range.
+RANGE_SAMPLE = 50
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """Bounds of ranges of names, and the number that lands in each of as many buckets.
+
+    Both have one entry per partition. A range's place is the number whose hash names the range's own bucket, so
+    that stored buckets are ranges, and joins on the place know where they lie.
+    """
 
-def _links(graph: Graph, layout: str, row_entries: int) -> DataFrame:
+    bounds: list[str]
+    places: list[int]
+
+    @staticmethod
+    def of(graph: Graph) -> Ranges:
+        """Ranges that hold about equal numbers of links, by a bounded sample of their sources."""
+        count, spark = graph.partitions, graph.weighted.sparkSession
+        sample = graph.weighted.orderBy(F.xxhash64("src", "dst"), "src", "dst").limit(RANGE_SAMPLE * count)
+        # Code points and UTF-8 bytes have the same order.
+        names = sorted(row["src"] for row in sample.select("src").collect())
+        bounds = sorted({names[i * len(names) // count] for i in range(1, count)}) if names else []
+        places: dict[int, int] = {}
+        tried = 16 * count
+        while len(places) < count:
+            numbers = spark.range(tried).select(F.col("id").cast("int").alias("n"))
+            rows = numbers.groupBy(F.pmod(F.hash("n"), F.lit(count)).alias("bucket")).agg(F.min("n").alias("n")).collect()
+            places, tried = {row["bucket"]: row["n"] for row in rows}, 4 * tried
+        return Ranges(bounds, [places[i] for i in range(count)])
+
+    def number(self, name: Column) -> Column:
+        """The range of each name; names like a bound begin the range above it."""
+        bounds = self.bounds
+
+        @F.arrow_udf("int")
+        def found(names: pa.Array) -> pa.Array:
+            return pa.array([bisect_right(bounds, own) for own in names.to_pylist()], pa.int32())
+
+        return found(name)
+
+    def place(self, number: Column, salt: Column) -> Column:
+        """Where a range's rows lie; the salts of a source that is split lie one after the other."""
+        places = F.split(F.lit(",".join(map(str, self.places))), ",").cast("array<int>")
+        return F.get(places, F.pmod(number + salt, F.lit(len(self.places))))
+
+
+def _links(graph: Graph, layout: str, row_entries: int, ranges: Ranges | None = None) -> DataFrame:
     """What a source sends, per unit of its rank: one row per edge, or lists of targets."""
+    more, beside = [], []
+    if ranges is not None:
+        numbered = graph.edges.withColumn("dst_range", ranges.number(F.col("dst")))
+        placed = numbered.withColumn("place", ranges.place(ranges.number(F.col("src")), F.col("salt")))
+        graph, more, beside = replace(graph, edges=placed), ["dst_range"], ["place"]
     if layout == "adjacency":
         part = 1.0 / F.col("out_degree")
-        return split_adjacency(graph, row_entries).select("src", "salt", "chunk", "entries", part.alias("part"))
-    return graph.edges.select("src", "salt", "dst", (F.col("w") / F.col("out_degree")).alias("part"))
+        rows = split_adjacency(graph, row_entries)
+        return rows.select(*beside, "src", "salt", "chunk", "entries", part.alias("part"))
+    return graph.edges.select(*beside, "src", "salt", "dst", *more, (F.col("w") / F.col("out_degree")).alias("part"))
+
+
+def _keys(graph: Graph, ranges: Ranges | None) -> list[str]:
+    return graph.keys if ranges is None else ["place", *graph.keys]
 
 
-def _place(links: DataFrame, graph: Graph, partitioning: str | None, cache: bool) -> DataFrame:
-    """Write or hold the links once, before the loop, in the layout asked for."""
-    if partitioning == "range":
-        within = [c for c in ("src", "salt", "chunk", "dst") if c in links.columns]
-        links = links.repartitionByRange(graph.partitions, *within).sortWithinPartitions(*within)
+def _place(links: DataFrame, graph: Graph, cache: bool, ranges: Ranges | None = None) -> DataFrame:
+    """Write the links once, before the loop, in buckets by source or by range, and hold them if asked for."""
+    if ranges is not None:
+        links = links.repartition(graph.partitions, "place")
+    links = cut_bucketed(links, "links", graph.partitions, ["place"] if ranges is not None else graph.keys)
     if cache:
-        if partitioning != "range":
-            links = links.sortWithinPartitions(*graph.keys)
         links = links.persist(StorageLevel.MEMORY_AND_DISK)
         links.count()  # the partitioning of a held table is known once it is filled
-        return links
-    if partitioning == "range":
-        return cut(links, "links")
-    return cut_bucketed(links, "links", graph.partitions, graph.keys)
+    return links
 
 
 def _iterate(
@@ -104,12 +169,12 @@ def _iterate(
     graph: Graph,
     layout: str,
     damping: float,
-    placed: bool = False,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """One step: every source sends its rank along its links, and each node sums what arrives.
 
-    In the first step every source holds rank 1.0, so nothing has to be looked up. Links that
-    are ``placed`` already lie where their ranks come to; the ranks, the smaller side, are hashed
+    In the first step every source holds rank 1.0, so nothing has to be looked up. Links
+    already lie where their ranks come to; the ranks, the smaller side, are hashed
     there, so that links are neither shuffled nor sorted.
     """
     if ranks is None:
@@ -118,16 +183,18 @@ def _iterate(
         holders = ranks.withColumnRenamed("node", "src")
         if graph.hubs is not None:
             holders = copy_to_salts(holders, graph.hubs)
-        if placed:
-            holders = holders.hint("shuffle_hash")
-        held = links.join(holders, graph.keys)
+        if ranges is not None:
+            salt = F.col("salt") if graph.hubs is not None else F.lit(0)
+            holders = holders.withColumn("place", ranges.place(F.col("dst_range"), salt)).drop("dst_range")
+        held = links.join(holders.hint("shuffle_hash"), _keys(graph, ranges))
     sent = F.col("rank") * F.col("part")
+    more = ["dst_range"] if ranges is not None else []
     if layout == "adjacency":
         sends = held.select(sent.alias("sent"), F.inline("entries"))
         received = F.sum(F.col("sent") * F.col("w"))
     else:
-        sends = held.select(sent.alias("sent"), "dst")
+        sends = held.select(sent.alias("sent"), "dst", *more)
         received = F.sum("sent")
-    return sends.groupBy(F.col("dst").alias("node")).agg(
+    return sends.groupBy(F.col("dst").alias("node"), *more).agg(
         (F.lit(1.0 - damping) + F.lit(damping) * received).alias("rank")
     )

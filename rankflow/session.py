@@ -121,20 +121,19 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, count: int):
-    """Plans executed inside shuffle into ``count`` partitions, so that they meet in place."""
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(count))
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Plans executed inside have these settings; afterwards the former ones hold again."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the plan is cut and survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def cut(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -160,7 +159,7 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
 
 
 def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> DataFrame:
-    """Like :func:`cut`, bucketed and sorted by ``keys``: joins on them need no shuffle.
+    """Like :func:`cut`, bucketed by ``keys``: hash joins on them need no shuffle.
 
     ``df`` should already be partitioned by ``keys``, or every task writes to every bucket.
     The catalog entry goes once the table is resolved; the files stay in the shared folder.
@@ -169,7 +168,6 @@ def cut_bucketed(df: DataFrame, name: str, buckets: int, keys: list[str]) -> Dat
     table = f"rankflow_{name}_{uuid.uuid4().hex}"
     (
         df.write.bucketBy(buckets, *keys)
-        .sortBy(*keys)
         .option("path", scratch_path(spark, name))
         .saveAsTable(table)
     )

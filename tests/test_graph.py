@@ -1,5 +1,6 @@
 """Link cleaning, graph preparation and ranking against hand-made and brute-force results."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from compare import operators
 from rankflow.operators import edges as E
-from rankflow.operators.pagerank import _iterate, _links, _place, pagerank
+from rankflow.operators.pagerank import CO_PARTITION, Ranges, _iterate, _links, _place, pagerank
+from rankflow.session import session_settings, shared_dir
 
 
 def graph(spark, pairs):
@@ -160,13 +162,13 @@ def test_adjacency_rows_are_bounded_and_whole(spark):
 
 
 @pytest.mark.parametrize("layout", ["edges", "adjacency"])
-@pytest.mark.parametrize("options", [("hash", False), (None, False), (None, True)])
-def test_a_placed_iteration_shuffles_only_contributions(spark, layout, options):
+@pytest.mark.parametrize("cache", [False, True])
+def test_a_placed_iteration_shuffles_only_contributions(spark, layout, cache):
     pairs = [(f"n{i % 50}", f"n{(i * 7) % 50}") for i in range(500)]
     built = E.build_graph(graph(spark, pairs))
-    links = _place(_links(built, layout, 100), built, *options)
+    links = _place(_links(built, layout, 100), built, cache)
     first = _iterate(None, links, built, layout, 0.85)
-    second = _iterate(first, links, built, layout, 0.85, placed=True)
+    second = _iterate(first, links, built, layout, 0.85)
     plan = operators(second)
     exchanges = [line for line in plan if "Exchange" in line]
     assert sum("ShuffledHashJoin" in line for line in plan) == 1 and not any(line.startswith("Sort ") for line in plan)
@@ -177,15 +179,60 @@ def test_a_placed_iteration_shuffles_only_contributions(spark, layout, options):
 def test_a_split_hub_moves_ranks_but_no_links(spark, layout):
     built = E.build_graph(graph(spark, skewed_pairs()), split_rows=20)
     assert built.hubs is not None
-    links = _place(_links(built, layout, 100), built, "hash", False)
-    first = _iterate(None, links, built, layout, 0.85, placed=True)
-    plan = operators(_iterate(first, links, built, layout, 0.85, placed=True))
+    links = _place(_links(built, layout, 100), built, False)
+    first = _iterate(None, links, built, layout, 0.85)
+    plan = operators(_iterate(first, links, built, layout, 0.85))
     hashed = [line for line in plan if "Exchange hashpartitioning" in line]
     assert sum("hashpartitioning(dst" in line for line in hashed) == 2
     assert sum("hashpartitioning(src" in line and "salt" in line for line in hashed) == 1
     assert len(hashed) == 3 and sum("ShuffledHashJoin" in line for line in plan) == 1
 
 
+@pytest.mark.parametrize("layout", ["edges", "adjacency"])
+@pytest.mark.parametrize("split_rows", [20, 100_000])
+def test_stored_ranges_survive_iterations(spark, layout, split_rows):
+    built = E.build_graph(graph(spark, skewed_pairs()), partitions=8, split_rows=split_rows)
+    ranges = Ranges.of(built)
+    with session_settings(spark, {CO_PARTITION: "false"}):
+        links = _place(_links(built, layout, 100, ranges), built, False, ranges)
+        first = _iterate(None, links, built, layout, 0.85, ranges)
+        plan = operators(_iterate(first, links, built, layout, 0.85, ranges))
+    hashed = [line for line in plan if "Exchange" in line and "Broadcast" not in line]
+    # Contributions of two steps, and the ranks between them; never the links.
+    assert sum("hashpartitioning(dst" in line for line in hashed) == 2
+    assert sum("hashpartitioning(place" in line for line in hashed) == 1 and len(hashed) == 3
+    if split_rows > 20:
+        # A file holds one range: its names lie between two bounds.
+        rows = links.groupBy(F.input_file_name().alias("file")).agg(F.min("src").alias("low"), F.max("src").alias("high")).collect()
+        spans = sorted((row["low"], row["high"]) for row in rows)
+        assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_ranking_leaves_only_its_result(spark):
+    folder = shared_dir(spark).removeprefix("file://")
+    for options in LAYOUTS:
+        before = set(os.listdir(folder))
+        result = pagerank(graph(spark, skewed_pairs()), 3, checkpoint_every=2, **options)
+        assert len(set(os.listdir(folder)) - before) == 1 and result.count()
+
+
+def test_adjacency_lists_across_partition_borders(spark):
+    rng = random.Random(9)
+    pairs = [("hub", f"t{i:05d}") for i in range(3000)] + [("hub2", f"t{i:05d}") for i in range(64)]
+    pairs += [(f"s{rng.randrange(300)}", f"t{rng.randrange(50):05d}") for _ in range(2000)]
+    rows = E.adjacency(graph(spark, pairs), entries=32).collect()
+    lists, counts = defaultdict(dict), Counter(pairs)
+    for row in rows:
+        lists[row["src"]][row["chunk"]] = [(entry["dst"], entry["w"]) for entry in row["entries"]]
+    degrees = Counter(src for src, _ in pairs)
+    for src, chunks in lists.items():
+        targets = sorted((dst, w) for (own, dst), w in counts.items() if own == src)
+        assert [entry for i in range(len(chunks)) for entry in chunks[i]] == targets
+        assert all(len(chunks[i]) == 32 for i in range(len(chunks) - 1))
+    assert set(lists) == set(degrees) and {row["src"]: row["out_degree"] for row in rows} == dict(degrees)
+    assert E.adjacency(graph(spark, []), entries=4).count() == 0
+
+
 def test_unknown_layout_is_refused(spark):
     with pytest.raises(ValueError):
         pagerank(graph(spark, [("a", "b")]), layout="matrix")
