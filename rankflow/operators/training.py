@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -30,6 +29,7 @@ from rankflow.operators.metrics import (
     PREDICTION, PREDICTION_BUCKETS, accuracy, append_metrics, prediction_buckets,
 )
 from rankflow.session import scratch
+from rankflow.sources.files import publish, published, published_names, withdraw
 
 # Defaults of the training programs.
 BATCH_SIZE = 100
@@ -551,10 +551,15 @@ def model_table(spark: SparkSession, params: Params, step: int = 0) -> DataFrame
 def save_model(
     spark: SparkSession, params: Params, step: int, path: str, velocity: Params | None = None
 ) -> None:
-    """Save one checkpoint in a model table partitioned by step; a step that is saved again is replaced."""
+    """Save one checkpoint in a model table partitioned by step; a step that is saved again is replaced.
+
+    Its manifest is written last, so a checkpoint that was written in part is never restored.
+    """
     rows = model_rows(params, step) + model_rows(velocity or {}, step, "/velocity")
     table = spark.createDataFrame(rows, MODEL_SCHEMA)
+    withdraw(spark, path, f"step={step}")
     table.coalesce(1).drop("step").write.mode("overwrite").parquet(f"{path}/step={step}")
+    publish(spark, path, f"step={step}")
 
 
 def latest_checkpoint(models: DataFrame) -> DataFrame:
@@ -565,14 +570,16 @@ def latest_checkpoint(models: DataFrame) -> DataFrame:
 
 def restore_model(spark: SparkSession, path: str, velocity: bool = False) -> Params | None:
     """The newest saved model, or ``None`` where nothing was saved."""
-    try:
-        models = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    steps = [int(name.removeprefix("step=")) for name in published_names(spark, path) if name.startswith("step=")]
+    files = None
+    while steps and files is None:
+        # A checkpoint whose files are gone or cut short does not count either.
+        newest = steps.pop(steps.index(max(steps)))
+        files = published(spark, path, f"step={newest}")
+    if files is None:
         return None
     cells: dict[str, list] = {}
-    for row in latest_checkpoint(models).collect():
+    for row in spark.read.parquet(*files).collect():
         cells.setdefault(row["name"], []).append((row["row"], row["col"], row["value"]))
     params = {}
     for name, entries in cells.items():

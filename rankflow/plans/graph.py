@@ -12,7 +12,7 @@ from rankflow.operators.pagerank import pagerank
 from rankflow.plans import tables as T
 from rankflow.session import scratch_path
 from rankflow.sources.text import (
-    read_lines, read_raw_table, read_table, write_lines, write_ranks, write_table,
+    read_lines, read_placed_lines, read_raw_table, read_table, write_lines, write_ranks, write_table,
 )
 
 ADJACENCY_QUERY_ENTRIES = 64
@@ -84,18 +84,23 @@ def sort_positional(spark, sf_dir):
 
 
 def ranks_sink(spark, sf_dir):
-    """Degrees as rank lines, written and read back."""
+    """Degrees as rank lines, written to one file and read back."""
     path = scratch_path(spark, "rank_lines")
-    write_ranks(E.out_degree(T.trade_edges(spark, sf_dir)), path)
+    write_ranks(E.out_degree(T.trade_edges(spark, sf_dir)), path, single=True)
     return read_lines(spark, path)
 
 
+def _in_file_order(spark, path: str, value: str = "value") -> DataFrame:
+    placed = read_placed_lines(spark, path)
+    return global_index(placed, ["place"]).select("position", F.col("value").alias(value))
+
+
 def table_sink(spark, sf_dir):
-    """A sorted table written as CSV and read back with its schema."""
+    """A sorted table written as one CSV file, and its lines in file order."""
     path = scratch_path(spark, "events")
     events = T.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    write_table(sort_by(events, "event_type", "user_id"), path)
-    return read_table(spark, path, schema=events.schema)
+    write_table(sort_by(events, "event_type", "user_id"), path, single=True)
+    return _in_file_order(spark, path)
 
 
 def lines_sink(spark, sf_dir):
@@ -104,10 +109,17 @@ def lines_sink(spark, sf_dir):
     T.order_text(spark, sf_dir).write.option("header", True).csv(source)
     fields = read_raw_table(spark, source)
     write_lines(fields, path, [fields.columns[2], fields.columns[0]], "line")
-    placed = read_lines(spark, path).select(
-        "value", F.struct("_metadata.file_name", F.monotonically_increasing_id()).alias("place")
-    )
-    return global_index(placed, ["place"]).select("position", "value")
+    return _in_file_order(spark, path)
+
+
+def file_headers(spark, sf_dir):
+    """Raw lines of files with headers of their own, which some of their rows repeat."""
+    paths = []
+    for number in range(T.HEADER_FILES):
+        paths.append(scratch_path(spark, f"file_{number}"))
+        write_table(T.titled_customers(spark, sf_dir, number), paths[-1])
+    rows = read_raw_table(spark, *paths)
+    return rows.select(*[F.col(name).alias(f"field_{i}") for i, name in enumerate(rows.columns)])
 
 
 def short_rows(spark, sf_dir):
@@ -122,6 +134,7 @@ QUERIES = {
     "ranks_sink": ranks_sink,
     "table_sink": table_sink,
     "lines_sink": lines_sink,
+    "file_headers": file_headers,
     "short_rows": short_rows,
     "pagerank_naive": _ranking(),
     "pagerank_adjacency": _ranking(layout="adjacency"),

@@ -28,6 +28,7 @@ PRECISION_K = 3
 PRECISION_BATCH = 50
 HISTOGRAM_BUCKETS = 30
 BOXES = 16
+FOLDER_FILE_ROWS = 200
 CROP = (6, 11)
 
 
@@ -64,7 +65,7 @@ def shard_assign(spark, sf_dir):
 def _record_table(spark, sf_dir) -> DataFrame:
     return T.table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.col("source").cast("binary").alias("content"),
+        F.col("text").cast("binary").alias("content"),
         F.nullif(F.col("lang"), F.lit("en")).alias("format"),
         F.nullif(F.col("doc_id") % 5, F.lit(0)).alias("label"),
     )
@@ -361,13 +362,18 @@ def label_map_fallback(spark, sf_dir):
 
 
 def class_folders(spark, sf_dir):
-    """Documents written as files below a folder per language, read back with their class."""
+    """Whole documents written as files of bounded size below a folder per language, read back with their class."""
     root = scratch_path(spark, "folders")
-    docs = T.table(spark, sf_dir, "documents").select(F.col("source").alias("value"), F.col("lang").alias("class"))
-    docs.write.partitionBy("class").text(root)
-    read = records.read_class_folders(spark, root).filter("path NOT LIKE '%_SUCCESS'")
-    lines = F.size(F.split(F.col("content").cast("string"), "\n")) - 1
-    return read.groupBy(F.regexp_replace("class", "^class=", "").alias("class")).agg(F.sum(lines).alias("rows"))
+    docs = T.table(spark, sf_dir, "documents").select(F.col("text").alias("value"), F.col("lang").alias("class"))
+    docs.write.option("maxRecordsPerFile", FOLDER_FILE_ROWS).partitionBy("class").text(root)
+    read = records.read_class_folders(spark, root, "class")
+    # Every line ends in a line feed, so the last piece of a file is empty.
+    lines = F.split(F.col("content").cast("string"), "\n")
+    digest = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("bigint")
+    each = read.select("class", F.explode(F.slice(lines, 1, F.size(lines) - 1)).alias("line"))
+    return each.groupBy("class").agg(
+        F.sum(F.octet_length("line") + 1).alias("bytes"), F.count("*").alias("lines"), F.sum(digest).alias("digest")
+    )
 
 
 # --- schedules and reports -------------------------------------------------------------------

@@ -133,7 +133,14 @@ def _graph() -> dict[str, str]:
         "csv_scan": ORDER_TABLE,
         "ranks_sink": f"""
             SELECT '(' || src || ',' || count(*) || ')' AS value FROM ({_trade()}) GROUP BY src""",
-        "table_sink": "SELECT event_id, user_id, event_type FROM events",
+        "table_sink": """
+            SELECT 0 AS position, 'event_id,user_id,event_type' AS value UNION ALL
+            SELECT row_number() OVER (ORDER BY event_type, user_id, event_id), event_id || ',' || user_id || ',' || event_type
+            FROM events""",
+        "file_headers": """
+            SELECT CASE WHEN c_custkey % 50 = 0 THEN 'key_' || c_custkey % 3 ELSE c_custkey::VARCHAR END AS field_0,
+              CASE WHEN c_custkey % 50 = 0 THEN 'name_' || c_custkey % 3 ELSE c_name END AS field_1,
+              field_0 || ',' || field_1 AS field_2 FROM customer""",
         "lines_sink": f"""
             SELECT row_number() OVER (ORDER BY o_orderstatus NULLS FIRST, o_orderkey) - 1 AS position,
               o_orderkey || ',' || o_custkey || ',' || coalesce(o_orderstatus, '') || ',"' || o_orderpriority || '"' AS value
@@ -167,7 +174,7 @@ def _sharded(source: str, columns: str) -> str:
       FROM ({_split(source, columns)})"""
 
 
-RECORDS = """(SELECT doc_id, source AS content, nullif(lang, 'en') AS format,
+RECORDS = """(SELECT doc_id, text AS content, nullif(lang, 'en') AS format,
   nullif(doc_id % 5, 0) AS label FROM documents)"""
 
 
@@ -205,7 +212,10 @@ def _splits() -> dict[str, str]:
               FROM (SELECT DISTINCT o_orderpriority FROM o WHERE o_orderpriority IS NOT NULL))
             SELECT o_orderkey, o.o_orderpriority, class_id::INT AS class_id FROM o LEFT JOIN c USING (o_orderpriority)""",
         "label_map_fallback": "SELECT p_partkey AS label, p_brand || ':' || p_type AS name FROM part",
-        "class_folders": "SELECT lang AS class, count(*) AS rows FROM documents GROUP BY lang",
+        "class_folders": """
+            SELECT lang AS class, sum(octet_length(encode(line)) + 1)::BIGINT AS bytes, count(*) AS lines,
+              sum(('0x' || substr(md5(line), 1, 8))::BIGINT)::BIGINT AS digest
+            FROM (SELECT lang, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) GROUP BY lang""",
         "label_map_format": """
             SELECT p_partkey || ':' || p_brand || ':' || p_type AS value FROM part""",
         "label_map_read": "SELECT p_partkey AS label, p_brand || ':' || p_type AS name FROM part",

@@ -70,6 +70,21 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HEADER_FILES = 3
+
+
+def titled_customers(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """The customers of one of ``HEADER_FILES`` files, whose columns are named after it; every 50th row says the same as
+    the header."""
+    names = [f"key_{number}", f"name_{number}"]
+    customers = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % HEADER_FILES == number)
+    columns = [F.col("c_custkey").cast("string"), F.col("c_name")]
+    repeats = F.col("c_custkey") % 50 == 0
+    return customers.select(
+        *[F.when(repeats, F.lit(name)).otherwise(column).alias(name) for name, column in zip(names, columns)]
+    )
+
+
 def ragged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV lines, the last field missing in every seventh."""
     whole = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")

@@ -16,12 +16,23 @@ BOXED_DEFAULTS = {"content": b"", "format": "jpeg", "label": -1, "text": ""}
 BOX_TYPE = "array<struct<ymin: float, xmin: float, ymax: float, xmax: float>>"
 SYNTHETIC_SHAPE = (256, 256, 3)
 SYNTHETIC_CLASSES = 1000
+# Fixed value: the folder of rows whose partition column is null.
+NO_CLASS = "__HIVE_DEFAULT_PARTITION__"
 
 
-def read_class_folders(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, content, class)`` of all files below ``root``; the class is the parent folder."""
+def read_class_folders(spark: SparkSession, root: str, column: str | None = None) -> DataFrame:
+    """``(path, content, class)`` of all files below ``root``; the class is the parent folder.
+
+    Files whose names begin with an underscore or a dot are hidden. ``column`` names the partition column of folders that
+    a table was written to: its values are then taken from ``column=value``, and null from the folder of rows without one.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return files.select("path", "content", parent_folder(F.col("path")).alias("class"))
+    shown = files.filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+    folder = parent_folder(F.col("path"))
+    if column is not None:
+        value = F.substring_index(folder, f"{column}=", -1)
+        folder = F.when(value != NO_CLASS, F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+    return shown.select("path", "content", folder.alias("class"))
 
 
 def write_splits(df: DataFrame, path: str) -> None:

@@ -4,10 +4,12 @@ import glob
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from rankflow.operators.batching import assign_shards, train_valid_split
 from rankflow.operators.ordering import sort_by_position
+from rankflow.session import session_settings
 from rankflow.sources import labels, records, text
 
 CSV = """{header}
@@ -65,6 +67,77 @@ def test_sorted_output_is_in_file_order(spark, fresh_dir, single):
     assert [line for part in parts for line in open(part).read().split() if line != "k"] == expected
 
 
+def test_files_with_headers_of_their_own(spark, fresh_dir):
+    put(f"{fresh_dir}/in/1.csv", "k,v\r\n1,a\r\nk,v\r\n")
+    put(f"{fresh_dir}/in/2.csv", "key,other\n2,b\nkey,other\n1,a\n\n")
+    put(f"{fresh_dir}/in/3.csv", "k,v")
+    rows = text.read_raw_table(spark, fresh_dir + "/in", fresh_dir + "/in/1.csv")
+    got = sorted((str(r["k"]), str(r["v"]), r["line"]) for r in rows.collect())
+    first = [("1", "a", "1,a"), ("k", "v", "k,v")]
+    assert got == sorted(2 * first + [("2", "b", "2,b"), ("key", "other", "key,other"), ("1", "a", "1,a"), ("None", "None", "")])
+
+
+def test_places_are_byte_offsets_in_small_blocks(spark, fresh_dir):
+    content = [f"line {i} " + "é" * (i % 7) for i in range(500)]
+    put(f"{fresh_dir}/in/a.txt", "\n".join(content) + "\n")
+    put(f"{fresh_dir}/in/b.txt", "\n".join(reversed(content)))
+    settings = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.execution.arrow.maxRecordsPerBatch": "9"}
+    with session_settings(spark, settings):
+        rows = text.read_placed_lines(spark, fresh_dir + "/in").collect()
+    ordered = [r["value"] for r in sorted(rows, key=lambda r: r["place"])]
+    assert ordered == content + content[::-1]
+    assert len({(r["place"]["file"], r["place"]["block"]) for r in rows}) > 20
+    # Offsets of a block's lines follow from the lengths of those before them.
+    blocks = {}
+    for r in sorted(rows, key=lambda r: r["place"]):
+        key = r["place"]["file"], r["place"]["block"]
+        assert r["place"]["offset"] == blocks.get(key, 0)
+        blocks[key] = blocks.get(key, 0) + len(r["value"].encode()) + 1
+
+
+def test_one_file_is_written_by_many_tasks(spark, fresh_dir):
+    df = spark.range(1000).repartition(7).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b"))
+    text.write_table(df, fresh_dir + "/table", single=True)
+    (path,) = glob.glob(fresh_dir + "/table/part-*")
+    lines = open(path).read().split()
+    assert lines[0] == "a,b" and sorted(lines[1:]) == sorted(f"{i},{2 * i}" for i in range(1000))
+    shown = [name for name in os.listdir(fresh_dir + "/table") if not name.startswith(".")]
+    assert sorted(shown) == ["_SUCCESS", "part-00000.csv"]
+    assert not glob.glob(fresh_dir + "/table/_parts*")
+    assert text.read_table(spark, fresh_dir + "/table").count() == 1000
+    text.write_table(df.filter("false"), fresh_dir + "/none", single=True)
+    assert open(fresh_dir + "/none/part-00000.csv").read() == "a,b\n"
+    text.write_lines(df.filter("false").select(F.col("a").cast("string")), fresh_dir + "/empty", ["a"], "a", single=True)
+    assert spark.read.text(fresh_dir + "/empty").count() == 0
+
+
+def test_half_a_label_map_is_absent(spark, fresh_dir):
+    broken = spark.createDataFrame([(i, "x") for i in range(50)], "label int, name string").repartition(5).withColumn(
+        "name", F.when(F.col("label") == 17, F.raise_error(F.lit("broken"))).otherwise(F.col("name"))
+    )
+    with pytest.raises(PySparkException):
+        labels.write_label_map(broken, fresh_dir)
+    # What a task of a lost job leaves.
+    put(f"{fresh_dir}/labels.txt/part-00000-lost.txt", "9:lost\n")
+    assert not labels.has_label_map(spark, fresh_dir)
+    built = labels.load_or_build(spark, fresh_dir, lambda: spark.createDataFrame([(1, "a")], "label int, name string"))
+    assert [tuple(r) for r in built.collect()] == [(1, "a")] and labels.has_label_map(spark, fresh_dir)
+    put(f"{fresh_dir}/labels.txt/part-99999-late.txt", "9:late\n")
+    assert [tuple(r) for r in labels.read_label_map(spark, fresh_dir).collect()] == [(1, "a")]
+    put(fresh_dir + "/plain/labels.txt", "3:c\n")
+    assert [tuple(r) for r in labels.read_label_map(spark, fresh_dir + "/plain").collect()] == [(3, "c")]
+
+
+def test_class_folders_of_a_written_table(spark, fresh_dir):
+    df = spark.createDataFrame([("x", "a+b:c"), ("y", None), ("z", "a+b:c")], "value string, class string")
+    df.write.partitionBy("class").text(fresh_dir + "/table")
+    rows = records.read_class_folders(spark, fresh_dir + "/table", "class").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["class"], []).append(bytes(r["content"]).decode())
+    assert sorted("".join(found["a+b:c"])) == sorted("x\nz\n") and found[None] == ["y\n"] and len(found) == 2
+
+
 def test_label_map_is_built_once(spark, fresh_dir):
     built = []
 

@@ -371,6 +371,9 @@ def test_checkpoints(spark, fresh_dir):
     restored = R.restore_model(spark, path)
     assert restored["weights"] == pytest.approx(run.params["weights"])
     assert restored["biases"] == pytest.approx(run.params["biases"])
+    # A later step that was written in part is not there.
+    R.model_table(spark, R.zero_params(5, 3)).drop("step").write.parquet(path + "/step=9")
+    assert R.restore_model(spark, path)["weights"] == pytest.approx(run.params["weights"])
     speed = R.restore_model(spark, path, velocity=True)
     assert speed["weights"] == pytest.approx(run.velocity["weights"])
     assert R.evaluate(df, restored) == pytest.approx(R.evaluate(df, run.params))
