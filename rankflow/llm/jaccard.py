@@ -7,11 +7,15 @@ such an element are cut into tiles by size band, as similar sets lie in the same
 number. In a tile, hashed bitmaps bound the overlap from above: bits that differ count elements that
 only one set has. What passes is compared exactly, as sorted arrays of 64-bit n-gram hashes.
 
-Links inside a component that is already known need no second proof, so large groups are joined in two rounds: the
-first takes some of the groups and proves a spanning forest of what the bitmaps let through, the second takes all and
-proves every pair between different components that they let through. Nothing is capped: the first round, the
+Links inside a component that is already known need no second proof, so large groups are joined in rounds. The first
+ones take some of the groups, deal each row of a group to one tile, and prove a spanning forest of what the bitmaps let
+through, so they give fewer pairs than they take rows. The last one takes all groups and proves every pair between
+different components that bitmaps let through. There, rows of a group's largest component are never compared with each other, so
+each of them goes to one tile, and only the others go to all tiles of the group. Nothing is capped: the first rounds, the
 list of frequent n-grams and the sieves only save work, and results are the same without them.
 
+Tables are deleted as soon as nothing reads them; what stays is small: one row per class or per row that may have to go.
+
 Defined results: words are split at spaces, tabs and line ends, A-Z lower-cased. A text with fewer words than
 an n-gram is one element; a null text or one without words has no set and links with nothing. Rows with equal
 texts are linked. A row with a null id takes its component's smallest id, and null where no id is known. Rows
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from rankflow.llm.common import LOWER, UPPER, picked
 from rankflow.llm.components import components
 from rankflow.llm.lattice import mix64
-from rankflow.session import cut
+from rankflow.session import Scope, cut, scratch
 
 NGRAM = 5
 # Similarity as a fraction: links have NUMERATOR * union <= DENOMINATOR * intersection.
@@ -44,22 +48,31 @@ FREQUENT_KEPT = 1_000_000
 OFTEN_IN_TASK = 4
 # Groups up to this size give their pairs directly; larger ones are cut into tiles of this many sets.
 SMALL_GROUP = 32
-TILE = 1024
+TILE = 4096
 SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 
-# The first round looks at one in so many groups.
-FIRST_ROUND = 8
-FINE_BITS = 4
+# Rounds that look for forests; each looks at one in so many groups, others than the rounds before.
+FOREST_ROUNDS = 3
+FOREST_GROUPS = 8
+FINE_BITS = 8
 
 _LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
+class _WordHashes(dict):
+    """Hashes of words, each computed when it is first looked up."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word n-grams, for texts in UTF-8."""
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
+        self.n, self.known = n, _WordHashes()
         self.factors = mix64(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
     def __call__(self, text: bytes) -> np.ndarray:
@@ -67,15 +80,10 @@ class Shingler:
         if len(known) > 500_000:
             known.clear()
         # Bytes are split at the ASCII white space that separates words, and nowhere else.
-        hashes = []
-        for word in text.translate(_LOWER_BYTES).split():
-            h = known.get(word)
-            if h is None:
-                h = known[word] = xxhash.xxh3_64_intdigest(word)
-            hashes.append(h)
-        if not hashes:
+        words = text.translate(_LOWER_BYTES).split()
+        if not words:
             return np.zeros(0, dtype=np.uint64)
-        own = np.array(hashes, dtype=np.uint64)
+        own = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         width = min(self.n, len(own))
         count = len(own) - width + 1
         rolled = np.full(count, width, dtype=np.uint64)
@@ -257,7 +265,7 @@ def _only(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 # --- candidates and proofs ---------------------------------------------------------------------
 
 
-def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+def _prove(own: Scope, pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Those of the distinct ``pairs (a, b)`` that are similar: by coarse bitmaps first, then exactly."""
     pairs = cut(pairs, "pairs")
     marks = _only(
@@ -299,7 +307,9 @@ def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
                 keep[i] = linked(overlap, len(x), len(y))
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
+    links = cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
+    own.drop(pairs, passed)
+    return links
 
 
 def _early(size_a, place_a, size_b, place_b):
@@ -335,18 +345,19 @@ def _fine_marks(classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return cut(kept.select("cid", "text").mapInArrow(sign, "cid bigint, fine binary"), "fine")
 
 
-def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs that the fine bitmaps let through in tiles of ``large (token, cid, size, place)``.
+def _labelled_groups(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """``large`` with each row's component, without groups that lie in one."""
+    named = large.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    named = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
+    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return named.join(mixed.filter("low != high").select("token"), "token")
+
+
+def _banded(large: DataFrame) -> DataFrame:
+    """Rows of ``large (token, cid, size, place, label)`` in their own band and the one below, with a number of ``parts``.
 
-    Without ``labels`` a tile gives a spanning forest of them, with labels those between components.
+    A row stays in a band only if some size there leaves it a partner at its place.
     """
-    if labels is not None:
-        named = large.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        large = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
-        mixed = large.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        large = large.join(mixed.filter("low != high").select("token"), "token")
-    else:
-        large = large.filter(F.pmod("token", F.lit(FIRST_ROUND)) == 0).withColumn("label", F.col("cid"))
     own = large.withColumn("band", band(F.col("size"))).withColumn("upper", F.lit(False))
     below = own.withColumn("band", F.col("band") - 1).withColumn("upper", F.lit(True))
     placed = own.unionByName(below)
@@ -355,62 +366,84 @@ def _tile_pairs(large: DataFrame, marks: DataFrame, labels: DataFrame | None) ->
         F.ceil(F.count("*") / TILE).cast("int").alias("parts"),
         F.min(own_size).alias("least"), F.max(own_size).alias("most"),
     )
-    # A row stays in a tile only if some size there leaves it a partner at its place.
     partner = F.greatest(F.col("least"), F.ceil(F.col("size") * NUMERATOR / DENOMINATOR))
     useful = (partner <= F.when(F.col("upper"), F.col("most")).otherwise(partner)) & linked(
         F.col("size") - F.col("place"), F.col("size"), partner
     )
-    part = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    used = counts.filter("least IS NOT NULL")
-    dealt = placed.join(used, ["token", "band"]).filter(useful).withColumn("part", part)
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "token", "band", "cid", "size", "place", "label", "upper", "part",
-        F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-    )
-    forest = labels is None
+    return placed.join(counts.filter("least IS NOT NULL"), ["token", "band"]).filter(useful)
+
+
+_TILE = ["token", "band", "part"]
+
+
+def _forest_tiles(large: DataFrame, number: int) -> DataFrame:
+    """Every row of some groups in one tile, dealt anew for each group, so that tiles of a family overlap."""
+    chosen = large.filter(F.pmod("token", F.lit(FOREST_GROUPS)) == number)
+    part = F.pmod(F.xxhash64("cid", "token"), F.col("parts")).cast("int")
+    return _banded(chosen).select(*_TILE[:2], part.alias("part"), "cid", "size", "place", "label", "upper", F.lit(True).alias("home"))
+
+
+def _all_tiles(large: DataFrame) -> DataFrame:
+    """Every pair of components of every group in some tile.
+
+    A row of the group's largest component is in one tile, its home, others are in all: two rows meet in the home of one.
+    """
+    banded = _banded(large)
+    sizes = banded.groupBy("token", "band", "label").agg(F.count("*").alias("rows"))
+    largest = sizes.groupBy("token", "band").agg(F.max(F.struct("rows", "label")).alias("top"))
+    home = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
+    tops = largest.select("token", "band", F.col("top.label").alias("largest"))
+    dealt = banded.join(tops, ["token", "band"]).withColumn("own", home)
+    everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
+    part = F.explode(F.when(F.col("label") == F.col("largest"), F.array("own")).otherwise(everywhere))
+    spread = dealt.select(*_TILE[:2], part.alias("part"), "cid", "size", "place", "label", "upper", "own")
+    return spread.withColumn("home", F.col("part") == F.col("own")).drop("own")
+
+
+def _tile_pairs(tiles: DataFrame, marks: DataFrame, forest: bool) -> DataFrame:
+    """Distinct pairs of different components that the fine bitmaps let through, or a spanning forest of them per tile."""
 
     def tile(rows: pd.DataFrame) -> pd.DataFrame:
         a, b = _through(rows, forest)
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    marked = met.join(marks, "cid").groupBy("token", "band", "low", "high").applyInPandas(tile, "a bigint, b bigint")
-    return marked.distinct()
+    return tiles.join(marks, "cid").groupBy(*_TILE).applyInPandas(tile, "a bigint, b bigint").distinct()
 
 
 def _through(rows: pd.DataFrame, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one tile whose bitmaps do not rule them out; a tile of two parts compares across them."""
+    """Pairs of one tile in different components whose bitmaps do not rule them out."""
     # Rows of the most frequent label come last: between them there is nothing to find.
     labels, at, counts = np.unique(rows["label"].to_numpy(), return_inverse=True, return_counts=True)
     last = at == counts.argmax()
     order = np.argsort(last, kind="stable")
-    firsts = len(rows) if forest else int((~last).sum())
-    rows = rows.iloc[order]
+    firsts = int((~last).sum())
+    rows, label = rows.iloc[order], at[order]
     cid, size = rows["cid"].to_numpy(), rows["size"].to_numpy(np.int64)
     ahead = size - rows["place"].to_numpy(np.int64)
-    label, upper, part = at[order], rows["upper"].to_numpy(), rows["part"].to_numpy()
-    across = rows["low"].iloc[0] != rows["high"].iloc[0]
+    upper, home = rows["upper"].to_numpy(), rows["home"].to_numpy()
     raw = [np.frombuffer(x, np.uint64) for x in rows["fine"]]
     width = min(map(len, raw))
     marks = np.stack([fold(x, width) for x in raw])
     found_a, found_b = [cid[:0]], [cid[:0]]
-    root = np.arange(len(cid))
+    root = np.arange(len(labels))
     step = max(1, 4_000_000 // max(1, len(cid) * width))
     for low in range(0, firsts, step):
         i = np.arange(low, min(low + step, firsts))
         later = np.arange(low + 1, len(cid))
         # Each pair once: the second is a later row, and not both are from the band above.
         open_ = (i[:, None] < later[None, :]) & ~(upper[i][:, None] & upper[later][None, :])
-        open_ &= label[i][:, None] != label[later][None, :]
+        open_ &= (label[i][:, None] != label[later][None, :]) & (home[i][:, None] | home[later][None, :])
         open_ &= linked(np.minimum(ahead[i][:, None], ahead[later][None, :]), size[i][:, None], size[later][None, :])
-        if across:
-            open_ &= part[i][:, None] != part[later][None, :]
         x, y = np.nonzero(open_)
         x, y = i[x], later[y]
         differ = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
         through = linked((size[x] + size[y] - differ) // 2, size[x], size[y])
         x, y = x[through], y[through]
         if forest:
-            kept = _grow(root, x, y)
+            # Pairs that differ least are the likeliest links.
+            likely = np.argsort(differ[through], kind="stable")
+            x, y = x[likely], y[likely]
+            kept = _grow(root, label[x], label[y])
             x, y = x[kept], y[kept]
         found_a.append(cid[x])
         found_b.append(cid[y])
@@ -435,8 +468,8 @@ def _grow(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[int]:
     return kept
 
 
-def _labelled(rows: DataFrame, n: int) -> DataFrame:
-    """``(key, size, first_id, label)`` for every class of ``rows (id, key, text)``."""
+def _labelled(own: Scope, rows: DataFrame, n: int) -> DataFrame:
+    """``(key, size, first_id, label)`` for every class of ``rows (id, key, text)``; nothing else stays written."""
     context = rows.sparkSession.sparkContext
     classes, hints, firsts = _classes(rows, n)
     postings = cut(_postings(classes, n, context.broadcast(_frequent(hints))), "postings")
@@ -444,22 +477,38 @@ def _labelled(rows: DataFrame, n: int) -> DataFrame:
     shared = cut(shared, "shared")
     kept = _sifted(postings, F.col("token"), shared.select(F.col("token").alias("value"))).filter("maybe")
     met = cut(kept.drop("maybe").join(shared, "token"), "met")
-    labels = components(_all_links(met, classes, n))
-    known = classes.select("key", "cid", "size").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    known = known.join(firsts.select("key", "first_id"), "key")
-    return cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
+    own.drop(postings, shared)
+    labels = _components(own, _all_links(own, met, classes, n))
+    slim = cut(classes.select("key", "cid", "size"), "slim")
+    own.drop(classes, met)
+    known = slim.join(labels.withColumnRenamed("node", "cid"), "cid", "left").join(firsts.select("key", "first_id"), "key")
+    known = cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
+    own.drop(slim, labels, firsts)
+    return known
+
 
+def _components(own: Scope, links: DataFrame) -> DataFrame:
+    """Labels of the nodes of ``links``, written once; the tables on the way to them go."""
+    with scratch(own.spark) as inner:
+        return inner.result(cut(components(links), "labels"))
 
-def _all_links(met: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+
+def _all_links(own: Scope, met: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Proven links that connect whatever is similar."""
-    large = met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size", "place")
-    links = _small_pairs(met)
+    links = _prove(own, _small_pairs(met), classes, n)
+    large = cut(met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size", "place"), "large")
     if large.isEmpty():
-        return _prove(links, classes, n)
+        return links
     marks = _fine_marks(classes, large.select("cid").distinct(), n)
-    links = _prove(links.unionByName(_tile_pairs(large, marks, None)).distinct(), classes, n)
-    labels = cut(components(links), "labels")
-    return links.unionByName(_prove(_tile_pairs(large, marks, labels), classes, n))
+    for number in range(FOREST_ROUNDS):
+        labels = _components(own, links)
+        tiles = _forest_tiles(_labelled_groups(large, labels), number)
+        links = links.unionByName(_prove(own, _tile_pairs(tiles, marks, forest=True), classes, n))
+    labels = _components(own, links)
+    tiles = _all_tiles(_labelled_groups(large, labels))
+    links = links.unionByName(_prove(own, _tile_pairs(tiles, marks, forest=False), classes, n))
+    own.drop(large, marks)
+    return links
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -476,13 +525,16 @@ def similarity_components(
 ) -> DataFrame:
     """``(id, n_shingles, component_id)`` per row of ``docs``."""
     rows = _keyed(docs, id_col, text_col)
-    known = _labelled(rows, n)
-    least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = cut(known.join(least, "label").select("key", "size", "component_id"), "found")
-    return rows.select("id", "key").join(found, "key").select(
-        "id", F.col("size").cast("bigint").alias("n_shingles"),
-        F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    with scratch(docs.sparkSession) as own:
+        known = _labelled(own, rows, n)
+        least = known.groupBy("label").agg(F.min("first_id").alias("component_id"))
+        found = cut(known.join(least, "label").select("key", "size", "component_id"), "found")
+        return own.result(
+            rows.select("id", "key").join(found, "key").select(
+                "id", F.col("size").cast("bigint").alias("n_shingles"),
+                F.when(F.col("size") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+            )
+        )
 
 
 def without_near_duplicates(
@@ -492,8 +544,13 @@ def without_near_duplicates(
 
     Rows without words stay. Only rows that may have to go are shuffled with their texts.
     """
+    with scratch(docs.sparkSession) as own:
+        return own.result(_one_of_each(own, docs, id_col, text_col, n))
+
+
+def _one_of_each(own: Scope, docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     rows = _keyed(docs, id_col, text_col)
-    known = _labelled(rows, n).filter("size > 0")
+    known = _labelled(own, rows, n).filter("size > 0")
     best = known.groupBy("label").agg(
         F.min(F.struct(F.col("first_id").isNull().alias("unknown"), "first_id", "key")).alias("best")
     )

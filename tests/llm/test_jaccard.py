@@ -1,10 +1,13 @@
+import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from cases import ROWS, documents, prose, tuples, words
 from rankflow.llm import jaccard
 from rankflow.llm.components import components
+from rankflow.session import shared_dir
 
 
 def brute(rows, n=5):
@@ -56,6 +59,26 @@ def test_components_equal_brute_force(spark, monkeypatch, tile):
     assert sorted(got, key=str) == sorted(brute(rows), key=str)
 
 
+def test_a_large_family_of_which_some_pairs_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 128)
+    own = random.Random(8)
+    base = prose(77, 40, 10_000).split(" ")
+    rows = []
+    for i in range(2000):
+        text = list(base)
+        for _ in range(own.randrange(7)):
+            text[own.randrange(len(text))] = f"n{own.randrange(10**6)}"
+        rows.append((i, " ".join(text), None, None, None))
+    folder = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    result = jaccard.similarity_components(documents(spark, rows))
+    assert len([x for x in set(os.listdir(folder)) - before if x.startswith("rankflow-")]) == 1
+    want = brute(rows)
+    assert sorted(tuples(result, "id", "n_shingles", "component_id")) == sorted(want)
+    sizes = Counter(component for *_, component in want)
+    assert max(sizes.values()) > 300 and len(sizes) > 1000
+
+
 def test_empty_table(spark):
     assert jaccard.similarity_components(documents(spark).filter("false")).count() == 0
 
