@@ -4,11 +4,14 @@ A source's target is its share by weight, at most ``max_repeats`` times its size
 off is shared again by weight. Each source then takes as many whole rounds of all its documents as
 fit, and the rest of its target is a subset sum: documents are counted by exact length, every
 length gives its proportional number, and a bounded-knapsack dynamic program over the lengths
-left fits what remains. Which documents of a length go in is decided by a seeded hash.
-
-Defined results: a null, empty or blank text has size 0 and is never taken. A null source is a source of its own,
-last in the order. Rows with the same id are separate documents; where id and text agree too,
-any of them may be the ones taken, and the result is the same. An empty table gives no rows, and a source
+left fits what remains, so a source misses its target by less than its shortest document that could be
+taken once more. Which documents of a length go in is decided by a seeded hash: those below a threshold per source and
+length, which joins the texts where they lie, by broadcast or not as its measured size allows.
+
+Defined results: a null, empty or blank text has size 0 and is never taken. A very long text counts whole. A null source
+is a source of its own, last in the order. Rows with the same id are separate documents; where id and text agree too,
+any of them may be the ones taken, and the result is the same; only if they tie at the threshold are they numbered,
+over many tasks however often one row is repeated. An empty table gives no rows, and a source
 without words has target 0. Further columns are ignored.
 """
 
@@ -18,18 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import picked, word_count
 from rankflow.operators.ordering import global_index, running_totals
-from rankflow.session import cut
+from rankflow.session import Scope, cut, scratch
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
-# Words that the dynamic program fits exactly, and the lengths it may use for it.
+# Above so many words left, the longest documents that leave as many go in before the dynamic program begins.
 FIT_WORDS = 8192
-FIT_LENGTHS = 256
 HASH_BUCKETS = 4096
 
 
@@ -67,8 +69,9 @@ def source_targets(
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length to take so that their words come close to ``budget``.
 
-    Proportional numbers first; then the largest lengths that still fit, until no more than ``FIT_WORDS``
-    are left; those are fitted exactly, as far as the lengths allow, by dynamic programming.
+    Proportional numbers first; then the largest lengths that leave at least ``FIT_WORDS``; what is left then is
+    fitted as closely as any choice of the documents left can, by dynamic programming. If it is more than twice
+    ``FIT_WORDS``, every document left is longer than half of it, and the longest that fits is the answer.
     """
     take = np.zeros(len(lengths), dtype=np.int64)
     # Texts without words fill no budget.
@@ -95,13 +98,13 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
 def bounded_knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """The numbers per length, within ``counts``, whose sum is the largest up to ``budget``.
 
-    Sums that can be reached are bits of one integer per item; an item is a power of two of one length. Up
-    to ``FIT_LENGTHS`` lengths take part, spread over all that fit.
+    Sums that can be reached are bits of one integer per item; an item is a power of two of one length.
     """
     take = np.zeros(len(lengths), dtype=np.int64)
     usable = np.flatnonzero((lengths > 0) & (lengths <= budget) & (counts > 0))
-    if len(usable) > FIT_LENGTHS:
-        usable = usable[np.unique(np.linspace(0, len(usable) - 1, FIT_LENGTHS).astype(int))]
+    if len(usable) and 2 * int(lengths[usable].min()) > budget:
+        take[usable[lengths[usable].argmax()]] = 1
+        return take
     items, reached, mask = [], [1], (1 << (budget + 1)) - 1
     for i in usable:
         left, part = min(int(counts[i]), budget // int(lengths[i])), 1
@@ -131,18 +134,48 @@ def mix(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 0,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """``(id, key, size, source, source_size, target, copies)`` per document; ``copies`` is 0 to ``max_repeats``.
+    """``(id, key, size, source, source_size, target, copies)`` per document; ``copies`` is 0 to ``max_repeats``."""
+    named = picked(docs, id=id_col, text=text_col, source=source_col)
+    with scratch(docs.sparkSession) as own:
+        rows = cut(named.select("id", *_keyed(seed)), "sizes")
+        targets, thresholds = _thresholds(own, rows, weights, max_repeats)
+        back = targets.withColumnRenamed("source", "of")
+        chosen = _copies(rows, thresholds).join(back, F.col("source").eqNullSafe(F.col("of")))
+        result = chosen.select("id", "key", "size", "source", "source_size", "target", "copies")
+        return own.result(cut(result, "mixed"))
 
-    ``key`` is the seeded hash of id and text.
 
-    One task sees the distinct document lengths of one source, never its documents.
-    """
+def mixed_documents(
+    docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
+) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has copies. Texts are not shuffled for it."""
     named = picked(docs, id=id_col, text=text_col, source=source_col)
-    sized = named.select(
-        "id", "source", word_count(F.col("text")).alias("size"),
-        F.xxhash64(F.lit(seed), "id", "text").alias("key"),
-    )
-    rows = cut(sized, "sizes")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(
+        row, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{source_col}`").alias("source")
+    ).select("row", *_keyed(seed))
+    with scratch(docs.sparkSession) as own:
+        slim = cut(named.select("id", *_keyed(seed)), "sizes")
+        _, thresholds = _thresholds(own, slim, weights, max_repeats)
+        counted = _copies(whole, thresholds)
+        taken = counted.filter("copies > 0").withColumn("one", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        return own.result(taken.select("row.*"))
+
+
+def _keyed(seed: int) -> list[str | Column]:
+    """Columns ``source``, ``size``, and ``key``, the seeded hash of id and text."""
+    key = F.xxhash64(F.lit(seed), "id", "text").alias("key")
+    return ["source", word_count(F.col("text")).alias("size"), key]
+
+
+def _thresholds(own: Scope, rows: DataFrame, weights: tuple[float, ...], max_repeats: int) -> tuple[DataFrame, DataFrame]:
+    """``(source, source_size, target)``, and per source and length what its documents are measured by.
+
+    Keys are ordered by their bucket, then by value. ``bucket`` and ``limit`` are those of the last key that is
+    taken once more, which ``alike`` rows have, of which ``room`` are taken. One task sees the distinct document
+    lengths of one source, never its documents.
+    """
     lengths = cut(rows.groupBy("source", "size").agg(F.count("*").alias("docs")), "lengths")
     sources = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("docs")).alias("source_size"))
     targets = cut(source_targets(sources, weights, max_repeats), "targets")
@@ -152,73 +185,66 @@ def mix(
         F.col("source").alias("of"), rounds.alias("rounds"),
         F.greatest(F.round(F.col("target") - rounds * F.col("source_size")), F.lit(0)).cast("bigint").alias("budget"),
     )
-    fitted = (
+    fitted = cut(
         lengths.join(budgets, F.col("source").eqNullSafe(F.col("of")))
         .select("source", "size", "docs", "rounds", "budget")
         .groupBy("source")
-        .applyInPandas(_fit, "source string, size bigint, docs bigint, rounds int, take bigint")
+        .applyInPandas(_fit, "source string, size bigint, docs bigint, rounds int, take bigint"),
+        "fitted",
     )
-    chosen = _choose(rows, cut(fitted, "fitted"))
-    back = targets.withColumnRenamed("source", "of")
-    return chosen.join(back, F.col("source").eqNullSafe(F.col("of"))).select(
-        "id", "key", "size", "source", "source_size", "target", "copies"
+    limits = fitted.select(*[F.col(c).alias(f"f_{c}") for c in _GROUP], "rounds", "take")
+    same = _alike("f_")
+    counts = rows.groupBy(*_GROUP, _bucket().alias("bucket")).agg(F.count("*").alias("docs"))
+    before = Window.partitionBy(*_GROUP).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    border = counts.withColumn("before", F.coalesce(F.sum("docs").over(before), F.lit(0))).join(limits, same)
+    border = border.filter("before < take AND take <= before + docs").select(
+        *[F.col(c).alias(f"b_{c}") for c in _GROUP], F.col("bucket").alias("b_bucket"), (F.col("take") - F.col("before")).alias("left")
     )
-
-
-def mixed_documents(
-    docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    **settings,
-) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it has copies."""
-    mixed = mix(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
-    same = ["m_id", "m_key", "m_source"]
-    totals = mixed.groupBy(*[F.col(c[2:]).alias(c) for c in same]).agg(
-        F.sum("copies").alias("total"), F.count("*").alias("rows")
+    # Only keys of the one bucket at the border are ranked, however many documents of the same length a source has.
+    inside = rows.withColumn("bucket", _bucket()).join(border, [*_alike("b_"), F.col("bucket") == F.col("b_bucket")])
+    keys = inside.groupBy(*_GROUP, "bucket", "key", "left").agg(F.count("*").alias("alike"))
+    ordered = Window.partitionBy(*_GROUP).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    last = keys.withColumn("before", F.coalesce(F.sum("alike").over(ordered), F.lit(0))).filter(
+        "before < left AND left <= before + alike"
     )
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
-        F.xxhash64(F.lit(seed), f"`{id_col}`", f"`{text_col}`").alias("key"), F.col(f"`{source_col}`").alias("source"),
+    last = last.select(
+        *[F.col(c).alias(f"l_{c}") for c in _GROUP], "bucket", F.col("key").alias("limit"), "alike",
+        (F.col("left") - F.col("before")).alias("room"),
     )
-    met = keyed.join(totals, [F.col(c[2:]).eqNullSafe(F.col(c)) for c in same])
-    # Rows that repeat each other share their copies.
-    alike = met.filter("rows > 1").withColumn(
-        "place", F.row_number().over(Window.partitionBy("id", "key", "source").orderBy("key"))
+    found = fitted.join(last, _alike("l_"), "left").select(
+        *[F.col(c).alias(f"t_{c}") for c in _GROUP], "rounds",
+        F.coalesce("bucket", F.lit(-1)).alias("bucket"), "limit", "alike", "room",
     )
-    shared = F.floor(F.col("total") / F.col("rows")) + (F.col("place") <= F.col("total") % F.col("rows")).cast("int")
-    single = met.filter("rows = 1").select("row", F.col("total").cast("int").alias("copies"))
-    counted = single.unionByName(alike.select("row", shared.cast("int").alias("copies")))
-    taken = counted.filter("copies > 0").withColumn("one", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select("row.*")
+    return targets, cut(found, "thresholds")
 
 
-def _choose(rows: DataFrame, fitted: DataFrame) -> DataFrame:
-    """Whole rounds for all with words, and one more copy for the first ``take`` of each length by hash.
+_GROUP = ["source", "size"]
 
-    Hash buckets are counted per length, so that only documents of the one bucket at the border are
-    ranked, however many documents of the same length a source has.
-    """
-    group = ["source", "size"]
-    bucket = F.pmod("key", F.lit(HASH_BUCKETS))
-    bucketed = rows.withColumn("bucket", bucket)
-    counts = bucketed.groupBy(*group, "bucket").agg(F.count("*").alias("docs"))
-    before = Window.partitionBy(*group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    limits = fitted.select(*[F.col(c).alias(f"f_{c}") for c in group], "rounds", "take")
-    same = [F.col(c).eqNullSafe(F.col(f"f_{c}")) for c in group]
-    room = (
-        counts.withColumn("before", F.coalesce(F.sum("docs").over(before), F.lit(0)))
-        .join(limits, same)
-        .select(
-            *[F.col(c).alias(f"r_{c}") for c in (*group, "bucket")], "rounds",
-            F.greatest(F.least(F.col("take") - F.col("before"), F.col("docs")), F.lit(0)).alias("room"), "docs",
-        )
-    )
-    matched = bucketed.join(room, [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in (*group, "bucket")])
-    matched = matched.select("id", *group, "bucket", "key", "rounds", "room", "docs")
-    inside = (F.col("room") == 0) | (F.col("room") == F.col("docs"))
-    sure = matched.filter(inside).withColumn("more", (F.col("room") > 0).cast("int"))
-    order = Window.partitionBy(*group, "bucket").orderBy("key", "id")
-    border = matched.filter(~inside).withColumn(
-        "more", (F.row_number().over(order) <= F.col("room")).cast("int")
+
+def _bucket() -> Column:
+    return F.pmod("key", F.lit(HASH_BUCKETS))
+
+
+def _alike(prefix: str) -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in _GROUP]
+
+
+def _copies(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """``rows (source, size, key, ..)`` with ``copies``: whole rounds for all with words, and one more up to the threshold."""
+    named = rows.columns
+    own = _bucket()
+    met = rows.join(thresholds, _alike("t_"))
+    at_limit = (own == F.col("bucket")) & (F.col("key") == F.col("limit"))
+    below = (own < F.col("bucket")) | ((own == F.col("bucket")) & (F.col("key") <= F.col("limit")))
+    doubtful = F.coalesce(at_limit & (F.col("room") < F.col("alike")), F.lit(False))
+    sure = met.filter(~doubtful).withColumn("more", F.coalesce(below, F.lit(False)).cast("int"))
+    # Rows that share the last key are numbered, by where they lie in a written table.
+    ties = cut(met.filter(doubtful), "ties").withColumn("_tie", F.monotonically_increasing_id())
+    numbered = global_index(ties.select("key", "_tie", *_GROUP), [*_GROUP, "key", "_tie"], "_position")
+    starts = numbered.groupBy(*_GROUP).agg(F.min("_position").alias("_start")).select(
+        *[F.col(c).alias(f"n_{c}") for c in _GROUP], "_start"
     )
-    copies = F.when(F.col("size") > 0, F.col("rounds") + F.col("more")).otherwise(0)
-    return sure.unionByName(border).select("id", "key", *group, copies.alias("copies"))
+    places = numbered.join(starts, _alike("n_")).select("_tie", (F.col("_position") - F.col("_start")).alias("_place"))
+    tied = ties.join(places, "_tie").withColumn("more", (F.col("_place") < F.col("room")).cast("int"))
+    copies = F.when(F.col("size") > 0, F.col("rounds") + F.col("more")).otherwise(0).alias("copies")
+    return sure.select(*named, copies).unionByName(tied.select(*named, copies))

@@ -1,11 +1,15 @@
 import itertools
+import os
 from collections import defaultdict
 
 import numpy as np
-from cases import ROWS, documents, tuples, words
+from cases import ROWS, SCHEMA, documents, tuples, words
+from compare import operators
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from rankflow.llm import mixing
+from rankflow.session import shared_dir
 
 FIELDS = ("id", "size", "source", "source_size", "target", "copies")
 
@@ -73,6 +77,50 @@ def test_hot_length_is_split_by_hash(spark):
     assert all(abs(taken[s] - want[s]) < 3 for s in want)
 
 
+def test_all_lengths_take_part():
+    lengths = np.array([*range(2, 4002, 2), 3001])
+    counts = np.ones(len(lengths), dtype=np.int64)
+    take = mixing.fit_lengths(lengths, counts, 7001)
+    assert (take <= counts).all() and int((take * lengths).sum()) == 7001
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 60_000), st.integers(1, 9), min_size=1, max_size=8), st.integers(0, 400_000))
+def test_the_miss_is_smaller_than_any_document_left(counts, budget):
+    lengths, numbers = np.array(list(counts)), np.array(list(counts.values()))
+    take = mixing.fit_lengths(lengths, numbers, budget)
+    missed = budget - int((take * lengths).sum())
+    assert (take >= 0).all() and (take <= numbers).all() and missed >= 0
+    assert all(length > missed for length in lengths[take < numbers])
+
+
+def test_one_row_repeated_very_often(spark):
+    rows = [(1, "one two three", "en", "a", 5)] * 100_000 + [(2 + i, "x y", "en", "b", 1) for i in range(500)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    mixed = mixing.mix(docs)
+    got = {(r["id"], r["copies"]): r["n"] for r in mixed.groupBy("id", "copies").agg(F.count("*").alias("n")).collect()}
+    words = 3 * 100_000 + 2 * 500
+    taken = 3 * sum(copies * n for (i, copies), n in got.items() if i == 1)
+    # Source b is at its cap of three times its 1,000 words; a gets the rest.
+    assert abs(taken - (words - 3000)) < 3 and {c for i, c in got if i != 1} == {3}
+    assert mixing.mixed_documents(docs).filter("doc_id = 1").count() * 3 == taken
+
+
+def test_texts_are_not_shuffled_and_only_small_tables_stay(spark):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 40)), None, f"s{min(i % 11, 4)}", None) for i in range(1500)]
+    folder = shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    docs = documents(spark, rows)
+    result = mixing.mixed_documents(docs)
+    lines = operators(result)
+    # The way from the result down to the first table read, that of the texts: the fixture's own repartitioning is all.
+    way = lines[: next(i for i, line in enumerate(lines) if "Scan" in line)]
+    assert not any("hashpartitioning" in line or "SortMergeJoin" in line for line in way)
+    assert any("BroadcastHashJoin" in line for line in way)
+    left = [x for x in set(os.listdir(folder)) - before if x.startswith("rankflow-")]
+    assert len(left) <= 3
+
+
 def test_texts_without_words_are_never_taken(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 7)), None, "a" if i % 2 else "b", None) for i in range(60)]
     blank = [(100 + i, text, None, source, None) for i, (text, source) in enumerate(
