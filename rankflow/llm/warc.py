@@ -2,17 +2,21 @@
 
 ``spark.read.format("warc")`` plans partitions from a listing of the files, packing small ones
 together. Predicates on the record type and on other header columns are pushed into the
-reader, which parses a record's headers first and passes over the payload of a record that is
-not wanted. Archives are one gzip member per record; the member's ``sl`` extra field states its length
+reader (inside :func:`pushdown`, as Spark asks for a setting), which parses a record's headers first and passes over the
+payload of a record that is not wanted. Archives are one gzip member per record; the member's ``sl`` extra field states its length
 (the skip-length convention of record-wise compressed archives), so an unwanted record costs one seek after
 its headers. Members without the field are inflated piece by piece and dropped.
 
 Options: ``path`` (a file or folder, with any scheme that pyarrow's file systems know),
-``payload`` (``false`` leaves payloads undecoded) and ``targetBytes`` (bytes of files per partition).
+``payload`` (``false`` leaves payloads undecoded), ``pushdown`` (``true`` takes predicates) and ``targetBytes`` (bytes of
+files per partition).
 
 Defined results: a missing header is null. A payload is what follows the HTTP headers of an
 ``application/http`` block, or else the whole block; a revisit has none. An archive without
-records gives no rows. Writing into a folder adds files; a failed write leaves none behind.
+records gives no rows. Writing into a folder adds files; a failed write leaves none behind. A damaged archive raises an error
+that names the file and the place: bytes that begin no record (line breaks at a file's end aside), a file that ends within a
+record, a block shorter than its stated length, a gzip member that fails its checksum. The payload of a record that is
+passed over by its stated length is not looked at.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ from pyspark.sql.datasource import (
 )
 
 from rankflow.llm.common import picked
-from rankflow.session import scratch_path
+from rankflow.session import cut, scratch, scratch_path, session_settings
 
 # Names and texts of the archive format.
 VERSION = b"WARC/1.1"
@@ -111,44 +115,55 @@ def gzip_member(record: bytes) -> bytes:
     return head + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
 
+class DamagedArchive(ValueError):
+    """Bytes that are no record where one is due."""
+
+
 class Member:
     """Reads one gzip member, or one record of an uncompressed file, from ``start``."""
 
-    def __init__(self, stream, start: int):
-        self.stream, self.start, self.length = stream, start, None
+    def __init__(self, stream, start: int, end: int):
+        self.stream, self.start, self.end, self.length = stream, start, end, None
         stream.seek(start)
         head = stream.read(12)
-        self.ended = not head
         self.packed = head.startswith(GZIP_MAGIC)
-        if self.packed and head[3] & EXTRA_FLAG:
+        if self.packed and len(head) == 12 and head[3] & EXTRA_FLAG:
             extra = stream.read(struct.unpack("<H", head[10:12])[0])
             if extra[:2] == b"sl" and len(extra) == 20:
                 self.length = struct.unpack("<Q", extra[4:12])[0]
         stream.seek(start)
         self.unpacker = zlib.decompressobj(zlib.MAX_WBITS | 16) if self.packed else None
-        self.held, self.taken, self.done = b"", 0, False
+        # What is inflated and not yet read, how much of the file it took, and how much of the record was seen.
+        self.held, self.taken, self.seen, self.done = b"", 0, 0, False
+
+    def _damaged(self, what: str) -> DamagedArchive:
+        return DamagedArchive(f"at byte {self.start}: {what}")
 
-    def _more(self) -> bool:
+    def _more(self) -> None:
         raw = self.stream.read(CHUNK)
-        if not raw:
-            self.done = True
-            return False
         if self.unpacker is None:
+            self.done = not raw
             self.taken += len(raw)
             self.held += raw
-            return True
-        self.held += self.unpacker.decompress(raw)
+            return
+        if not raw:
+            raise self._damaged("the file ends within a gzip member")
+        try:
+            self.held += self.unpacker.decompress(raw)
+        except zlib.error as error:
+            raise self._damaged(str(error)) from error
         self.taken += len(raw) - len(self.unpacker.unused_data)
         self.done = self.unpacker.eof
-        return True
 
-    def headers(self) -> dict[str, str] | None:
+    def headers(self) -> dict[str, str]:
         """The headers by lower-case name."""
         while b"\r\n\r\n" not in self.held and not self.done:
+            if len(self.held) >= 5 and not self.held.startswith(b"WARC/"):
+                break
             self._more()
         head, found, self.held = self.held.partition(b"\r\n\r\n")
         if not found or not head.startswith(b"WARC/"):
-            return None
+            raise self._damaged("no record begins here")
         self.head_size = len(head) + 4
         fields = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
         return {name.strip().lower(): value.strip() for name, _, value in fields}
@@ -162,18 +177,24 @@ class Member:
             parts.append(self.held)
             have += len(self.held)
         self.held = b"".join(parts)
+        if have < size:
+            raise self._damaged(f"a block of {size} bytes ends after {have}")
         return self.held[:size]
 
-    def next_start(self, size: int) -> int:
-        """Where the next record starts, passing over what was not read."""
-        if self.length is not None:
-            return self.start + self.length
+    def next_start(self, size: int, whole: bool) -> int:
+        """Where the next record starts, passing over what was not read; a record read ``whole`` is checked to its end."""
         if self.unpacker is None:
-            return self.start + self.head_size + size + 4
-        while not self.done:
-            self.held = b""
-            self._more()
-        return self.start + self.taken
+            after = self.start + self.head_size + size + 4
+        elif self.length is not None and not whole:
+            after = self.start + self.length
+        else:
+            while not self.done:
+                self.held = b""
+                self._more()
+            after = self.start + self.taken
+        if after > self.end:
+            raise self._damaged("the file ends within a record")
+        return after
 
 
 def http_parts(block: bytes) -> tuple[int | None, bytes]:
@@ -188,17 +209,22 @@ def http_parts(block: bytes) -> tuple[int | None, bytes]:
 
 def read_records(stream, wanted=lambda row: True, payload: bool = True) -> Iterator[tuple]:
     """Rows of :data:`SCHEMA`. ``wanted`` sees the header columns before any payload is decoded."""
-    start = 0
-    while True:
-        member = Member(stream, start)
-        headers = None if member.ended else member.headers()
-        if headers is None:
-            return
-        size = int(headers.get("content-length", 0))
+    start, end = 0, stream.seek(0, 2)
+    while start < end:
+        stream.seek(start)
+        if not stream.read(16).strip(b"\r\n") and end - start <= 16:
+            return  # line breaks at the end
+        member = Member(stream, start, end)
+        headers = member.headers()
+        size = headers.get("content-length", "")
+        if not size.isdigit():
+            raise DamagedArchive(f"at byte {start}: a record states no length")
+        size = int(size)
         row = {name: headers.get(header.lower()) for name, header in HEADERS.items()}
         if row["payload_digest"]:
             row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
-        if wanted(row):
+        read = wanted(row)
+        if read:
             http = (row["content_type"] or "").startswith("application/http")
             length, body = None, None
             if payload or not http:
@@ -215,7 +241,7 @@ def read_records(stream, wanted=lambda row: True, payload: bool = True) -> Itera
             if row["record_type"] == "revisit" or not payload:
                 body = None
             yield (*row.values(), size, length, body)
-        start = member.next_start(size)
+        start = member.next_start(size, whole=read and payload)
 
 
 # --- the data source -------------------------------------------------------------------------
@@ -238,22 +264,14 @@ def _filesystem(path: str):
 
 
 class WarcReader(DataSourceReader):
+    """Reads whole files; tests on header columns are those that :class:`FilteringReader` takes over."""
+
     def __init__(self, options):
         self.path = options["path"]
         self.payload = options.get("payload", "true").lower() != "false"
         self.target = int(options.get("targetbytes", options.get("targetBytes", TARGET_BYTES)))
         self.tests: list[tuple[str, str, object]] = []
 
-    def pushFilters(self, filters):
-        """Takes over equality, membership, prefix and not-null tests on header columns."""
-        kinds = {EqualTo: "eq", In: "in", StringStartsWith: "prefix", IsNotNull: "set"}
-        for test in filters:
-            kind = kinds.get(type(test))
-            if kind and len(test.attribute) == 1 and test.attribute[0] in HEADERS:
-                self.tests.append((test.attribute[0], kind, getattr(test, "value", None)))
-            else:
-                yield test
-
     def wanted(self, row: dict) -> bool:
         for name, kind, value in self.tests:
             have = row[name]
@@ -287,7 +305,24 @@ class WarcReader(DataSourceReader):
         files, _ = _filesystem(self.path)
         for path in partition.paths:
             with files.open_input_file(path) as stream:
-                yield from read_records(stream, self.wanted, self.payload)
+                try:
+                    yield from read_records(stream, self.wanted, self.payload)
+                except DamagedArchive as error:
+                    raise DamagedArchive(f"{path}: {error}") from error
+
+
+class FilteringReader(WarcReader):
+    """The same with predicates pushed down, which Spark allows only while its setting is on."""
+
+    def pushFilters(self, filters):
+        """Takes over equality, membership, prefix and not-null tests on header columns."""
+        kinds = {EqualTo: "eq", In: "in", StringStartsWith: "prefix", IsNotNull: "set"}
+        for test in filters:
+            kind = kinds.get(type(test))
+            if kind and len(test.attribute) == 1 and test.attribute[0] in HEADERS:
+                self.tests.append((test.attribute[0], kind, getattr(test, "value", None)))
+            else:
+                yield test
 
 
 class WarcWriter(DataSourceWriter):
@@ -339,7 +374,8 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return WarcReader(self.options)
+        filtering = self.options.get("pushdown", "false").lower() == "true"
+        return FilteringReader(self.options) if filtering else WarcReader(self.options)
 
     def writer(self, schema, overwrite):
         return WarcWriter(self.options)
@@ -347,7 +383,14 @@ class WarcDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
+
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def pushdown(spark: SparkSession):
+    """A context in which predicates on header columns reach the reader. What is read in it has to be used in it."""
+    return session_settings(spark, {PUSHDOWN: "true"})
 
 
 # --- pages to archives -----------------------------------------------------------------------
@@ -415,7 +458,8 @@ def write_archives(records: DataFrame, path: str) -> None:
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True, **options) -> DataFrame:
     register(spark)
-    reader = spark.read.format("warc").option("path", path).option("payload", str(payload).lower())
+    filtering = spark.conf.get(PUSHDOWN, "false")
+    reader = spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).option("pushdown", filtering)
     return reader.options(**options).load()
 
 
@@ -425,9 +469,32 @@ def page_of(record_id):
     return F.nullif(digits, F.lit("")).cast("bigint")
 
 
-def round_trip(pages: DataFrame, **columns) -> DataFrame:
-    """Writes the pages' archives below the shared folder and reads their headers back."""
+def round_trip(pages: DataFrame, **columns: str) -> DataFrame:
+    """Writes the pages' archives below the shared folder and reads them back, ``(record_id, record_type, payload_length,
+    payload_digest, refers_to)`` per record.
+
+    Responses are decoded, and their lengths and digests computed from the bytes that come back. Revisits are
+    read by their headers alone and take both from the response that they name, by its id and digest, as rows may share an id.
+    The archives are gone afterwards.
+    """
     spark = pages.sparkSession
-    path = scratch_path(spark, "archives")
-    write_archives(page_records(pages, **columns), path)
-    return read_archives(spark, path, payload=False)
+    with scratch(spark) as own, pushdown(spark):
+        path = scratch_path(spark, "archives")
+        write_archives(page_records(pages, **columns), path)
+        decoded = read_archives(spark, path).filter(F.col("record_type") == "response").select(
+            "record_id", F.octet_length("payload").cast("bigint").alias("payload_length"),
+            base32(F.unhex(F.sha1("payload"))).alias("payload_digest"),
+        )
+        responses = cut(decoded, "responses")
+        headers = read_archives(spark, path, payload=False).filter(F.col("record_type") == "revisit")
+        revisits = headers.select("record_id", "record_type", "payload_digest", "refers_to")
+        held = responses.distinct().select(
+            F.col("record_id").alias("r_id"), "payload_length", F.col("payload_digest").alias("r_digest")
+        )
+        met = revisits.join(
+            held, (F.col("refers_to") == F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")), "left"
+        ).select("record_id", "record_type", "payload_length", F.col("r_digest").alias("payload_digest"), "refers_to")
+        whole = responses.withColumns(
+            {"record_type": F.lit("response"), "refers_to": F.lit(None).cast("string")}
+        ).unionByName(met)
+        return own.result(cut(whole, "records"))
