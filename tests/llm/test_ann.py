@@ -80,5 +80,35 @@ def test_queries_read_all_lists_within_the_ratio_and_enough_of_them(spark, monke
     exact = {q: [i for _, i in found] for q, found in want.items()}
     assert answers(search_ratio=1e9) == exact
     # Lists of one vector each: a query's own list alone would give none.
-    monkeypatch.setattr(ann, "SHELVES", 4096, raising=False)
+    monkeypatch.setattr(ann, "SHELF_LISTS", 1)
     assert all(len(found) == 5 for found in answers(search_ratio=1.0).values())
+
+
+def test_queries_find_their_lists_through_the_graph():
+    rng = np.random.default_rng(5)
+    sample = ann._unit(rng.normal(size=(4000, 16)))
+    index = ann.build_index(sample, 400)
+    homes = np.bincount((sample @ index.centroids.T).argmax(axis=1), minlength=400)
+    asked = sample[:100]
+    rows, lists = ann.lists_to_read(index, asked, 1.1, homes, 6)
+    distance = np.sqrt(np.maximum(0, 2 - 2 * asked @ index.centroids.T))
+    wanted = distance <= distance.min(axis=1, keepdims=True) * 1.1
+    found = np.zeros_like(wanted)
+    found[rows, lists] = True
+    assert (found & wanted).sum() > 0.95 * wanted.sum() and found.sum() < 1.3 * wanted.sum() + 300
+    rows, lists = ann.lists_to_read(index, asked[:3], 1e9, homes, 6)
+    assert sorted(zip(rows.tolist(), lists.tolist())) == [(r, c) for r in range(3) for c in range(400)]
+
+
+def test_lists_that_outgrow_their_length_are_bisected(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MAX_LISTS", 4)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 8))
+    rows = [(i, [float(np.float32(x)) for x in centres[i % 60] + rng.normal(size=8) * 0.2]) for i in range(3000)]
+    got = tuples(ann.nearest(table(spark, rows), F.col("id") % 30 == 0, list_rows=32), "query_id", "id")
+    want = brute(rows, set(range(0, 3000, 30)))
+    hits = sum(len({i for q, i in got if q == query} & {i for _, i in answers}) for query, answers in want.items())
+    assert hits / (5 * len(want)) > 0.9 and len(got) == 5 * len(want)
+    x = ann._unit(np.array([v for _, v in rows]))
+    read = sum(len(a) * len(b) for a, b in ann._parts(x, x[:100], 32, 1.2, 6))
+    assert read < 0.4 * len(x) * 100
