@@ -1,6 +1,6 @@
 """Piece lattices over many short texts at once.
 
-A public vocabulary gives the pieces. For a block of texts, laid end to end as one array of code
+A public vocabulary gives the pieces; its file is expected at the same path on every machine. For a block of texts, laid end to end as one array of code
 points, the pieces that start at each position are found length by length: a rolling 64-bit
 hash of the window is looked up among the hashes of all pieces' prefixes. A character that is no
 piece gets an edge of its own, so every text has a segmentation.

@@ -36,8 +36,8 @@ SHARPNESS = 1.0
 RANK_OFFSET = 10.0
 BLOCK_CHARS = 300_000
 STRETCH = re.compile(f"{SPACE_SIGN}*[^{SPACE_SIGN}]+|{SPACE_SIGN}+")
-# A literal space sign in a text must stay apart from a space: this character is no piece.
-LITERAL_SIGN = "\U0010ffff"
+# A literal space sign in a text must stay apart from a space: a surrogate alone is no character of any text, and no piece.
+LITERAL_SIGN = "\ud800"
 
 
 def piece_weights(vocabulary: Vocabulary, sharpness: float = SHARPNESS) -> np.ndarray:

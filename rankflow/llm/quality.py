@@ -10,7 +10,8 @@ a seeded hash among those of at most ``SAMPLE_BYTES`` bytes. Scores use nothing
 
 Defined results: a null or empty text has difference 0 and the score that belongs to it. Rows without
 a label, with another label than 0 or 1, or with a null id are not learned from; copies of a label
-count once. If a class has no texts, every score is the other class's: 0.0 or 1.0, or 0.5 without any.
+count once. Of several texts with the same id, the one whose hash is the smallest is learned from, and all are scored. Very
+long texts are scored whole and not learned from. If a class has no texts, every score is the other class's: 0.0 or 1.0, or 0.5 without any.
 """
 
 from __future__ import annotations
@@ -109,8 +110,10 @@ def fit(
         part = part.orderBy("place", "key").limit(sample_docs)
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most two samples of rows with two numbers each: their size is bounded by a parameter.
-    sample = texts.join(F.broadcast(chosen), F.col("id") == F.col("key")).select("place", "key", "label", "text")
-    rows = sample.toPandas().drop_duplicates(["key", "label"]).sort_values(["place", "key"])
+    met = texts.join(F.broadcast(chosen), F.col("id") == F.col("key"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    sample = met.groupBy("place", "key", "label").agg(one)
+    rows = sample.toPandas().sort_values(["place", "key"])
     return fit_sample(rows[rows["label"] == 1]["text"].tolist(), rows[rows["label"] == 0]["text"].tolist())
 
 

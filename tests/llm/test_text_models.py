@@ -1,6 +1,10 @@
 """Quality, language and pieces."""
 
+import math
+
 import numpy as np
+import pytest
+import zstandard
 from cases import ROWS, documents, prose, tuples
 from pyspark.sql import functions as F
 from rankflow.llm import langid, pieces, quality
@@ -23,6 +27,41 @@ def test_quality_on_held_out_texts(spark):
     assert by_text[None] == by_text[""]
 
 
+def plain_score(model, text):
+    """The score by plain compression of the blocks, without the operator's own helpers."""
+    data, sizes = (text or "").encode(), []
+    for dictionary in (model.good, model.bad):
+        packer = zstandard.ZstdCompressor(
+            dict_data=zstandard.ZstdCompressionDict(dictionary), level=3, write_checksum=False
+        )
+        sizes.append(sum(len(packer.compress(data[i : i + 2048])) for i in range(0, len(data), 2048)))
+    x = 100 * (sizes[1] - sizes[0]) / len(data) if data else 0.0
+    return 1 / (1 + math.exp(-(model.slope * x + model.offset)))
+
+
+def test_scores_equal_plain_compression(spark):
+    good = [prose(i, 60, 3000) for i in range(80)]
+    bad = [" ".join(f"{w}$$$ |" for w in prose(1000 + i, 40, 3000).split(" ")) for i in range(80)]
+    rows = [(100 + i, text, None, None, None) for i, text in enumerate(good + bad)]
+    labels = spark.createDataFrame([(100 + i, int(i < 80)) for i in range(160)], "doc_id bigint, quality int")
+    docs = documents(spark, [*ROWS, *rows])
+    model = quality.fit(docs, labels)
+    got = tuples(quality.score(docs, model), "text", "score")
+    assert len(got) == len(ROWS) + 160
+    for text, score in got:
+        assert score == pytest.approx(plain_score(model, text), abs=1e-9)
+
+
+def test_one_defined_text_of_an_id_that_very_many_rows_share(spark):
+    texts = [prose(i, 20) for i in range(3000)]
+    rows = [(1, text, None, None, None) for text in texts] + [(i, prose(5000 + i, 30), None, None, None) for i in range(2, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id bigint, quality int")
+    model = quality.fit(documents(spark, rows), labels)
+    assert quality.fit(documents(spark, rows[::-1]).repartition(3), labels) == model
+    least = spark.createDataFrame([(t,) for t in texts], "t string").orderBy(F.xxhash64("t")).first()["t"]
+    assert quality.fit(documents(spark, [(1, least, None, None, None), *rows[3000:]]), labels) == model
+
+
 def test_quality_without_a_class(spark):
     labels = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
     model = quality.fit(documents(spark), labels)
@@ -84,6 +123,14 @@ def test_pieces_are_lossless_and_seeded(spark):
     assert pieces.encode(docs.filter("false")).count() == 0
 
 
+def test_every_code_point_survives(spark):
+    marks = ["a\U0010ffffb", "▁", " ▁ ▁▁  ", "\ud7ff\ue000\U00010000", "\x01\x7f", "<0x41><unk></s>", "\ufffd\ufffe\uffff"]
+    texts = [*marks, "".join(marks), *("x" + chr(c) + " y" for c in range(1, 0x3000, 7))]
+    rows = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    back = dict(tuples(pieces.decode(pieces.encode(documents(spark, rows))), "doc_id", "decoded"))
+    assert [back[i] for i in range(len(texts))] == texts
+
+
 def test_segmentations_follow_their_weights():
     sampler = pieces.Sampler(pieces.TOKENIZER_PATH, 0.5)
     drawn = [tuple(ids) for ids in sampler.encode_block(["the cat"] * 20_000, list(range(20_000)))]
