@@ -2,16 +2,19 @@
 
 Equal texts form a class, whose set stands for all copies. Sets that may be similar
 share one of their first elements in any common order (the prefix filter); the order is by hash,
-with frequent n-grams last, so a passage that many texts share brings few candidates. Groups of sets that share
-such an element are cut into tiles by size band, as similar sets lie in the same band or in two that adjoin, and by
+with frequent n-grams last, so a passage that many texts share brings few candidates. Small groups of sets that share
+such an element give their pairs. Large ones are put into bins, by the largest component that a group holds so far: the groups
+of one family of near copies hold the same component, so each set is in their bin once, however many elements it
+shares. Bins are cut into tiles by size band, as similar sets lie in the same band or in two that adjoin, and by
 number. In a tile, hashed bitmaps bound the overlap from above: bits that differ count elements that
 only one set has. What passes is compared exactly, as sorted arrays of 64-bit n-gram hashes.
 
-Links inside a component that is already known need no second proof, so large groups are joined in rounds. The first
-ones take some of the groups, deal each row of a group to one tile, and prove a spanning forest of what the bitmaps let
-through, so they give fewer pairs than they take rows. The last one takes all groups and proves every pair between
-different components that bitmaps let through. There, rows of a group's largest component are never compared with each other, so
-each of them goes to one tile, and only the others go to all tiles of the group. Nothing is capped: the first rounds, the
+Links inside a component that is already known need no second proof. Of the pairs of small groups each set's first one is proved,
+then those between different components. In large ones a first round deals each row of a bin to one tile and proves a spanning
+forest of what the bitmaps let through, so it gives fewer pairs than it takes rows, and goes on while bins have several
+tiles, dealt anew each time. The last round proves every pair between different components that bitmaps let through.
+There, rows of a bin's largest component are never compared with each other, so each of them goes to one tile, and
+only the others go to all tiles of the bin. Nothing is capped: forests, bins, the
 list of frequent n-grams and the sieves only save work, and results are the same without them.
 
 Tables are deleted as soon as nothing reads them; what stays is small: one row per class or per row that may have to go.
@@ -52,9 +55,8 @@ TILE = 4096
 SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 
-# Rounds that look for forests; each looks at one in so many groups, others than the rounds before.
+# Rounds that look for forests at most, as long as bins have several tiles.
 FOREST_ROUNDS = 3
-FOREST_GROUPS = 8
 FINE_BITS = 8
 
 _LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -265,8 +267,8 @@ def _only(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 # --- candidates and proofs ---------------------------------------------------------------------
 
 
-def _prove(own: Scope, pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """Those of the distinct ``pairs (a, b)`` that are similar: by coarse bitmaps first, then exactly."""
+def _bounded(own: Scope, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the distinct ``pairs (a, b)`` that the coarse bitmaps do not rule out."""
     pairs = cut(pairs, "pairs")
     marks = _only(
         classes.select("cid", "size", "coarse"), "cid",
@@ -291,8 +293,14 @@ def _prove(own: Scope, pairs: DataFrame, classes: DataFrame, n: int) -> DataFram
         marked.select("a", "b", "size_a", "size_b", "mark_a", "mark_b").mapInArrow(bound, "a bigint, b bigint"),
         "bounded",
     )
-    texts = _only(classes.select("cid", "text"), "cid", passed.select(F.explode(F.array("a", "b")).alias("cid")))
-    both = passed.join(
+    own.drop(pairs)
+    return passed
+
+
+def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """Those of the written ``pairs (a, b)`` that are similar."""
+    texts = _only(classes.select("cid", "text"), "cid", pairs.select(F.explode(F.array("a", "b")).alias("cid")))
+    both = pairs.join(
         texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a"
     ).join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -307,9 +315,14 @@ def _prove(own: Scope, pairs: DataFrame, classes: DataFrame, n: int) -> DataFram
                 keep[i] = linked(overlap, len(x), len(y))
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
-    links = cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
-    own.drop(pairs, passed)
-    return links
+    return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` whose ends are in different components."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
 
 
 def _early(size_a, place_a, size_b, place_b):
@@ -345,58 +358,55 @@ def _fine_marks(classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return cut(kept.select("cid", "text").mapInArrow(sign, "cid bigint, fine binary"), "fine")
 
 
-def _labelled_groups(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """``large`` with each row's component, without groups that lie in one."""
-    named = large.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+def _bins(own: Scope, large: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(bin, cid, size, label)``, distinct: a group's rows are in the bin of its largest component, unless it has but one."""
+    named = large.select("token", "cid", "size").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     named = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
-    mixed = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return named.join(mixed.filter("low != high").select("token"), "token")
+    sizes = named.groupBy("token", "label").agg(F.count("*").alias("rows"))
+    groups = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
+    mixed = groups.filter("labels > 1").select("token", F.col("top.label").alias("bin"))
+    bins = cut(named.join(mixed, "token").select("bin", "cid", "size", "label").distinct(), "bins")
+    own.drop(named)
+    return bins
+
+
+_TILE = ["bin", "band", "part"]
 
 
-def _banded(large: DataFrame) -> DataFrame:
-    """Rows of ``large (token, cid, size, place, label)`` in their own band and the one below, with a number of ``parts``.
+def _banded(bins: DataFrame) -> DataFrame:
+    """Rows of ``bins`` in their own band and the one below, with a number of ``parts``.
 
-    A row stays in a band only if some size there leaves it a partner at its place.
+    A row stays in a band only if some row there is of a size that can be similar.
     """
-    own = large.withColumn("band", band(F.col("size"))).withColumn("upper", F.lit(False))
+    own = bins.withColumn("band", band(F.col("size"))).withColumn("upper", F.lit(False))
     below = own.withColumn("band", F.col("band") - 1).withColumn("upper", F.lit(True))
     placed = own.unionByName(below)
     own_size = F.when(~F.col("upper"), F.col("size"))
-    counts = placed.groupBy("token", "band").agg(
+    counts = placed.groupBy("bin", "band").agg(
         F.ceil(F.count("*") / TILE).cast("int").alias("parts"),
         F.min(own_size).alias("least"), F.max(own_size).alias("most"),
     )
     partner = F.greatest(F.col("least"), F.ceil(F.col("size") * NUMERATOR / DENOMINATOR))
-    useful = (partner <= F.when(F.col("upper"), F.col("most")).otherwise(partner)) & linked(
-        F.col("size") - F.col("place"), F.col("size"), partner
-    )
-    return placed.join(counts.filter("least IS NOT NULL"), ["token", "band"]).filter(useful)
-
-
-_TILE = ["token", "band", "part"]
+    useful = partner <= F.when(F.col("upper"), F.col("most")).otherwise(partner)
+    return placed.join(counts.filter("least IS NOT NULL"), ["bin", "band"]).filter(useful)
 
 
-def _forest_tiles(large: DataFrame, number: int) -> DataFrame:
-    """Every row of some groups in one tile, dealt anew for each group, so that tiles of a family overlap."""
-    chosen = large.filter(F.pmod("token", F.lit(FOREST_GROUPS)) == number)
-    part = F.pmod(F.xxhash64("cid", "token"), F.col("parts")).cast("int")
-    return _banded(chosen).select(*_TILE[:2], part.alias("part"), "cid", "size", "place", "label", "upper", F.lit(True).alias("home"))
+def _forest_tiles(banded: DataFrame, number: int) -> DataFrame:
+    """Every row of a bin in one tile, dealt anew in each round."""
+    part = F.pmod(F.xxhash64("cid", F.lit(number)), F.col("parts")).cast("int")
+    return banded.select(*_TILE[:2], part.alias("part"), "cid", "size", "label", "upper", F.lit(True).alias("home"))
 
 
-def _all_tiles(large: DataFrame) -> DataFrame:
-    """Every pair of components of every group in some tile.
+def _all_tiles(banded: DataFrame) -> DataFrame:
+    """Every two rows of a bin that are not both in its largest component in some tile.
 
-    A row of the group's largest component is in one tile, its home, others are in all: two rows meet in the home of one.
+    A row of the largest component, which names the bin, is in one tile, its home, others are in all: two rows
+    meet in the home of one.
     """
-    banded = _banded(large)
-    sizes = banded.groupBy("token", "band", "label").agg(F.count("*").alias("rows"))
-    largest = sizes.groupBy("token", "band").agg(F.max(F.struct("rows", "label")).alias("top"))
-    home = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    tops = largest.select("token", "band", F.col("top.label").alias("largest"))
-    dealt = banded.join(tops, ["token", "band"]).withColumn("own", home)
+    dealt = banded.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
-    part = F.explode(F.when(F.col("label") == F.col("largest"), F.array("own")).otherwise(everywhere))
-    spread = dealt.select(*_TILE[:2], part.alias("part"), "cid", "size", "place", "label", "upper", "own")
+    part = F.explode(F.when(F.col("label") == F.col("bin"), F.array("own")).otherwise(everywhere))
+    spread = dealt.select(*_TILE[:2], part.alias("part"), "cid", "size", "label", "upper", "own")
     return spread.withColumn("home", F.col("part") == F.col("own")).drop("own")
 
 
@@ -419,7 +429,6 @@ def _through(rows: pd.DataFrame, forest: bool) -> tuple[np.ndarray, np.ndarray]:
     firsts = int((~last).sum())
     rows, label = rows.iloc[order], at[order]
     cid, size = rows["cid"].to_numpy(), rows["size"].to_numpy(np.int64)
-    ahead = size - rows["place"].to_numpy(np.int64)
     upper, home = rows["upper"].to_numpy(), rows["home"].to_numpy()
     raw = [np.frombuffer(x, np.uint64) for x in rows["fine"]]
     width = min(map(len, raw))
@@ -433,7 +442,7 @@ def _through(rows: pd.DataFrame, forest: bool) -> tuple[np.ndarray, np.ndarray]:
         # Each pair once: the second is a later row, and not both are from the band above.
         open_ = (i[:, None] < later[None, :]) & ~(upper[i][:, None] & upper[later][None, :])
         open_ &= (label[i][:, None] != label[later][None, :]) & (home[i][:, None] | home[later][None, :])
-        open_ &= linked(np.minimum(ahead[i][:, None], ahead[later][None, :]), size[i][:, None], size[later][None, :])
+        open_ &= linked(np.minimum(size[i][:, None], size[later][None, :]), size[i][:, None], size[later][None, :])
         x, y = np.nonzero(open_)
         x, y = i[x], later[y]
         differ = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
@@ -495,19 +504,28 @@ def _components(own: Scope, links: DataFrame) -> DataFrame:
 
 def _all_links(own: Scope, met: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Proven links that connect whatever is similar."""
-    links = _prove(own, _small_pairs(met), classes, n)
-    large = cut(met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size", "place"), "large")
+    small = _bounded(own, _small_pairs(met), classes)
+    links = _prove(cut(small.groupBy("a").agg(F.min("b").alias("b")), "firsts"), classes, n)
+    labels = _components(own, links)
+    links = links.unionByName(_prove(cut(_apart(small, labels), "apart"), classes, n))
+    large = cut(met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size"), "large")
+    own.drop(small)
     if large.isEmpty():
         return links
     marks = _fine_marks(classes, large.select("cid").distinct(), n)
     for number in range(FOREST_ROUNDS):
-        labels = _components(own, links)
-        tiles = _forest_tiles(_labelled_groups(large, labels), number)
-        links = links.unionByName(_prove(own, _tile_pairs(tiles, marks, forest=True), classes, n))
-    labels = _components(own, links)
-    tiles = _all_tiles(_labelled_groups(large, labels))
-    links = links.unionByName(_prove(own, _tile_pairs(tiles, marks, forest=False), classes, n))
-    own.drop(large, marks)
+        bins = _bins(own, large, _components(own, links))
+        banded = cut(_banded(bins), "banded")
+        found = cut(_tile_pairs(_forest_tiles(banded, number), marks, forest=True), "forest")
+        links = links.unionByName(_prove(found, classes, n))
+        single = banded.filter("parts > 1").isEmpty()
+        own.drop(bins, banded, found)
+        if single:
+            break
+    bins = _bins(own, large, _components(own, links))
+    found = cut(_tile_pairs(_all_tiles(_banded(bins)), marks, forest=False), "across")
+    links = links.unionByName(_prove(found, classes, n))
+    own.drop(large, marks, bins, found)
     return links
 
 
