@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankflow.llm import jaccard, langid, mixing, pieces, pii
-from rankflow.session import cut
+from rankflow.session import cut, scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A document whose language is less likely than this among the learned ones is rejected, as is one without a letter.
@@ -69,7 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark) as own:
+        docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+        for name, stage in STAGES[:-1]:
+            # What a stage needs on its way goes with it, and its input once its output is written.
+            with scratch(spark) as inner:
+                docs = inner.result(cut(stage(spark, docs, sf_dir), name))
+            if written is not None:
+                own.drop(written)
+            written = docs
+        return own.result(STAGES[-1][1](spark, docs, sf_dir))
