@@ -2,18 +2,17 @@
 
 Equal texts form a class, whose set stands for all copies. Sets that may be similar
 share one of their first elements in any common order (the prefix filter); the order is by hash,
-with frequent n-grams last, so a passage that many texts share brings few candidates. Small groups of sets that share
-such an element give their pairs. Large ones are put into bins, by the largest component that a group holds so far: the groups
-of one family of near copies hold the same component, so each set is in their bin once, however many elements it
-shares. Bins are cut into tiles by size band, as similar sets lie in the same band or in two that adjoin, and by
-number. In a tile, hashed bitmaps bound the overlap from above: bits that differ count elements that
+with frequent n-grams last, so a passage that many texts share brings few candidates. Groups of sets that share
+such an element, one of each kind if several elements are shared by the same sets, are put into bins by the largest component
+that a group holds so far: the groups of one family of near copies hold the same component, so each set is in their
+bin once. A bin is a tile; one that is too large is cut into tiles by size band, as similar sets lie in the same band or in
+two that adjoin, and by number. In a tile, hashed bitmaps bound the overlap from above: bits that differ count elements that
 only one set has. What passes is compared exactly, as sorted arrays of 64-bit n-gram hashes.
 
-Links inside a component that is already known need no second proof. Of the pairs of small groups each set's first one is proved,
-then those between different components. In large ones a first round deals each row of a bin to one tile and proves a spanning
-forest of what the bitmaps let through, so it gives fewer pairs than it takes rows, and goes on while bins have several
-tiles, dealt anew each time. The last round proves every pair between different components that bitmaps let through.
-There, rows of a bin's largest component are never compared with each other, so each of them goes to one tile, and
+Links inside a component that is already known need no second proof. A first round deals each row of a bin to one tile and
+proves a spanning forest of what the bitmaps let through, so it gives fewer pairs than it takes rows, and is repeated while bins
+have several tiles, dealt anew each time. The last round proves every pair between different components that bitmaps let
+through. There, rows of a bin's largest component are never compared with each other, so each of them goes to one tile, and
 only the others go to all tiles of the bin. Nothing is capped: forests, bins, the
 list of frequent n-grams and the sieves only save work, and results are the same without them.
 
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 from rankflow.llm.common import LOWER, UPPER, picked
 from rankflow.llm.components import components
 from rankflow.llm.lattice import mix64
-from rankflow.session import Scope, cut, scratch
+from rankflow.session import SHUFFLE_PARTITIONS, Scope, cut, cut_bucketed, scratch
 
 NGRAM = 5
 # Similarity as a fraction: links have NUMERATOR * union <= DENOMINATOR * intersection.
@@ -49,15 +48,17 @@ NUMERATOR, DENOMINATOR = 80, 100
 FREQUENT = 32
 FREQUENT_KEPT = 1_000_000
 OFTEN_IN_TASK = 4
-# Groups up to this size give their pairs directly; larger ones are cut into tiles of this many sets.
-SMALL_GROUP = 32
+# Rows of a tile, of one bin or several.
 TILE = 4096
 SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
+WORDS_KNOWN = 200_000
+# Bits of a bitmap per element, and pairs of rows compared at once.
+MARK_BITS = 4
+PAIRS_HELD = 400_000
 
 # Rounds that look for forests at most, as long as bins have several tiles.
 FOREST_ROUNDS = 3
-FINE_BITS = 8
 
 _LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -79,7 +80,7 @@ class Shingler:
 
     def __call__(self, text: bytes) -> np.ndarray:
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > WORDS_KNOWN:
             known.clear()
         # Bytes are split at the ASCII white space that separates words, and nowhere else.
         words = text.translate(_LOWER_BYTES).split()
@@ -134,7 +135,7 @@ def _utf8(column: pa.Array) -> pa.Array:
 
 
 def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables: classes ``(cid, key, size, coarse, text)``, n-grams seen often, and each key's smallest id.
+    """Written tables: classes ``(cid, key, size, mark, text)``, n-grams seen often, and each key's smallest id.
 
     Only texts that seem to occur twice are shuffled, after partial aggregation.
     """
@@ -165,7 +166,7 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
             for text in _utf8(batch.column(1)):
                 own = shingles(text.as_py())
                 sizes.append(len(own))
-                marks.append(bitmap(own, bitmap_bits(len(own), 2)).tobytes())
+                marks.append(bitmap(own, bitmap_bits(len(own), MARK_BITS)).tobytes())
                 held.append(own)
                 total += len(own)
                 if total > HASHES_HELD:
@@ -180,7 +181,7 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         if held:
             yield often()
 
-    schema = "hint boolean, key binary, size int, coarse binary, text string, token bigint, seen bigint"
+    schema = "hint boolean, key binary, size int, mark binary, text string, token bigint, seen bigint"
     signed = grouped.select("key", "text").mapInArrow(sign, schema)
     table = cut(
         signed.withColumn("cid", F.monotonically_increasing_id()), "classes", partition_by=("hint",)
@@ -188,7 +189,7 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     return table.filter("hint = false"), table.filter("hint = true").select("token", "seen"), firsts
 
 
-_NAMES = ["hint", "key", "size", "coarse", "text", "token", "seen"]
+_NAMES = ["hint", "key", "size", "mark", "text", "token", "seen"]
 
 
 def _frequent(hints: DataFrame) -> np.ndarray:
@@ -209,12 +210,12 @@ def _frequent(hints: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, n: int, frequent) -> DataFrame:
-    """``(token, cid, size, place)``: the first n-grams of each class in the common order, with their places."""
+    """``(token, cid, size)``: the first n-grams of each class in the common order."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, rare_last = Shingler(n), frequent.value
         for batch in batches:
-            tokens, owners, sizes, places = [], [], [], []
+            tokens, owners, sizes = [], [], []
             for cid, text in zip(batch.column(0).to_numpy(), _utf8(batch.column(1))):
                 own = shingles(text.as_py())
                 if len(rare_last):
@@ -225,14 +226,12 @@ def _postings(classes: DataFrame, n: int, frequent) -> DataFrame:
                 tokens.append(prefix.view(np.int64))
                 owners.append(np.full(len(prefix), cid))
                 sizes.append(np.full(len(prefix), len(own), dtype=np.int32))
-                places.append(np.arange(len(prefix), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes, places)],
-                    names=["token", "cid", "size", "place"],
+                    [pa.array(np.concatenate(x)) for x in (tokens, owners, sizes)], names=["token", "cid", "size"],
                 )
 
-    schema = "token bigint, cid bigint, size int, place int"
+    schema = "token bigint, cid bigint, size int"
     return classes.filter("size > 0").select("cid", "text").mapInArrow(first, schema)
 
 
@@ -267,36 +266,6 @@ def _only(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 # --- candidates and proofs ---------------------------------------------------------------------
 
 
-def _bounded(own: Scope, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the distinct ``pairs (a, b)`` that the coarse bitmaps do not rule out."""
-    pairs = cut(pairs, "pairs")
-    marks = _only(
-        classes.select("cid", "size", "coarse"), "cid",
-        pairs.select(F.explode(F.array("a", "b")).alias("cid")),
-    )
-    left = marks.select(F.col("cid").alias("a"), F.col("size").alias("size_a"), F.col("coarse").alias("mark_a"))
-    right = marks.select(F.col("cid").alias("b"), F.col("size").alias("size_b"), F.col("coarse").alias("mark_b"))
-    marked = pairs.join(left, "a").join(right, "b")
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, size_a, size_b = (batch.column(i).to_numpy() for i in range(4))
-            keep = np.zeros(len(a), dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                size = min(len(x), len(y))
-                differ = int(np.bitwise_count(fold(x, size) ^ fold(y, size)).sum())
-                keep[i] = linked((int(size_a[i]) + int(size_b[i]) - differ) // 2, int(size_a[i]), int(size_b[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
-
-    passed = cut(
-        marked.select("a", "b", "size_a", "size_b", "mark_a", "mark_b").mapInArrow(bound, "a bigint, b bigint"),
-        "bounded",
-    )
-    own.drop(pairs)
-    return passed
-
-
 def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Those of the written ``pairs (a, b)`` that are similar."""
     texts = _only(classes.select("cid", "text"), "cid", pairs.select(F.explode(F.array("a", "b")).alias("cid")))
@@ -318,63 +287,47 @@ def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     return cut(both.select("a", "b", "text_a", "text_b").mapInArrow(exact, "a bigint, b bigint"), "links")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``pairs`` whose ends are in different components."""
-    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
-    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return named.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-
-
-def _early(size_a, place_a, size_b, place_b):
-    """Whether two sets that first meet at these places can be similar; if they met before, another group has them."""
-    return linked(F.least(size_a - place_a, size_b - place_b), size_a, size_b)
-
-
-def _small_pairs(postings: DataFrame) -> DataFrame:
-    """Distinct pairs that may be similar in groups of at most ``SMALL_GROUP`` classes."""
-    groups = postings.filter(F.col("members") <= SMALL_GROUP).groupBy("token").agg(
-        F.sort_array(F.collect_list(F.struct("cid", "size", "place"))).alias("own")
-    )
-    one = groups.select(F.posexplode("own").alias("at", "x"), "own")
-    other = one.select("x", F.explode(F.slice("own", F.col("at") + 2, F.lit(SMALL_GROUP))).alias("y"))
-    return other.filter(_early(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"))).select(
-        F.col("x.cid").alias("a"), F.col("y.cid").alias("b")
-    ).distinct()
-
-
-def _fine_marks(classes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """Bitmaps with many bits per element, for classes in large groups only."""
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(n)
-        for batch in batches:
-            marks = []
-            for text in _utf8(batch.column(1)):
-                own = shingles(text.as_py())
-                marks.append(bitmap(own, bitmap_bits(len(own), FINE_BITS)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["cid", "fine"])
-
-    kept = _only(classes.select("cid", "text"), "cid", wanted).join(wanted, "cid", "left_semi")
-    return cut(kept.select("cid", "text").mapInArrow(sign, "cid bigint, fine binary"), "fine")
-
-
-def _bins(own: Scope, large: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(bin, cid, size, label)``, distinct: a group's rows are in the bin of its largest component, unless it has but one."""
-    named = large.select("token", "cid", "size").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    named = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
+def _groups(own: Scope, postings: DataFrame) -> DataFrame:
+    """``(token, cid, size)`` of tokens that several classes have, one token for each set of classes."""
+    shared = postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = cut(shared, "shared")
+    kept = _sifted(postings, F.col("token"), shared.select(F.col("token").alias("value"))).filter("maybe")
+    buckets = int(own.spark.conf.get(SHUFFLE_PARTITIONS))
+    # Both sides meet by token, so each bucket is written by one task.
+    met = cut_bucketed(kept.drop("maybe").join(shared.hint("shuffle_hash"), "token"), "met", buckets, ["token"])
+    own.drop(shared)
+    sign = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cid"))
+    signed = met.groupBy("token").agg(F.first("members").alias("members"), sign(1).alias("one"), sign(2).alias("two"))
+    alone = signed.groupBy("members", "one", "two").agg(F.min("token").alias("token")).select("token")
+    groups = cut(met.join(alone, "token").select("token", "cid", "size"), "groups")
+    own.drop(met)
+    return groups
+
+
+def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``(bin, cid, size, label)``, distinct: a group's rows are in the bin of its largest component, unless it has but one.
+
+    Without ``labels`` every class is a component.
+    """
+    if labels is None:
+        named = groups.withColumn("label", F.col("cid"))
+    else:
+        named = groups.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+        named = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
     sizes = named.groupBy("token", "label").agg(F.count("*").alias("rows"))
-    groups = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
-    mixed = groups.filter("labels > 1").select("token", F.col("top.label").alias("bin"))
+    top = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
+    mixed = top.filter("labels > 1").select("token", F.col("top.label").alias("bin"))
     bins = cut(named.join(mixed, "token").select("bin", "cid", "size", "label").distinct(), "bins")
-    own.drop(named)
+    if labels is not None:
+        own.drop(named)
     return bins
 
 
-_TILE = ["bin", "band", "part"]
+_TILE = ["tile", "band", "part"]
 
 
 def _banded(bins: DataFrame) -> DataFrame:
-    """Rows of ``bins`` in their own band and the one below, with a number of ``parts``.
+    """Rows of large ``bins`` in their own band and the one below, with a number of ``parts``.
 
     A row stays in a band only if some row there is of a size that can be similar.
     """
@@ -392,13 +345,13 @@ def _banded(bins: DataFrame) -> DataFrame:
 
 
 def _forest_tiles(banded: DataFrame, number: int) -> DataFrame:
-    """Every row of a bin in one tile, dealt anew in each round."""
+    """Every row of a large bin in one tile, dealt anew in each round."""
     part = F.pmod(F.xxhash64("cid", F.lit(number)), F.col("parts")).cast("int")
-    return banded.select(*_TILE[:2], part.alias("part"), "cid", "size", "label", "upper", F.lit(True).alias("home"))
+    return banded.withColumn("part", part).withColumn("home", F.lit(True))
 
 
 def _all_tiles(banded: DataFrame) -> DataFrame:
-    """Every two rows of a bin that are not both in its largest component in some tile.
+    """Every two rows of a large bin that are not both in its largest component in some tile.
 
     A row of the largest component, which names the bin, is in one tile, its home, others are in all: two rows
     meet in the home of one.
@@ -406,56 +359,93 @@ def _all_tiles(banded: DataFrame) -> DataFrame:
     dealt = banded.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
     part = F.explode(F.when(F.col("label") == F.col("bin"), F.array("own")).otherwise(everywhere))
-    spread = dealt.select(*_TILE[:2], part.alias("part"), "cid", "size", "label", "upper", "own")
-    return spread.withColumn("home", F.col("part") == F.col("own")).drop("own")
+    return dealt.withColumn("part", part).withColumn("home", F.col("part") == F.col("own"))
+
+
+def _tiles(bins: DataFrame, deal) -> tuple[DataFrame, bool]:
+    """Rows of ``bins`` in tiles, and whether some bin has several; ``deal`` places the rows of such bins.
+
+    Bins that fit share tiles, so a tile is never much smaller than ``TILE`` rows.
+    """
+    counts = bins.groupBy("bin").agg(F.count("*").alias("rows"))
+    fits = F.col("rows") <= TILE
+    rows, large = counts.agg(F.sum(F.when(fits, F.col("rows"))), F.count(F.when(~fits, 1))).first()
+    shared = -1 - F.pmod(F.xxhash64("bin"), F.lit(max(1, -(-(rows or 0) // TILE))))
+    columns = ["bin", "cid", "size", "label", "upper", "home", *_TILE]
+    if not large:
+        sized, several = bins, None
+    else:
+        sized = bins.join(counts, "bin")
+        several = deal(_banded(sized.filter(~fits).select("bin", "cid", "size", "label"))).withColumn("tile", F.col("bin"))
+        sized = sized.filter(fits)
+    single = sized.withColumns({
+        "upper": F.lit(False), "home": F.lit(True), "tile": shared, "band": F.lit(0), "part": F.lit(0)
+    }).select(*columns)
+    return (single if several is None else single.unionByName(several.select(*columns))), bool(large)
 
 
 def _tile_pairs(tiles: DataFrame, marks: DataFrame, forest: bool) -> DataFrame:
-    """Distinct pairs of different components that the fine bitmaps let through, or a spanning forest of them per tile."""
+    """Distinct pairs of different components that the bitmaps let through, or a spanning forest of them per bin and tile."""
 
     def tile(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = _through(rows, forest)
+        numbers = [rows[name].to_numpy() for name in ("bin", "cid", "size", "label", "upper", "home")]
+        order = np.argsort(numbers[0], kind="stable")
+        bins, *columns = (column[order] for column in numbers)
+        marks = [np.frombuffer(x, np.uint64) for x in rows["mark"].to_numpy()[order]]
+        first = np.flatnonzero(np.diff(bins, prepend=bins[0] - 1))
+        found = [
+            _through(*(column[low:high] for column in columns), marks[low:high], forest)
+            for low, high in zip(first, [*first[1:], len(bins)])
+        ]
+        a, b = (np.concatenate(column) for column in zip(*found))
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return tiles.join(marks, "cid").groupBy(*_TILE).applyInPandas(tile, "a bigint, b bigint").distinct()
+    marked = tiles.join(marks, "cid").select(*_TILE, "bin", "cid", "size", "label", "upper", "home", "mark")
+    return marked.groupBy(*_TILE).applyInPandas(tile, "a bigint, b bigint").distinct()
 
 
-def _through(rows: pd.DataFrame, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one tile in different components whose bitmaps do not rule them out."""
+def _through(
+    cid: np.ndarray, size: np.ndarray, labels: np.ndarray, upper: np.ndarray, home: np.ndarray, raw: list[np.ndarray],
+    forest: bool,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one bin's rows in different components whose bitmaps do not rule them out."""
+    names, label, counts = np.unique(labels, return_inverse=True, return_counts=True)
     # Rows of the most frequent label come last: between them there is nothing to find.
-    labels, at, counts = np.unique(rows["label"].to_numpy(), return_inverse=True, return_counts=True)
-    last = at == counts.argmax()
+    last = label == counts.argmax()
     order = np.argsort(last, kind="stable")
     firsts = int((~last).sum())
-    rows, label = rows.iloc[order], at[order]
-    cid, size = rows["cid"].to_numpy(), rows["size"].to_numpy(np.int64)
-    upper, home = rows["upper"].to_numpy(), rows["home"].to_numpy()
-    raw = [np.frombuffer(x, np.uint64) for x in rows["fine"]]
-    width = min(map(len, raw))
-    marks = np.stack([fold(x, width) for x in raw])
+    cid, size, label, upper, home = cid[order], size[order].astype(np.int64), label[order], upper[order], home[order]
+    root = np.arange(len(names))
     found_a, found_b = [cid[:0]], [cid[:0]]
-    root = np.arange(len(labels))
-    step = max(1, 4_000_000 // max(1, len(cid) * width))
-    for low in range(0, firsts, step):
-        i = np.arange(low, min(low + step, firsts))
-        later = np.arange(low + 1, len(cid))
-        # Each pair once: the second is a later row, and not both are from the band above.
-        open_ = (i[:, None] < later[None, :]) & ~(upper[i][:, None] & upper[later][None, :])
-        open_ &= (label[i][:, None] != label[later][None, :]) & (home[i][:, None] | home[later][None, :])
-        open_ &= linked(np.minimum(size[i][:, None], size[later][None, :]), size[i][:, None], size[later][None, :])
-        x, y = np.nonzero(open_)
-        x, y = i[x], later[y]
-        differ = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
-        through = linked((size[x] + size[y] - differ) // 2, size[x], size[y])
-        x, y = x[through], y[through]
-        if forest:
-            # Pairs that differ least are the likeliest links.
-            likely = np.argsort(differ[through], kind="stable")
-            x, y = x[likely], y[likely]
-            kept = _grow(root, label[x], label[y])
-            x, y = x[kept], y[kept]
-        found_a.append(cid[x])
-        found_b.append(cid[y])
+    # Similar sets are so near in size that their bitmaps are equally long, or one is twice as long as the other.
+    widths = np.array([len(raw[i]) for i in order])
+    for width in np.unique(widths):
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        marks = np.stack([fold(raw[order[i]], width) for i in rows])
+        short = widths[rows] == width
+        before = int(np.searchsorted(rows, firsts))
+        step = max(1, PAIRS_HELD // max(1, len(rows) * int(width)))
+        for low in range(0, before, step):
+            first, second = np.arange(low, min(low + step, before)), np.arange(low + 1, len(rows))
+            i, j = rows[first][:, None], rows[second][None, :]
+            # Each pair once: the second is a later row, and not both are from the band above.
+            open_ = (i < j) & (short[first][:, None] | short[second][None, :]) & ~(upper[i] & upper[j])
+            open_ &= (label[i] != label[j]) & (home[i] | home[j])
+            open_ &= linked(np.minimum(size[i], size[j]), size[i], size[j])
+            x, y = np.nonzero(open_)
+            x, y = first[x], second[y]
+            differ = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
+            x, y = rows[x], rows[y]
+            through = linked((size[x] + size[y] - differ) // 2, size[x], size[y])
+            x, y = x[through], y[through]
+            if forest:
+                # Pairs that differ least are the likeliest links.
+                likely = np.argsort(differ[through], kind="stable")
+                x, y = x[likely], y[likely]
+                kept = _grow(root, label[x], label[y])
+                x, y = x[kept], y[kept]
+            found_a.append(cid[x])
+            found_b.append(cid[y])
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
@@ -482,14 +472,11 @@ def _labelled(own: Scope, rows: DataFrame, n: int) -> DataFrame:
     context = rows.sparkSession.sparkContext
     classes, hints, firsts = _classes(rows, n)
     postings = cut(_postings(classes, n, context.broadcast(_frequent(hints))), "postings")
-    shared = postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = cut(shared, "shared")
-    kept = _sifted(postings, F.col("token"), shared.select(F.col("token").alias("value"))).filter("maybe")
-    met = cut(kept.drop("maybe").join(shared, "token"), "met")
-    own.drop(postings, shared)
-    labels = _components(own, _all_links(own, met, classes, n))
+    groups = _groups(own, postings)
+    own.drop(postings)
+    labels = _components(own, _all_links(own, groups, classes, n))
     slim = cut(classes.select("key", "cid", "size"), "slim")
-    own.drop(classes, met)
+    own.drop(classes, groups)
     known = slim.join(labels.withColumnRenamed("node", "cid"), "cid", "left").join(firsts.select("key", "first_id"), "key")
     known = cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
     own.drop(slim, labels, firsts)
@@ -502,30 +489,26 @@ def _components(own: Scope, links: DataFrame) -> DataFrame:
         return inner.result(cut(components(links), "labels"))
 
 
-def _all_links(own: Scope, met: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+def _all_links(own: Scope, groups: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Proven links that connect whatever is similar."""
-    small = _bounded(own, _small_pairs(met), classes)
-    links = _prove(cut(small.groupBy("a").agg(F.min("b").alias("b")), "firsts"), classes, n)
-    labels = _components(own, links)
-    links = links.unionByName(_prove(cut(_apart(small, labels), "apart"), classes, n))
-    large = cut(met.filter(F.col("members") > SMALL_GROUP).select("token", "cid", "size"), "large")
-    own.drop(small)
-    if large.isEmpty():
-        return links
-    marks = _fine_marks(classes, large.select("cid").distinct(), n)
+    wanted = cut(groups.select("cid").distinct(), "wanted")
+    marks = cut(_only(classes.select("cid", "mark"), "cid", wanted), "marks")
+    links, labels = None, None
     for number in range(FOREST_ROUNDS):
-        bins = _bins(own, large, _components(own, links))
-        banded = cut(_banded(bins), "banded")
-        found = cut(_tile_pairs(_forest_tiles(banded, number), marks, forest=True), "forest")
-        links = links.unionByName(_prove(found, classes, n))
-        single = banded.filter("parts > 1").isEmpty()
-        own.drop(bins, banded, found)
-        if single:
+        bins = _bins(own, groups, labels)
+        tiles, several = _tiles(bins, lambda banded: _forest_tiles(banded, number))  # noqa: B023
+        found = cut(_tile_pairs(tiles, marks, forest=True), "forest")
+        proven = _prove(found, classes, n)
+        links = proven if links is None else links.unionByName(proven)
+        own.drop(bins, found)
+        labels = _components(own, links)
+        if not several:
             break
-    bins = _bins(own, large, _components(own, links))
-    found = cut(_tile_pairs(_all_tiles(_banded(bins)), marks, forest=False), "across")
+    bins = _bins(own, groups, labels)
+    tiles, _ = _tiles(bins, _all_tiles)
+    found = cut(_tile_pairs(tiles, marks, forest=False), "across")
     links = links.unionByName(_prove(found, classes, n))
-    own.drop(large, marks, bins, found)
+    own.drop(wanted, marks, bins, found)
     return links
 
 
