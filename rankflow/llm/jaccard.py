@@ -10,9 +10,10 @@ two that adjoin, and by number. In a tile, hashed bitmaps bound the overlap from
 only one set has. What passes is compared exactly, as sorted arrays of 64-bit n-gram hashes.
 
 Links inside a component that is already known need no second proof. A first round deals each row of a bin to one tile and
-proves a spanning forest of what the bitmaps let through, so it gives fewer pairs than it takes rows, and is repeated while bins
-have several tiles, dealt anew each time. The last round proves every pair between different components that bitmaps let
-through. There, rows of a bin's largest component are never compared with each other, so each of them goes to one tile, and
+proves a spanning forest of what the bitmaps let through, so it gives fewer pairs than it takes rows. If all of a bin's forest
+is proved, there is nothing else to find in it. Only groups of bins in which a pair was refuted, or that have several
+tiles, go on: to another forest while bins have several tiles, dealt anew each time, and to a last round, which
+proves every pair between different components that bitmaps let through. There, rows of a bin's largest component are never compared with each other, so each of them goes to one tile, and
 only the others go to all tiles of the bin. Nothing is capped: forests, bins, the
 list of frequent n-grams and the sieves only save work, and results are the same without them.
 
@@ -48,8 +49,9 @@ NUMERATOR, DENOMINATOR = 80, 100
 FREQUENT = 32
 FREQUENT_KEPT = 1_000_000
 OFTEN_IN_TASK = 4
-# Rows of a tile, of one bin or several.
+# Rows of a tile: of several bins, and of a bin that is too large for one.
 TILE = 4096
+LARGE_TILE = 16_384
 SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 WORDS_KNOWN = 200_000
@@ -304,10 +306,10 @@ def _groups(own: Scope, postings: DataFrame) -> DataFrame:
     return groups
 
 
-def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``(bin, cid, size, label)``, distinct: a group's rows are in the bin of its largest component, unless it has but one.
+def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """``(bin, cid, size, label)``, distinct, and ``(token, bin)``: a group's rows are in the bin of its largest component.
 
-    Without ``labels`` every class is a component.
+    Groups of one component have none. Without ``labels`` every class is a component.
     """
     if labels is None:
         named = groups.withColumn("label", F.col("cid"))
@@ -316,11 +318,11 @@ def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> DataFrame:
         named = cut(named.withColumn("label", F.coalesce("label", "cid")), "labelled")
     sizes = named.groupBy("token", "label").agg(F.count("*").alias("rows"))
     top = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
-    mixed = top.filter("labels > 1").select("token", F.col("top.label").alias("bin"))
+    mixed = cut(top.filter("labels > 1").select("token", F.col("top.label").alias("bin")), "mixed")
     bins = cut(named.join(mixed, "token").select("bin", "cid", "size", "label").distinct(), "bins")
     if labels is not None:
         own.drop(named)
-    return bins
+    return bins, mixed
 
 
 _TILE = ["tile", "band", "part"]
@@ -336,7 +338,7 @@ def _banded(bins: DataFrame) -> DataFrame:
     placed = own.unionByName(below)
     own_size = F.when(~F.col("upper"), F.col("size"))
     counts = placed.groupBy("bin", "band").agg(
-        F.ceil(F.count("*") / TILE).cast("int").alias("parts"),
+        F.ceil(F.count("*") / LARGE_TILE).cast("int").alias("parts"),
         F.min(own_size).alias("least"), F.max(own_size).alias("most"),
     )
     partner = F.greatest(F.col("least"), F.ceil(F.col("size") * NUMERATOR / DENOMINATOR))
@@ -362,13 +364,13 @@ def _all_tiles(banded: DataFrame) -> DataFrame:
     return dealt.withColumn("part", part).withColumn("home", F.col("part") == F.col("own"))
 
 
-def _tiles(bins: DataFrame, deal) -> tuple[DataFrame, bool]:
-    """Rows of ``bins`` in tiles, and whether some bin has several; ``deal`` places the rows of such bins.
+def _tiles(bins: DataFrame, deal) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ``bins`` in tiles, and the bins that have several, if any; ``deal`` places the rows of such bins.
 
     Bins that fit share tiles, so a tile is never much smaller than ``TILE`` rows.
     """
     counts = bins.groupBy("bin").agg(F.count("*").alias("rows"))
-    fits = F.col("rows") <= TILE
+    fits = F.col("rows") <= LARGE_TILE
     rows, large = counts.agg(F.sum(F.when(fits, F.col("rows"))), F.count(F.when(~fits, 1))).first()
     shared = -1 - F.pmod(F.xxhash64("bin"), F.lit(max(1, -(-(rows or 0) // TILE))))
     columns = ["bin", "cid", "size", "label", "upper", "home", *_TILE]
@@ -381,11 +383,13 @@ def _tiles(bins: DataFrame, deal) -> tuple[DataFrame, bool]:
     single = sized.withColumns({
         "upper": F.lit(False), "home": F.lit(True), "tile": shared, "band": F.lit(0), "part": F.lit(0)
     }).select(*columns)
-    return (single if several is None else single.unionByName(several.select(*columns))), bool(large)
+    if several is None:
+        return single, None
+    return single.unionByName(several.select(*columns)), counts.filter(~fits).select("bin")
 
 
 def _tile_pairs(tiles: DataFrame, marks: DataFrame, forest: bool) -> DataFrame:
-    """Distinct pairs of different components that the bitmaps let through, or a spanning forest of them per bin and tile."""
+    """``(bin, a, b)``: pairs of components that the bitmaps let through, or a spanning forest of them per bin and tile."""
 
     def tile(rows: pd.DataFrame) -> pd.DataFrame:
         numbers = [rows[name].to_numpy() for name in ("bin", "cid", "size", "label", "upper", "home")]
@@ -397,11 +401,12 @@ def _tile_pairs(tiles: DataFrame, marks: DataFrame, forest: bool) -> DataFrame:
             _through(*(column[low:high] for column in columns), marks[low:high], forest)
             for low, high in zip(first, [*first[1:], len(bins)])
         ]
+        of = np.repeat(bins[first], [len(a) for a, _ in found])
         a, b = (np.concatenate(column) for column in zip(*found))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pd.DataFrame({"bin": of, "a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     marked = tiles.join(marks, "cid").select(*_TILE, "bin", "cid", "size", "label", "upper", "home", "mark")
-    return marked.groupBy(*_TILE).applyInPandas(tile, "a bigint, b bigint").distinct()
+    return marked.groupBy(*_TILE).applyInPandas(tile, "bin bigint, a bigint, b bigint")
 
 
 def _through(
@@ -476,7 +481,7 @@ def _labelled(own: Scope, rows: DataFrame, n: int) -> DataFrame:
     own.drop(postings)
     labels = _components(own, _all_links(own, groups, classes, n))
     slim = cut(classes.select("key", "cid", "size"), "slim")
-    own.drop(classes, groups)
+    own.drop(classes)
     known = slim.join(labels.withColumnRenamed("node", "cid"), "cid", "left").join(firsts.select("key", "first_id"), "key")
     known = cut(known.select("key", "size", "first_id", F.coalesce("label", "cid").alias("label")), "known")
     own.drop(slim, labels, firsts)
@@ -495,20 +500,27 @@ def _all_links(own: Scope, groups: DataFrame, classes: DataFrame, n: int) -> Dat
     marks = cut(_only(classes.select("cid", "mark"), "cid", wanted), "marks")
     links, labels = None, None
     for number in range(FOREST_ROUNDS):
-        bins = _bins(own, groups, labels)
+        bins, mixed = _bins(own, groups, labels)
         tiles, several = _tiles(bins, lambda banded: _forest_tiles(banded, number))  # noqa: B023
         found = cut(_tile_pairs(tiles, marks, forest=True), "forest")
-        proven = _prove(found, classes, n)
+        pairs = cut(found.select("a", "b").distinct(), "pairs")
+        proven = _prove(pairs, classes, n)
         links = proven if links is None else links.unionByName(proven)
-        own.drop(bins, found)
         labels = _components(own, links)
-        if not several:
+        # Bins that may hold more: those with a refuted pair, and those whose tiles have not all met.
+        refuted = pairs.join(proven, ["a", "b"], "left_anti")
+        again = found.join(refuted, ["a", "b"], "left_semi").select("bin")
+        again = (again if several is None else again.unionByName(several)).distinct()
+        fewer = cut(groups.join(mixed.join(again, "bin", "left_semi").select("token"), "token", "left_semi"), "groups")
+        own.drop(groups, bins, mixed, found, pairs)
+        groups = fewer
+        if several is None:
             break
-    bins = _bins(own, groups, labels)
+    bins, mixed = _bins(own, groups, labels)
     tiles, _ = _tiles(bins, _all_tiles)
-    found = cut(_tile_pairs(tiles, marks, forest=False), "across")
-    links = links.unionByName(_prove(found, classes, n))
-    own.drop(wanted, marks, bins, found)
+    pairs = cut(_tile_pairs(tiles, marks, forest=False).select("a", "b").distinct(), "across")
+    links = links.unionByName(_prove(pairs, classes, n))
+    own.drop(wanted, marks, groups, bins, mixed, pairs)
     return links
 
 

@@ -50,6 +50,7 @@ def family(seed, copies, length=80):
 @pytest.mark.parametrize("tile", [1024, 16])
 def test_components_equal_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "LARGE_TILE", tile)
     passage = prose(99, 30)
     texts = family(1, 90) + family(2, 20, 30) + [prose(i, 40) + " " + passage for i in range(60)]
     texts += [prose(1000 + i, 60) for i in range(30)]
@@ -61,6 +62,7 @@ def test_components_equal_brute_force(spark, monkeypatch, tile):
 
 def test_a_large_family_of_which_some_pairs_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 128)
+    monkeypatch.setattr(jaccard, "LARGE_TILE", 512)
     own = random.Random(8)
     base = prose(77, 40, 10_000).split(" ")
     rows = []
