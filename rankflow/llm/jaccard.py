@@ -319,10 +319,21 @@ def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> tuple[Data
     sizes = named.groupBy("token", "label").agg(F.count("*").alias("rows"))
     top = sizes.groupBy("token").agg(F.max(F.struct("rows", "label")).alias("top"), F.count("*").alias("labels"))
     mixed = cut(top.filter("labels > 1").select("token", F.col("top.label").alias("bin")), "mixed")
-    bins = cut(named.join(mixed, "token").select("bin", "cid", "size", "label").distinct(), "bins")
+    bins = cut(named.join(mixed, "token").select("bin", "cid", "size", "label").distinct(), "rows")
     if labels is not None:
         own.drop(named)
-    return bins, mixed
+    kept = cut(_with_partners(bins), "bins")
+    own.drop(bins)
+    return kept, mixed
+
+
+def _with_partners(bins: DataFrame) -> DataFrame:
+    """Rows of ``bins`` that another row of their bin is near enough in size to: by their bands and those that adjoin."""
+    placed = bins.withColumn("band", band(F.col("size")))
+    counts = placed.groupBy("bin", "band").agg(F.count("*").alias("rows"))
+    reached = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+    near = counts.select("bin", reached, "rows").groupBy("bin", "band").agg(F.sum("rows").alias("rows"))
+    return placed.join(near.filter("rows > 1").select("bin", "band"), ["bin", "band"]).select(*bins.columns)
 
 
 _TILE = ["tile", "band", "part"]
@@ -518,7 +529,8 @@ def _all_links(own: Scope, groups: DataFrame, classes: DataFrame, n: int) -> Dat
             break
     bins, mixed = _bins(own, groups, labels)
     tiles, _ = _tiles(bins, _all_tiles)
-    pairs = cut(_tile_pairs(tiles, marks, forest=False).select("a", "b").distinct(), "across")
+    few = _only(marks, "cid", bins.select("cid"))
+    pairs = cut(_tile_pairs(tiles, few, forest=False).select("a", "b").distinct(), "across")
     links = links.unionByName(_prove(pairs, classes, n))
     own.drop(wanted, marks, groups, bins, mixed, pairs)
     return links
