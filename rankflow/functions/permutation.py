@@ -2,8 +2,8 @@
 
 A number below ``n`` is written as a pair, ``(number div b, number mod b)`` on a grid of ``a * b >= n`` cells. In every round one
 half moves by a hash of the other, which can be undone, so the grid is mapped onto itself. The few cells beyond ``n`` (the grid
-is chosen to have as few as possible) are walked through until the walk is back below ``n``; as they are
-so few, their walks are taken once and stand in the expression as constants.
+is chosen to have as few as possible) are walked through until the walk is back below ``n``. Rounds over whole Arrow batches
+are a few array operations each; as column expressions they would be copied into each other.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankflow.functions.hashing import INCREMENT, MODULUS, MULTIPLIER
@@ -23,8 +24,7 @@ SEED_STEP, ROUND_STEP = 1013904223, 1664525
 SHIFT = 16
 
 
-def round_key(seed, number: int):
-    """The key of a half-round; ``seed`` is an integer or a column of them."""
+def round_key(seed: int, number: int) -> int:
     return (seed * SEED_STEP + (number * ROUND_STEP + INCREMENT)) % MODULUS
 
 
@@ -71,25 +71,18 @@ class Permutation:
         """Which number goes to each place."""
         return self._walk(places, seed, back=True)
 
-    def with_places(self, df: DataFrame, number: str, name: str, seeds: list[int], seed: str | None = None) -> DataFrame:
-        """``df`` with the place ``name`` of every ``number``, by the only seed or the one in the column ``seed``."""
-        own: int | Column = seeds[0] if seed is None else F.col(seed).cast("bigint")
-        halves = ("_left", "_right")
-        sizes = (self.a, self.b)
-        df = df.withColumns({"_left": F.expr(f"`{number}` div {self.b}"), "_right": F.col(number) % self.b})
-        for i in range(HALF_ROUNDS):
-            moved, fixed = i % 2, 1 - i % 2
-            key = round_key(own, i)
-            # A column of its own: the optimizer keeps it apart, as it is used twice.
-            df = df.withColumn("_y", (F.col(halves[fixed]) * F.lit(MULTIPLIER).cast("bigint") + key) % F.lit(MODULUS))
-            step = F.shiftright(F.col("_y") * F.col("_y"), SHIFT)
-            df = df.withColumn(halves[moved], (F.col(halves[moved]) + step) % F.lit(sizes[moved]))
-        df = df.withColumn(name, F.col("_left") * F.lit(self.b).cast("bigint") + F.col("_right")).drop("_y", *halves)
-        beyond = np.arange(self.n, self.a * self.b)
-        place = F.col(name)
-        for value in seeds if len(beyond) else []:
-            for cell, end in zip(beyond, self.places(beyond, value)):
-                here = F.col(name) == int(cell)
-                here = here if seed is None else here & (F.col(seed) == value)
-                place = F.when(here, int(end)).otherwise(place)
-        return df.withColumn(name, place.cast("bigint"))
+    def with_places(self, df: DataFrame, number: str, name: str, seed: int | str) -> DataFrame:
+        """``df`` with the place ``name`` of every ``number``, by a seed or by that in a column."""
+        order = self
+
+        @F.arrow_udf("bigint")
+        def place(numbers: pa.Array, seeds: pa.Array) -> pa.Array:
+            values, own = numbers.to_numpy(zero_copy_only=False), seeds.to_numpy(zero_copy_only=False)
+            found = np.empty(len(values), dtype=np.int64)
+            for value in np.unique(own):
+                rows = own == value
+                found[rows] = order.places(values[rows], int(value))
+            return pa.array(found)
+
+        seeds = F.lit(seed) if isinstance(seed, int) else F.col(seed)
+        return df.withColumn(name, place(F.col(number), seeds.cast("bigint")))

@@ -46,7 +46,7 @@ def assign_batches(df: DataFrame, id_col: str, batch_size: int, epoch: int = 0)
     An epoch has ``floor(n / batch_size)`` batches; the rows left over are dropped.
     """
     rows = feed(df, id_col)
-    return _with_batch(rows.placed([epoch]), batch_size, rows.total)
+    return _with_batch(rows.placed(epoch), batch_size, rows.total)
 
 
 def _with_batch(placed: DataFrame, batch_size: int, total: int) -> DataFrame:
@@ -68,7 +68,7 @@ def epoch_batches(df: DataFrame, id_col: str, batch_size: int, n_epochs: int) ->
     rows = feed(df, id_col)
     numbered = rows.rows.table.withColumn("_number", rows.rows.position())
     repeated = numbered.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))
-    return _with_batch(rows.with_places(repeated, list(range(n_epochs)), "epoch"), batch_size, rows.total)
+    return _with_batch(rows.with_places(repeated, "epoch"), batch_size, rows.total)
 
 
 def shard_batches(df: DataFrame, n_workers: int, n_batches: int, truncate: bool = False) -> DataFrame:

@@ -41,14 +41,15 @@ class Feed:
     def total(self) -> int:
         return self.order.n * self.stripe
 
-    def placed(self, seeds: list[int], seed: str | None = None) -> DataFrame:
-        """All rows with their ``place``, by the only seed or the one in the column ``seed``."""
-        return self.with_places(self.rows.table.withColumn("_number", self.rows.position()), seeds, seed)
+    def placed(self, seed: int) -> DataFrame:
+        """All rows with their ``place``."""
+        return self.with_places(self.rows.table.withColumn("_number", self.rows.position()), seed)
 
-    def with_places(self, numbered: DataFrame, seeds: list[int], seed: str | None = None) -> DataFrame:
+    def with_places(self, numbered: DataFrame, seed: int | str) -> DataFrame:
+        """Rows with their ``place``, by a seed or by that in a column."""
         striped = numbered.withColumn("_stripe", F.expr(f"_number div {self.stripe}"))
         striped = striped.filter(F.col("_stripe") < self.order.n)
-        moved = self.order.with_places(striped, "_stripe", "place", seeds, seed)
+        moved = self.order.with_places(striped, "_stripe", "place", seed)
         within = F.col("_number") % self.stripe
         return moved.withColumn("place", F.col("place") * self.stripe + within).drop("_number", "_stripe", "_part", "_row")
 
@@ -57,7 +58,7 @@ class Feed:
         low, high = low // self.stripe, -(-min(high, self.total) // self.stripe)
         if high - low > MOST_RANGES:
             first, last = low * self.stripe, high * self.stripe
-            return self.placed([seed]).filter(F.col("place").between(first, last - 1)).drop("place")
+            return self.placed(seed).filter(F.col("place").between(first, last - 1)).drop("place")
         stripes = np.sort(self.order.numbers(np.arange(low, max(low, high)), seed))
         return self.rows.slices([(int(i) * self.stripe, int(i + 1) * self.stripe) for i in stripes]).drop("_part", "_row")
 

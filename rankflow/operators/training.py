@@ -459,7 +459,7 @@ def train_local(
         rows = feed(data, "id", stripe or stripe_rows(batch_size))
         batches = rows.total // batch_size
         for epoch in range(epochs):
-            placed = rows.placed([epoch]).withColumn("batch", F.floor(F.col("place") / batch_size))
+            placed = rows.placed(epoch).withColumn("batch", F.floor(F.col("place") / batch_size))
             used = placed.filter(F.col("batch") < batches).withColumn(
                 "worker", F.pmod(F.col("batch"), F.lit(workers)).cast("int")
             )

@@ -150,12 +150,12 @@ def test_epochs_have_their_own_order(spark):
 def test_permutations_by_arithmetic(spark, n):
     order = Permutation.of(n)
     df = spark.range(n).repartition(3).withColumn("epoch", F.explode(F.array(F.lit(2), F.lit(9))))
-    rows = order.with_places(df, "id", "place", [2, 9], "epoch").collect()
+    rows = order.with_places(df, "id", "place", "epoch").collect()
     for seed in (2, 9):
         places = [r["place"] for r in sorted((r for r in rows if r["epoch"] == seed), key=lambda r: r["id"])]
         assert places == order.places(np.arange(n), seed).tolist() and sorted(places) == list(range(n))
         assert order.numbers(np.array(places), seed).tolist() == list(range(n))
-    single = order.with_places(spark.range(n), "id", "place", [9]).collect()
+    single = order.with_places(spark.range(n), "id", "place", 9).collect()
     assert [r["place"] for r in sorted(single)] == order.places(np.arange(n), 9).tolist()
 
 

@@ -467,7 +467,7 @@ def test_epochs_share_one_table_and_read_few_ranges(spark):
         steps = [rows.slice(low, low + 200, epoch) for low in range(0, 1000, 200)]
         for i, step in enumerate(steps):
             assert sorted(r["id"] for r in step.collect()) == sorted(order[i * 200 : (i + 1) * 200])
-        placed = {r["place"]: r["id"] for r in rows.placed([epoch]).collect()}
+        placed = {r["place"]: r["id"] for r in rows.placed(epoch).collect()}
         assert placed == dict(enumerate(order))
     assert steps[0].inputFiles() == steps[1].inputFiles()
     text = steps[0]._jdf.queryExecution().executedPlan().toString()
