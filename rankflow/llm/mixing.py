@@ -6,7 +6,8 @@ fit, and the rest of its target is a subset sum: documents are counted by exact
 length gives its proportional number, and a bounded-knapsack dynamic program over the lengths
 left fits what remains, so a source misses its target by less than its shortest document that could be
 taken once more. Which documents of a length go in is decided by a seeded hash: those below a threshold per source and
-length, which joins the texts where they lie, by broadcast or not as its measured size allows.
+length, which meets the texts where they lie, by broadcast while there are at most ``BROADCAST_ROWS`` of them, and by
+a shuffled join beyond.
 
 Defined results: a null, empty or blank text has size 0 and is never taken. A very long text counts whole. A null source
 is a source of its own, last in the order. Rows with the same id are separate documents; where id and text agree too,
@@ -33,6 +34,8 @@ MAX_REPEATS = 3
 # Above so many words left, the longest documents that leave as many go in before the dynamic program begins.
 FIT_WORDS = 8192
 HASH_BUCKETS = 4096
+# A threshold is a source's name and seven numbers.
+BROADCAST_ROWS = 500_000
 
 
 def source_targets(
@@ -233,18 +236,22 @@ def _copies(rows: DataFrame, thresholds: DataFrame) -> DataFrame:
     """``rows (source, size, key, ..)`` with ``copies``: whole rounds for all with words, and one more up to the threshold."""
     named = rows.columns
     own = _bucket()
-    met = rows.join(thresholds, _alike("t_"))
+    near = F.broadcast if thresholds.count() <= BROADCAST_ROWS else lambda table: table
+    met = rows.join(near(thresholds), _alike("t_"))
     at_limit = (own == F.col("bucket")) & (F.col("key") == F.col("limit"))
     below = (own < F.col("bucket")) | ((own == F.col("bucket")) & (F.col("key") <= F.col("limit")))
+    copies = F.when(F.col("size") > 0, F.col("rounds") + F.col("more")).otherwise(0).alias("copies")
+    shared = thresholds.filter("room < alike")
+    if shared.isEmpty():
+        return met.withColumn("more", F.coalesce(below, F.lit(False)).cast("int")).select(*named, copies)
     doubtful = F.coalesce(at_limit & (F.col("room") < F.col("alike")), F.lit(False))
     sure = met.filter(~doubtful).withColumn("more", F.coalesce(below, F.lit(False)).cast("int"))
     # Rows that share the last key are numbered, by where they lie in a written table.
-    ties = cut(met.filter(doubtful), "ties").withColumn("_tie", F.monotonically_increasing_id())
+    ties = cut(rows.join(near(shared), _alike("t_")).filter(doubtful), "ties").withColumn("_tie", F.monotonically_increasing_id())
     numbered = global_index(ties.select("key", "_tie", *_GROUP), [*_GROUP, "key", "_tie"], "_position")
     starts = numbered.groupBy(*_GROUP).agg(F.min("_position").alias("_start")).select(
         *[F.col(c).alias(f"n_{c}") for c in _GROUP], "_start"
     )
     places = numbered.join(starts, _alike("n_")).select("_tie", (F.col("_position") - F.col("_start")).alias("_place"))
     tied = ties.join(places, "_tie").withColumn("more", (F.col("_place") < F.col("room")).cast("int"))
-    copies = F.when(F.col("size") > 0, F.col("rounds") + F.col("more")).otherwise(0).alias("copies")
     return sure.select(*named, copies).unionByName(tied.select(*named, copies))
