@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from rankflow.functions.hashing import MODULUS, shuffle_key
 from rankflow.operators.feed import feed
-from rankflow.operators.lookups import lookup_join
 from rankflow.operators.ordering import global_index, nth_key
 
 # The dataset conversion's hold-out size, seed, shard count and file name.
@@ -89,12 +88,15 @@ def split_over_replicas(df: DataFrame, batch_size: int, replicas: int) -> DataFr
 def assign_shards(
     df: DataFrame, id_col: str, n_shards: int = SHARDS, seed: int = SPLIT_SEED, name: str = SHARD_NAME
 ) -> DataFrame:
-    """``shard`` and ``shard_file``: contiguous ranges of ``ceil(n/N)`` rows in each split."""
+    """``shard`` and ``shard_file``: contiguous ranges of ``ceil(n/N)`` rows in each split.
+
+    Only the sizes of the splits, one row each, go to the rows: dealt by split, nearly all rows would be in one task.
+    """
     indexed = global_index(df, ["split", shuffle_key(F.col(id_col), seed), F.col(id_col)], "_place")
     sizes = indexed.groupBy("split").agg(
         F.count("*").alias("_rows"), F.min("_place").alias("_first")
     )
-    placed = lookup_join(indexed, sizes, "split")
+    placed = indexed.join(F.broadcast(sizes), "split")
     shard = F.floor((F.col("_place") - F.col("_first")) / F.ceil(F.col("_rows") / n_shards))
     return (
         placed.withColumn("shard", shard.cast("int"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from compare import operators
 from rankflow.functions.hashing import INCREMENT, MIXERS, MODULUS, MULTIPLIER, shuffle_key
 from rankflow.functions.permutation import Permutation
 from rankflow.operators import batching as B
@@ -19,6 +20,7 @@ from rankflow.operators.ordering import (
     sort_by,
     sort_by_position,
 )
+from rankflow.session import session_settings
 
 
 def key_of(value, seed=0):
@@ -188,6 +190,17 @@ def test_shards_are_contiguous_ranges(spark):
     assert "flowers_train_00004-of-00005" in {r["shard_file"] for r in rows}
 
 
+def test_shards_move_no_rows_by_split(spark):
+    df = B.train_valid_split(spark.range(200).withColumnRenamed("id", "i"), "i", 20)
+    # As for a table too large to be broadcast by its own size.
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = operators(B.assign_shards(df, "i"))
+    exchanges = [line for line in plan if line.startswith("Exchange")]
+    assert sum("BroadcastHashJoin" in line for line in plan) == 1 and not any("SortMergeJoin" in line for line in plan)
+    # The sizes' own aggregation.
+    assert len(exchanges) == 1
+
+
 def test_split_counts(spark):
     df = spark.createDataFrame(
         [("train", "a"), ("train", "a"), ("train", "b"), ("validation", None)], "split string, c string"
