@@ -10,21 +10,24 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankflow.operators.blocks import block_count, block_ranks, bucket_places, node_table
 from rankflow.operators.edges import (
     ADJACENCY_ROW_ENTRIES,
     MIN_SPLIT_ROWS,
     Graph,
     build_graph,
     copy_to_salts,
+    initial_ranks,
     split_adjacency,
 )
-from rankflow.session import SHUFFLE_PARTITIONS, cut, cut_bucketed, scratch, session_settings
+from rankflow.session import SHUFFLE_PARTITIONS, Scope, cut, cut_bucketed, scratch, session_settings
 
 # Defaults of the ranking programs.
 ITERATIONS = 10
@@ -47,18 +50,30 @@ def pagerank(
     checkpoint_every: int = 5,
     split_rows: int = MIN_SPLIT_ROWS,
     row_entries: int = ADJACENCY_ROW_ENTRIES,
+    blocks: bool = True,
 ) -> DataFrame:
     """``(node, rank)`` after ``n_iter`` iterations.
 
-    Links are bucketed by source once, after which an iteration shuffles nothing but contributions,
-    combined map-side, and ranks. With ``partitioning="range"`` the buckets are ranges of sources, so that neighbouring names lie
-    together; links carry the range of their target, with which a rank finds its way back. ``num_partitions`` follows
-    from the size of the graph unless given. ``only_left`` reports only nodes that occur as a source;
-    ``ignore_zero_incoming=False`` keeps sources that nothing links to.
+    Nodes lie in blocks of arrays (see :mod:`~rankflow.operators.blocks`), by hash, or with ``partitioning="range"`` by ranges of
+    names; an iteration shuffles only values that one block sends another. The ``adjacency`` layout stores the length
+    of each source's list instead of the source of each link. Edges are read twice and have to be the same then; write them first
+    if their plan is not repeatable. ``num_partitions`` follows from the size of the graph unless given. ``only_left`` reports
+    only nodes that occur as a source; ``ignore_zero_incoming=False`` keeps sources that nothing links to.
+
+    With ``blocks=False`` links and ranks are rows that are joined: links are bucketed by source once, after which an iteration
+    shuffles contributions, combined map-side, and ranks. Only this way splits large sources at ``split_rows`` and lists at ``row_entries``.
     """
     if layout not in LAYOUTS or partitioning not in PARTITIONINGS:
         raise ValueError(f"layout must be in {LAYOUTS} and partitioning in {PARTITIONINGS}")
     spark = edges.sparkSession
+    if blocks:
+        with scratch(spark) as own:
+            return own.result(
+                _block_ranks(
+                    own, edges, n_iter, damping, only_left, not ignore_zero_incoming, layout == "adjacency",
+                    partitioning == "range", num_partitions, cache, checkpoint_every,
+                )
+            )
     with scratch(spark) as own:
         graph = build_graph(edges, num_partitions, split_rows, keep_sources=not ignore_zero_incoming)
         settings = {SHUFFLE_PARTITIONS: str(graph.partitions)}
@@ -85,6 +100,24 @@ def pagerank(
         return own.result(ranks.select("node", "rank"))
 
 
+def _block_ranks(
+    own: Scope, edges: DataFrame, n_iter: int, damping: float, only_left: bool, keep: bool, lists: bool, ranged: bool,
+    num_partitions: int | None, cache: bool, checkpoint_every: int,
+) -> DataFrame:
+    if n_iter == 0:
+        ranks = initial_ranks(edges)
+        return cut(ranks.filter("node IS NOT NULL") if only_left else ranks, "ranks")
+    nodes = node_table(edges)
+    count = num_partitions or block_count(nodes)
+    number = Ranges.of_nodes(nodes, count).number if ranged else None
+    places = bucket_places(edges.sparkSession, count)
+    with session_settings(edges.sparkSession, {SHUFFLE_PARTITIONS: str(count)}):
+        ranks = block_ranks(own, edges, nodes, places, number, n_iter, damping, keep, lists, cache, checkpoint_every)
+        if only_left:
+            ranks = ranks.filter("out_degree > 0")
+        return cut(ranks.select("node", "rank"), "ranks")
+
+
 # Joins on a place and a name may use a placement by the place alone.
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
 # Names sampled for each range.
@@ -110,23 +143,29 @@ class Ranges:
         # Code points and UTF-8 bytes have the same order.
         names = sorted(row["src"] for row in sample.select("src").collect())
         bounds = sorted({names[i * len(names) // count] for i in range(1, count)}) if names else []
-        places: dict[int, int] = {}
-        tried = 16 * count
-        while len(places) < count:
-            numbers = spark.range(tried).select(F.col("id").cast("int").alias("n"))
-            rows = numbers.groupBy(F.pmod(F.hash("n"), F.lit(count)).alias("bucket")).agg(F.min("n").alias("n")).collect()
-            places, tried = {row["bucket"]: row["n"] for row in rows}, 4 * tried
-        return Ranges(bounds, [places[i] for i in range(count)])
+        return Ranges(bounds, bucket_places(spark, count))
+
+    @staticmethod
+    def of_nodes(nodes: DataFrame, count: int) -> Ranges:
+        """Ranges that hold about equal numbers of nodes and their links, by a bounded sample of ``nodes (node, out_degree)``."""
+        named = nodes.filter("node IS NOT NULL")
+        sample = named.orderBy(F.xxhash64("node"), "node").limit(RANGE_SAMPLE * count).collect()
+        rows = sorted((row["node"], 1 + min(row["out_degree"], 2 * count)) for row in sample)
+        ends = list(accumulate(weight for _, weight in rows))
+        picked = {rows[bisect_right(ends, i * ends[-1] // count)][0] for i in range(1, count)} if rows else set()
+        return Ranges(sorted(picked), [])
 
     def number(self, name: Column) -> Column:
-        """The range of each name; names like a bound begin the range above it."""
+        """The range of each name; names like a bound begin the range above it, and null lies in the first."""
         bounds = self.bounds
 
         @F.arrow_udf("int")
         def found(names: pa.Array) -> pa.Array:
-            return pa.array([bisect_right(bounds, own) for own in names.to_pylist()], pa.int32())
+            distinct = names.dictionary_encode()
+            numbers = pa.array([bisect_right(bounds, own) for own in distinct.dictionary.to_pylist()], pa.int32())
+            return numbers.take(distinct.indices)
 
-        return found(name)
+        return found(F.coalesce(name, F.lit("")))
 
     def place(self, number: Column, salt: Column) -> Column:
         """Where a range's rows lie; the salts of a source that is split lie one after the other."""

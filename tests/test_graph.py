@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import operators
+from rankflow.operators import blocks
 from rankflow.operators import edges as E
 from rankflow.operators.pagerank import CO_PARTITION, Ranges, _iterate, _links, _place, pagerank
-from rankflow.session import session_settings, shared_dir
+from rankflow.session import cut, session_settings, shared_dir
 
 
 def graph(spark, pairs):
@@ -208,6 +209,55 @@ def test_stored_ranges_survive_iterations(spark, layout, split_rows):
         assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("options", [dict(), dict(layout="adjacency"), dict(partitioning="range")], ids=str)
+def test_an_iteration_moves_only_values(spark, options, monkeypatch):
+    """A block sends another one number for each node; names and links stay."""
+    sent = []
+
+    def noted(df, name, *more):
+        written = cut(df, name, *more)
+        if name == "sent":
+            sent.append((operators(df), sum(len(row["data"]) // 8 for row in written.collect())))
+        return written
+
+    monkeypatch.setattr(blocks, "cut", noted)
+    pairs = skewed_pairs()
+    got = ranks(pagerank(graph(spark, pairs), 3, checkpoint_every=1, num_partitions=5, **options))
+    assert got == pytest.approx(brute_force(pairs, 3)) and len(sent) == 2
+    plan, values = sent[1]
+    moved = [line for line in plan if "Exchange" in line]
+    assert len(moved) == 1 and "hashpartitioning(place" in moved[0]
+    # At most a sum for each target and a share of each far source in each block.
+    assert values <= 5 * len({node for pair in pairs for node in pair})
+    assert values < len(set(pairs))
+
+
+def test_nodes_of_one_hash_are_told_apart(spark, monkeypatch):
+    pairs = skewed_pairs()
+    ids = blocks.Placement.ids
+    # The first numbers give two nodes one hash.
+    monkeypatch.setattr(
+        blocks.Placement, "ids",
+        lambda self, name: ids(self, F.when((name == "n1") & F.lit(self.seed == 0), "n2").otherwise(name)),
+    )
+    assert ranks(pagerank(graph(spark, pairs), 3)) == pytest.approx(brute_force(pairs, 3))
+
+
+@pytest.mark.parametrize("options", LAYOUTS[::3], ids=str)
+def test_null_names_hold_no_rank_as_sources(spark, options):
+    pairs = [("a", "b"), ("b", "a"), ("a", None), (None, "b"), (None, None), ("b", "c"), ("b", "c")]
+    for more in (dict(), dict(only_left=True), dict(ignore_zero_incoming=False), dict(n_iter=0)):
+        edges = graph(spark, pairs)
+        assert ranks(pagerank(edges, **options, **more)) == pytest.approx(ranks(pagerank(edges, blocks=False, **options, **more)))
+
+
+@pytest.mark.parametrize("options", LAYOUTS, ids=str)
+def test_rows_and_blocks_agree(spark, options):
+    edges = graph(spark, skewed_pairs())
+    rows = ranks(pagerank(edges, 4, split_rows=20, checkpoint_every=2, blocks=False, **options))
+    assert rows == pytest.approx(ranks(pagerank(edges, 4, checkpoint_every=2, **options)))
+
+
 def test_ranking_leaves_only_its_result(spark):
     folder = shared_dir(spark).removeprefix("file://")
     for options in LAYOUTS:
