@@ -2,7 +2,9 @@
 
 Equal texts form a class, whose set stands for all copies. Sets that may be similar
 share one of their first elements in any common order (the prefix filter); the order is by hash,
-with frequent n-grams last, so a passage that many texts share brings few candidates. Groups of sets that share
+with frequent n-grams last, so a passage that many texts share brings few candidates. Each further element of a prefix
+is one more that similar sets must share there, so prefixes are somewhat longer, and a set that shares fewer elements than that with
+all others together goes: that is most of those that meet others by chance or in a short passage. Groups of sets that share
 such an element, one of each kind if several elements are shared by the same sets, are put into bins by the largest component
 that a group holds so far: the groups of one family of near copies hold the same component, so each set is in their
 bin once. A bin is a tile; one that is too large is cut into tiles by size band, as similar sets lie in the same band or in
@@ -33,7 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankflow.llm.common import LOWER, UPPER, picked
@@ -45,6 +47,8 @@ NGRAM = 5
 # Similarity as a fraction: links have NUMERATOR * union <= DENOMINATOR * intersection.
 NUMERATOR, DENOMINATOR = 80, 100
 
+# Elements that similar sets have to share in their prefixes: so many, and one more for each so many of the set.
+SHARED, SHARED_EACH = 8, 50
 # From so many sets an n-gram counts as frequent; as many as this are listed.
 FREQUENT = 32
 FREQUENT_KEPT = 1_000_000
@@ -56,9 +60,12 @@ SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 WORDS_KNOWN = 200_000
 # Bits of a bitmap per element, and pairs of rows compared at once.
-MARK_BITS = 4
+MARK_BITS = 2
 PAIRS_HELD = 400_000
 
+# So many rows that may have to go are broadcast (their keys and ids); more meet the texts in a shuffle.
+DOUBTFUL_SENT = 500_000
+
 # Rounds that look for forests at most, as long as bins have several tiles.
 FOREST_ROUNDS = 3
 
@@ -102,6 +109,11 @@ def needed_overlap(sizes: np.ndarray) -> np.ndarray:
     return -(-sizes * NUMERATOR // DENOMINATOR)
 
 
+def prefix_overlap(size):
+    """The least overlap of a set's prefix with that of any similar one as large or larger, if both overlap so much."""
+    return SHARED + size // SHARED_EACH
+
+
 def linked(overlap, size_a, size_b):
     """Whether the overlap makes two sets similar, in integers."""
     return DENOMINATOR * overlap >= NUMERATOR * (size_a + size_b - overlap)
@@ -137,7 +149,7 @@ def _utf8(column: pa.Array) -> pa.Array:
 
 
 def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Written tables: classes ``(cid, key, size, mark, text)``, n-grams seen often, and each key's smallest id.
+    """Written tables: classes ``(cid, key, size, text)``, n-grams seen often, and each key's smallest id.
 
     Only texts that seem to occur twice are shuffled, after partial aggregation.
     """
@@ -158,17 +170,16 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
             rows = int(kept.sum())
             columns = [
                 pa.array([True] * rows, pa.bool_()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.int32()),
-                pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.string()),
+                pa.nulls(rows, pa.string()),
                 pa.array(values[kept].view(np.int64)), pa.array(counts[kept].astype(np.int64)),
             ]
             return pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
         for batch in batches:
-            sizes, marks = [], []
+            sizes = []
             for text in _utf8(batch.column(1)):
                 own = shingles(text.as_py())
                 sizes.append(len(own))
-                marks.append(bitmap(own, bitmap_bits(len(own), MARK_BITS)).tobytes())
                 held.append(own)
                 total += len(own)
                 if total > HASHES_HELD:
@@ -177,13 +188,13 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
             nothing = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([False] * len(sizes), pa.bool_()), batch.column(0), pa.array(sizes, pa.int32()),
-                 pa.array(marks, pa.binary()), batch.column(1), nothing, nothing],
+                 batch.column(1), nothing, nothing],
                 names=_NAMES,
             )
         if held:
             yield often()
 
-    schema = "hint boolean, key binary, size int, mark binary, text string, token bigint, seen bigint"
+    schema = "hint boolean, key binary, size int, text string, token bigint, seen bigint"
     signed = grouped.select("key", "text").mapInArrow(sign, schema)
     table = cut(
         signed.withColumn("cid", F.monotonically_increasing_id()), "classes", partition_by=("hint",)
@@ -191,7 +202,20 @@ def _classes(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     return table.filter("hint = false"), table.filter("hint = true").select("token", "seen"), firsts
 
 
-_NAMES = ["hint", "key", "size", "mark", "text", "token", "seen"]
+_NAMES = ["hint", "key", "size", "text", "token", "seen"]
+
+
+def _marks(classes: DataFrame, n: int) -> DataFrame:
+    """``(cid, mark)``: bitmaps of the sets of ``classes (cid, text)``."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingler(n)
+        for batch in batches:
+            sets = (shingles(text.as_py()) for text in _utf8(batch.column(1)))
+            marks = [bitmap(own, bitmap_bits(len(own), MARK_BITS)).tobytes() for own in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["cid", "mark"])
+
+    return classes.mapInArrow(mark, "cid bigint, mark binary")
 
 
 def _frequent(hints: DataFrame) -> np.ndarray:
@@ -212,7 +236,10 @@ def _frequent(hints: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, n: int, frequent) -> DataFrame:
-    """``(token, cid, size)``: the first n-grams of each class in the common order."""
+    """``(token, cid, size)``: the first n-grams of each class in the common order.
+
+    Of what two similar sets share, the j-th lies among the first ``size - needed_overlap(size) + j`` of each.
+    """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, rare_last = Shingler(n), frequent.value
@@ -224,7 +251,7 @@ def _postings(classes: DataFrame, n: int, frequent) -> DataFrame:
                     at = np.minimum(np.searchsorted(rare_last, own), len(rare_last) - 1)
                     often = rare_last[at] == own
                     own = np.concatenate([own[~often], own[often]])
-                prefix = own[: len(own) - int(needed_overlap(np.int64(len(own)))) + 1]
+                prefix = own[: len(own) - int(needed_overlap(np.int64(len(own)))) + prefix_overlap(len(own))]
                 tokens.append(prefix.view(np.int64))
                 owners.append(np.full(len(prefix), cid))
                 sizes.append(np.full(len(prefix), len(own), dtype=np.int32))
@@ -290,20 +317,27 @@ def _prove(pairs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
 
 
 def _groups(own: Scope, postings: DataFrame) -> DataFrame:
-    """``(token, cid, size)`` of tokens that several classes have, one token for each set of classes."""
-    shared = postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = cut(shared, "shared")
-    kept = _sifted(postings, F.col("token"), shared.select(F.col("token").alias("value"))).filter("maybe")
+    """``(token, cid, size)`` of tokens that several classes have, one token for each set of classes.
+
+    Classes that share too few tokens for any link have no rows, but for some that a sieve lets through.
+    """
+    members = F.count("*").over(Window.partitionBy("token"))
     buckets = int(own.spark.conf.get(SHUFFLE_PARTITIONS))
-    # Both sides meet by token, so each bucket is written by one task.
-    met = cut_bucketed(kept.drop("maybe").join(shared.hint("shuffle_hash"), "token"), "met", buckets, ["token"])
-    own.drop(shared)
+    # Postings are dealt by token once, so each bucket is written by one task.
+    met = cut_bucketed(postings.withColumn("members", members).filter("members > 1"), "met", buckets, ["token"])
     sign = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cid"))
     signed = met.groupBy("token").agg(F.first("members").alias("members"), sign(1).alias("one"), sign(2).alias("two"))
-    alone = signed.groupBy("members", "one", "two").agg(F.min("token").alias("token")).select("token")
-    groups = cut(met.join(alone, "token").select("token", "cid", "size"), "groups")
+    alone = signed.groupBy("members", "one", "two").agg(F.min("token").alias("token"), F.count("*").alias("tokens"))
+    groups = cut(met.join(alone.select("token", "tokens"), "token").select("token", "cid", "size", "tokens"), "groups")
     own.drop(met)
-    return groups
+    shared = groups.groupBy("cid").agg(F.sum("tokens").alias("shared"), F.first("size").alias("size"))
+    overlap = F.ceil(F.col("size") * NUMERATOR / DENOMINATOR)
+    # The other set may be smaller, but not than this overlap.
+    least = F.least(F.lit(SHARED) + F.floor(overlap / SHARED_EACH), overlap)
+    able = cut(shared.filter(F.col("shared") >= least).select("cid"), "able")
+    kept = cut(_only(groups.select("token", "cid", "size"), "cid", able), "groups")
+    own.drop(groups, able)
+    return kept
 
 
 def _bins(own: Scope, groups: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -487,9 +521,7 @@ def _labelled(own: Scope, rows: DataFrame, n: int) -> DataFrame:
     """``(key, size, first_id, label)`` for every class of ``rows (id, key, text)``; nothing else stays written."""
     context = rows.sparkSession.sparkContext
     classes, hints, firsts = _classes(rows, n)
-    postings = cut(_postings(classes, n, context.broadcast(_frequent(hints))), "postings")
-    groups = _groups(own, postings)
-    own.drop(postings)
+    groups = _groups(own, _postings(classes, n, context.broadcast(_frequent(hints))))
     labels = _components(own, _all_links(own, groups, classes, n))
     slim = cut(classes.select("key", "cid", "size"), "slim")
     own.drop(classes)
@@ -508,7 +540,7 @@ def _components(own: Scope, links: DataFrame) -> DataFrame:
 def _all_links(own: Scope, groups: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """Proven links that connect whatever is similar."""
     wanted = cut(groups.select("cid").distinct(), "wanted")
-    marks = cut(_only(classes.select("cid", "mark"), "cid", wanted), "marks")
+    marks = cut(_marks(_only(classes.select("cid", "text"), "cid", wanted), n), "marks")
     links, labels = None, None
     for number in range(FOREST_ROUNDS):
         bins, mixed = _bins(own, groups, labels)
@@ -567,7 +599,8 @@ def without_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id, known ids first.
 
-    Rows without words stay. Only rows that may have to go are shuffled with their texts.
+    Rows without words stay. Rows are shuffled with their texts only if they share text and id with others, or if
+    more than ``DOUBTFUL_SENT`` may have to go: then those.
     """
     with scratch(docs.sparkSession) as own:
         return own.result(_one_of_each(own, docs, id_col, text_col, n))
@@ -590,12 +623,13 @@ def _one_of_each(own: Scope, docs: DataFrame, id_col: str, text_col: str, n: int
     )
     doubtful = judged.groupBy("key", "id", "kept").agg(F.count("*").alias("copies")).filter("NOT kept OR copies > 1")
     doubtful = cut(doubtful.select(F.col("key").alias("d_key"), F.col("id").alias("d_id"), "kept"), "doubtful")
+    sent = F.broadcast(doubtful) if doubtful.count() <= DOUBTFUL_SENT else doubtful
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     key = class_key(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     keyed = docs.select(row.alias("row"), key.alias("key"), F.col(f"`{id_col}`").alias("id"))
     sifted = _sifted(keyed, F.xxhash64("key", "id"), doubtful.select(F.xxhash64("d_key", "d_id").alias("value")))
     met = sifted.filter("maybe").join(
-        doubtful, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_id")), "left"
+        sent, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_id")), "left"
     )
     sure = met.filter(F.col("d_key").isNull()).select("row")
     once = met.filter("kept").groupBy("key", "id").agg(F.first("row").alias("row")).select("row")

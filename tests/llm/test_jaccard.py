@@ -7,7 +7,7 @@ import pytest
 from cases import ROWS, documents, prose, tuples, words
 from rankflow.llm import jaccard
 from rankflow.llm.components import components
-from rankflow.session import shared_dir
+from rankflow.session import scratch, shared_dir
 
 
 def brute(rows, n=5):
@@ -81,6 +81,40 @@ def test_a_large_family_of_which_some_pairs_link(spark, monkeypatch):
     assert max(sizes.values()) > 300 and len(sizes) > 1000
 
 
+def test_texts_that_meet_in_passages_are_no_candidates(spark):
+    passages = [prose(500 + i, 14, 10_000) for i in range(8)]
+    unlike = [f"{prose(i, 150, 10**6)} {passages[i % 8]} {prose(900 + i, 150, 10**6)}" for i in range(80)]
+    alike = family(3, 4, 300)
+    rows = [(i, text, None, None, None) for i, text in enumerate(unlike + alike)]
+    with scratch(spark) as own:
+        classes, *_ = jaccard._classes(jaccard._keyed(documents(spark, rows), "doc_id", "text"), 5)
+        nothing = spark.sparkContext.broadcast(np.zeros(0, dtype=np.uint64))
+        groups = jaccard._groups(own, jaccard._postings(classes, 5, nothing))
+        found = {text for (text,) in tuples(groups.select("cid").distinct().join(classes, "cid"), "text")}
+    assert found == set(alike)
+
+
+def test_links_at_the_limit(spark):
+    # A text with k more words than one of n n-grams is similar up to k = n / 4.
+    texts = []
+    for n in [*range(1, 45), 120, 401, 1203]:
+        own = [f"t{n}x{i}" for i in range(n + 4 + n // 4 + 1)]
+        texts += [" ".join(own[: n + 4]), " ".join(own[:-1]) if n % 2 else " ".join(own)]
+        own = [f"u{n}x{i}" for i in range(n + 4 + n // 4 + 1)]
+        texts += [" ".join(own[-n - 4 :]), " ".join(own), " ".join(own[1:])]
+    rows = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    got = tuples(jaccard.similarity_components(documents(spark, rows)), "id", "n_shingles", "component_id")
+    assert sorted(got) == sorted(brute(rows))
+
+
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_rows_that_may_go_are_broadcast_or_shuffled(spark, monkeypatch, sent):
+    monkeypatch.setattr(jaccard, "DOUBTFUL_SENT", sent)
+    got = jaccard.without_near_duplicates(documents(spark))
+    ids = sorted((row[0] is None, row[0] or 0) for row in tuples(got, "doc_id"))
+    assert ids == [(False, i) for i in (1, 4, 5, 6, 7, 9, 10, 12, 13, 14, 15)] + [(True, 0)]
+
+
 def test_empty_table(spark):
     assert jaccard.similarity_components(documents(spark).filter("false")).count() == 0
 
