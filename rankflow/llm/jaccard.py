@@ -60,7 +60,7 @@ SIEVE_BITS = 24
 HASHES_HELD = 2_000_000
 WORDS_KNOWN = 200_000
 # Bits of a bitmap per element, and pairs of rows compared at once.
-MARK_BITS = 2
+MARK_BITS = 4
 PAIRS_HELD = 400_000
 
 # So many rows that may have to go are broadcast (their keys and ids); more meet the texts in a shuffle.
